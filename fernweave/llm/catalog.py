@@ -6,6 +6,8 @@ from importlib import import_module
 
 #: Modules with QUERIES and ORACLES, in the order of the operators.
 MODULES = [
+    "bpe",
+    "token_counts",
     "url_filter",
     "quality_rules",
     "mixing",

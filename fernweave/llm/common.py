@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 #: Bytes of one Arrow batch sent to a Python worker; long texts then come in smaller batches.
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
