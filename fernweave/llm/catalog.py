@@ -10,7 +10,9 @@ MODULES = [
     "token_counts",
     "url_filter",
     "quality_rules",
+    "license_scan",
     "mixing",
+    "minhash_dedup",
 ]
 
 
