@@ -8,6 +8,7 @@ from importlib import import_module
 MODULES = [
     "bpe",
     "token_counts",
+    "embedding_dedup",
     "url_filter",
     "quality_rules",
     "license_scan",
