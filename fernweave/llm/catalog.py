@@ -7,7 +7,9 @@ from importlib import import_module
 #: Modules with QUERIES and ORACLES, in the order of the operators.
 MODULES = [
     "bpe",
+    "warc",
     "token_counts",
+    "html_extract",
     "embedding_dedup",
     "url_filter",
     "quality_rules",
