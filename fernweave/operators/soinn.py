@@ -355,7 +355,7 @@ def class_density(nodes: DataFrame) -> DataFrame:
     return out.withColumn("alpha", alpha)
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node_id, root) with the smallest node of each component. Nodes are a bounded model."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = pdf.loc[pdf["dst"].isna(), "src"].astype("int64").tolist()
@@ -374,4 +374,4 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 50) -> DataFram
         return pd.DataFrame({"node_id": ids, "root": [find(i) for i in ids]})
 
     both = nodes.select(F.col("node_id").alias("src"), F.lit(None).cast("long").alias("dst")).union(edges.select("src", "dst"))
-    return both.groupBy(F.lit(0)).applyInPandas(lambda pdf: run(pdf[["src", "dst"]]), "node_id long, root long")
+    return both.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(lambda pdf: run(pdf[["src", "dst"]]), "node_id long, root long")
