@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fernweave.session import shared_dir
+
 #: How many times the limit each class is drawn.
 ATTACK_FACTORS = {"SQL_Injection": 1.5, "Cross_Site_Scripting": 1.2, "Path_Traversal": 1.2}
-#: Rows of a numbering block.
-BLOCKS = 256
 
 
 def hash28(*parts: Column) -> Column:
@@ -17,9 +17,18 @@ def hash28(*parts: Column) -> Column:
 
 
 def numbered(df: DataFrame, key: str, name: str = "index") -> DataFrame:
-    """Row numbers from 0 in key order: counted per range of keys, so that no task sees all rows."""
-    dealt = df.repartitionByRange(BLOCKS, key).withColumn("__p", F.spark_partition_id())
-    sizes = dealt.groupBy("__p").count()
+    """Row numbers from 0 in key order, so that no task sees all rows.
+
+    Rows are dealt by ranges of the key and written with their range's number,
+    for the ranges are sampled and may differ from run to run; then each range
+    is numbered on its own, after the rows of the ranges before it.
+    """
+    spark = df.sparkSession
+    at = shared_dir(spark)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(ranges, key).withColumn("__p", F.spark_partition_id()).write.parquet(at)
+    dealt = spark.read.parquet(at)
+    sizes = dealt.groupBy("__p").count()  # a row a range
     before = sizes.withColumn("__b", F.coalesce(F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rank = F.row_number().over(Window.partitionBy("__p").orderBy(key)) - 1
     return dealt.join(F.broadcast(before.drop("count")), "__p").withColumn(name, (F.col("__b") + rank).cast("long")).drop("__p", "__b")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +21,12 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     return builder.config(map=settings | conf).getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder name under ``spark.checkpoint.dir``; where that is unset (tests), under a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="fernweave-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
