@@ -130,7 +130,7 @@ def update_config(df: DataFrame, model_id: int, changes: dict[str, str]) -> Data
 
 def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """(pos, term) of a text file with one term a line: trimmed, lower-cased, blank lines out, in file order."""
-    lines = spark.read.option("wholetext", True).text(path)
+    lines = spark.read.text(path, wholetext=True)
     rows = lines.select(F.posexplode(F.split("value", "\r?\n")).alias("pos", "term"))
     return rows.select("pos", F.lower(F.trim("term")).alias("term")).where("term <> ''")
 
