@@ -41,6 +41,8 @@ BANDS, ROWS = 30, 6
 SLOTS = 1 << 21
 #: Members of a bucket that is merged with others, members of a tile, and shingles of a tile about.
 FEW, TILE, TILE_SHINGLES = 16, 128, 400_000
+#: Keys (8 bytes each) that are broadcast; more are joined by a shuffle of the texts.
+BROADCAST_IDS = 1_000_000
 
 
 def mixed(z: np.ndarray) -> np.ndarray:
@@ -175,12 +177,15 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[
     return [(int(ids[i]), int(ids[find(i)])) for i in range(len(ids)) if ids[find(i)] != ids[i]]
 
 
-def verified(units: DataFrame, df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+def few_or_not(ids: DataFrame) -> DataFrame:
+    """``ids``, a written table, with a broadcast hint if it is small enough; else Spark shuffles both sides."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def verified(units: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Forest edges (a, b) of the links inside each unit, an array ``ids`` of keys, confirmed on full sets."""
-    bounded_batches(df.sparkSession)
-    rows = units.select(F.xxhash64("ids").alias("unit"), F.explode("ids").alias("id")).join(
-        df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text")), "id"
-    )
+    bounded_batches(texts.sparkSession)
+    rows = units.select(F.xxhash64("ids").alias("unit"), F.explode("ids").alias("id")).join(texts, "id")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [shingles(t, width) for t in pdf["text"]]
@@ -253,8 +258,12 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
     starred = many.join(first, "h", "left").select(
         F.sort_array(F.array_union("ids", F.coalesce("first", F.array().cast("array<long>")))).alias("ids")
     )
-    units = merged.union(starred.where("size(ids) > 1").distinct())
-    edges = written(verified(units, df, key, text, width, percent))
+    units = written(merged.union(starred.where("size(ids) > 1").distinct()))
+    # Only candidates' texts go on: every member of a later unit stands in one of these.
+    ids = written(units.select(F.explode("ids").alias("id")).distinct())
+    texts = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
+    texts = written(texts.join(few_or_not(ids), "id"))
+    edges = written(verified(units, texts, width, percent))
     cut = lists.where("tiles > 1").select("h", "tile", "ids")
     if cut.isEmpty():
         return edges
@@ -275,13 +284,13 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
         .select(F.sort_array(F.array_union("ids", "ids2")).alias("ids"))
         .distinct()
     )
-    return edges.union(written(verified(rest, df, key, text, width, percent)))
+    return edges.union(written(verified(rest, texts, width, percent)))
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` whose document is kept: of each component that with the smallest key."""
-    gone = near_duplicates(df, key, text).where("not kept").select(F.col(key).alias("__gone")).distinct()
-    return df.join(gone, F.col(f"`{key}`") == F.col("__gone"), "left_anti")
+    gone = written(near_duplicates(df, key, text).where("not kept").select(F.col(key).alias("__gone")).distinct())
+    return df.join(few_or_not(gone), F.col(f"`{key}`") == F.col("__gone"), "left_anti")
 
 
 def op10_minhash_dedup(spark, sf_dir: str) -> DataFrame:
