@@ -24,7 +24,6 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import mapped, table
+from fernweave.llm.common import held, mapped, table
 
 #: States of the transducer, remembered pairs and remembered pre-tokens of a worker; beyond, it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 200_000, 200_000, 250_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 120_000, 80_000, 200_000
+#: Bits of a token's number plus one in packed integers.
+SHIFT = 24
+MASK = (1 << SHIFT) - 1
 #: Longer pre-tokens are not remembered.
 LONG_PIECE = 48
 #: Bytes after which the tokens of a long pre-token that are settled are emitted.
@@ -57,8 +59,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
+        self.length = {r: len(t) for t, r in ranks.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self.children: dict[int, int] = {}  # node * 256 + byte: node
         self.token_at = [-1]
         for token, rank in ranks.items():
@@ -79,17 +82,19 @@ class Transducer:
         self._clear()
 
     def _clear(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.open: list[tuple[tuple[int, int], ...]] = []
-        #: By state times 256 plus byte: the next state, and the token that closes there.
-        self.delta: dict[int, tuple[int, int]] = {}
-        self._state(((0, -1),))
-
-    def _state(self, open_: tuple[tuple[int, int], ...]) -> int:
-        at = self.states.get(open_)
+        # Open tokens of a state as packed integers: node << SHIFT | closed token before it + 1.
+        self.states: dict[bytes, int] = {}
+        self.open: list[bytes] = []
+        #: By state << 8 | byte: next state << SHIFT | the token that closes there.
+        self.delta: dict[int, int] = {}
+        self._state([0])
+
+    def _state(self, open_: list[int]) -> int:
+        packed = array("Q", open_).tobytes()
+        at = self.states.get(packed)
         if at is None:
-            at = self.states[open_] = len(self.open)
-            self.open.append(open_)
+            at = self.states[packed] = len(self.open)
+            self.open.append(packed)
         return at
 
     def halves(self, token: int) -> tuple[int, int] | None:
@@ -118,7 +123,7 @@ class Transducer:
         two tokens at the boundary merge earlier than what was undone, they
         would not have stayed apart.
         """
-        key = (left, right)
+        key = left << SHIFT | right
         known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= MAX_PAIRS:
@@ -141,19 +146,20 @@ class Transducer:
             else:
                 undone, right = right + 1, b[0]
 
-    def _grow(self, state: int, byte: int) -> tuple[int, int]:
+    def _grow(self, state: int, byte: int) -> int:
         """Determinise one more transition."""
         open_, closed = [], -1
-        for node, last in self.open[state]:
-            after = self.children.get(node << 8 | byte)
+        for packed in array("Q", self.open[state]):
+            after = self.children.get((packed >> SHIFT) << 8 | byte)
             if after is None:
                 continue
-            token = self.token_at[after]
+            last, token = (packed & MASK) - 1, self.token_at[after]
             if token >= 0 and closed < 0 and self.reachable(token) and (last < 0 or self.fits(last, token)):
                 closed = token
             if self.inner[after]:
-                open_.append((after, last))
-        out = self.delta[state << 8 | byte] = (self._state((*open_, (0, closed))), closed)
+                open_.append(after << SHIFT | last + 1)
+        open_.append(closed + 1)
+        out = self.delta[state << 8 | byte] = self._state(open_) << SHIFT | closed
         return out
 
     def encode(self, piece: bytes) -> list[int]:
@@ -166,13 +172,24 @@ class Transducer:
         out: list[int] = []
         state, closed, delta = 0, [], self.delta  # closed: the tokens that close after each byte not yet emitted
         for byte in piece:
-            step = delta.get(state << 8 | byte) or self._grow(state, byte)
-            state = step[0]
-            closed.append(step[1])
+            step = delta.get(state << 8 | byte)
+            if step is None:
+                step = self._grow(state, byte)
+            state = step >> SHIFT
+            closed.append(step & MASK)
             if len(closed) >= WINDOW:
-                self._emit(closed, [self.depth[node] for node, _ in self.open[state]], out)
-        self._emit(closed, [0], out)
-        return out
+                self._emit(closed, [self.depth[packed >> SHIFT] for packed in array("Q", self.open[state])], out)
+        return out + self._chain(closed, len(closed))
+
+    def _chain(self, closed: list[int], end: int) -> list[int]:
+        """The tokens that lead to the byte before ``end``."""
+        tokens, length = [], self.length
+        while end:
+            token = closed[end - 1]
+            tokens.append(token)
+            end -= length[token]
+        tokens.reverse()
+        return tokens
 
     def _emit(self, closed: list[int], depths: list[int], out: list[int]) -> None:
         """Emit the tokens on which the hypotheses that began ``depths`` bytes ago agree."""
@@ -180,13 +197,9 @@ class Transducer:
         while len(chains) > 1:  # the latest start goes back by the token that closes there, until all meet
             at = max(chains)
             chains.remove(at)
-            chains.add(at - len(self.bytes_of[closed[at - 1]]))
-        end = at = chains.pop()
-        tokens = []
-        while at:
-            tokens.append(closed[at - 1])
-            at -= len(self.bytes_of[tokens[-1]])
-        out += reversed(tokens)
+            chains.add(at - self.length[closed[at - 1]])
+        end = chains.pop()
+        out += self._chain(closed, end)
         del closed[:end]
 
 
@@ -283,10 +296,9 @@ class Codec:
         return "".join(self.decode(ids[i : i + DECODE_TOKENS] for i in range(0, len(ids), DECODE_TOKENS)))
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """One codec a worker process; the file at ``path`` must be on every machine."""
-    return Codec(read_ranks(path), pattern)
+    return held(("bpe", path, pattern), lambda: Codec(read_ranks(path), pattern))
 
 
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))

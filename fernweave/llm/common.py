@@ -5,6 +5,8 @@ Words are runs of characters other than space and U+0009..U+000D (``WORD``).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -19,7 +21,36 @@ from pyspark.sql import types as T
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 #: Bytes of one Arrow batch sent to a Python worker; long texts then come in smaller batches.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+
+
+#: What a Python worker keeps from task to task, by operator and parameters.
+_HELD: dict = {}
+
+
+def held(key: tuple, build: Callable[[], object]):
+    """A worker's tables and caches for one operator; those of the operator that ran before are let go.
+
+    ``key`` begins with the operator's name. A worker that runs one stage after
+    another so holds the memory of one operator at a time.
+    """
+    if key not in _HELD:
+        others = [k for k in _HELD if k[0] != key[0]]
+        for other in others:
+            del _HELD[other]
+        if others:
+            gc.collect()
+            returned()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def returned() -> None:
+    """Give freed memory back to the machine, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+    pa.default_memory_pool().release_unused()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -87,6 +118,8 @@ def mapped(
         for batch in batches:
             arrays = list(function(*[batch.column(s).to_pylist() for s in side]))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in order] + arrays, names=order + new)
+            del arrays
+        returned()
 
     return shaped.mapInArrow(run, T.StructType(fields + list(added)))
 

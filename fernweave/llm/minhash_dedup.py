@@ -21,8 +21,6 @@ Components of the forests are found by distributed star contraction.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -31,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import bounded_batches, components, mapped, table, written
+from fernweave.llm.common import bounded_batches, components, held, mapped, table, written
 
 #: Words of a shingle, and the similarity of a link in percent.
 WIDTH, PERCENT = 5, 85
@@ -90,9 +88,8 @@ class CirculantMinHash:
         return low
 
 
-@lru_cache(maxsize=1)
 def hasher(n: int) -> CirculantMinHash:
-    return CirculantMinHash(n)
+    return held(("minhash", n), lambda: CirculantMinHash(n))
 
 
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:

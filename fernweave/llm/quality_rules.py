@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import WORD, mapped, table
+from fernweave.llm.common import WORD, held, mapped, table
 
 #: Characters that count as symbols (fixed by the contract).
 SYMBOLS = "#*$%&|<>"
@@ -164,6 +164,7 @@ def judge_quality(
     measures = list(measures)
 
     def run(texts: list[str | None]) -> list[pa.Array]:
+        held(("quality",), dict)
         columns: list[list] = [[] for _ in measures]
         kept = []
         for t in texts:

@@ -14,9 +14,9 @@ applied to whole texts by its own library.
 from __future__ import annotations
 
 import json
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import bounded_batches, mapped, table
+from fernweave.llm.common import bounded_batches, held, mapped, table
 
 #: Rows of the sample that the frequent pre-tokens come from, and how many of these are broadcast at most.
 SAMPLE_ROWS, FREQUENT = 4000, 1 << 16
@@ -152,14 +152,16 @@ class FirstTier(dict):
         return self.second[piece]
 
 
-@lru_cache(maxsize=2)
 def byte_level(path: str) -> ByteLevel:
-    return ByteLevel(path)
+    return held(("tokens", path), lambda: ByteLevel(path))
 
 
-@lru_cache(maxsize=2)
 def whole_text(path: str):
     """Counts of whole texts by the file's own library."""
+    return held(("tokens", "whole", path), lambda: _whole_text(path))
+
+
+def _whole_text(path: str):
     if path.endswith(".model"):
         import sentencepiece
 
@@ -192,9 +194,6 @@ def frequent_lengths(df: DataFrame, path: str, text: str, sample_rows: int = SAM
     return CompactTable(sorted({r["piece"].encode(): r["n"] for r in rows}.items()))
 
 
-#: Tables of a worker by the broadcast's id.
-_TIERS: dict = {}
-
 ADDED = T.StructType([T.StructField("n_tokens", T.LongType())])
 
 
@@ -216,14 +215,15 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", keep: list[str] |
         return mapped(df, [text], plain, ADDED, keep)
 
     frequent = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, path, text, sample_rows))
+    frequent_id = uuid.uuid4().hex
 
     def run(texts: list[str | None]) -> list[pa.Array]:
         own = byte_level(path)
-        key = (path, frequent._jbroadcast.id() if getattr(frequent, "_jbroadcast", None) else id(frequent))
-        if key not in _TIERS:
-            _TIERS.clear()
-            _TIERS[key] = FirstTier(frequent.value, Cache(own))
-        look, counts = _TIERS[key].__getitem__, []
+        tiers = held(("tokens", "tiers", path), dict)
+        if frequent_id not in tiers:  # those of an earlier query go
+            tiers.clear()
+            tiers[frequent_id] = FirstTier(frequent.value, Cache(own))
+        look, counts = tiers[frequent_id].__getitem__, []
         for t in texts:
             parts, n = own.split(t) if t else ((), 0)
             counts.append(n + sum(sum(map(look, pieces)) for pieces in parts))
