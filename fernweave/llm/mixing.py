@@ -184,10 +184,14 @@ def mix(
 def shard_quotas(words: dict[tuple[int, int], int], targets: Sequence[float], block_words: int) -> dict[tuple[int, int], int]:
     """Blocks that each shard gives, from the words of each (source, shard) and the sources' targets."""
     blocks: list[list[tuple[int, int]]] = [[] for _ in targets]
+    sizes = [0] * len(targets)
     for (sid, shard), n in sorted(words.items()):
         blocks[sid].append((shard, -(-n // block_words)))
-    most = [MOST * sum(n for _, n in b) for b in blocks]
-    given = sainte_lague(targets, round(sum(targets) / block_words), most)
+        sizes[sid] += n
+    counts = [sum(n for _, n in b) for b in blocks]
+    # In blocks of the source's own mean length: the last block of a shard is short.
+    wanted = [t * c / n if n else 0.0 for t, c, n in zip(targets, counts, sizes, strict=True)]
+    given = sainte_lague(wanted, round(sum(wanted)), [MOST * c for c in counts])
     quotas = {}
     for sid, (own, seats) in enumerate(zip(blocks, given, strict=True)):
         shares = sainte_lague([n for _, n in own], seats, [MOST * n for _, n in own])
