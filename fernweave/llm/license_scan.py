@@ -248,4 +248,5 @@ FROM w LEFT JOIN base USING (rid) LEFT JOIN method USING (rid)
 
 
 QUERIES = {"op8_license_scan": op8_license_scan}
-ORACLES = {"op8_license_scan": _oracle()}
+ORACLE = _oracle()
+ORACLES = {"op8_license_scan": ORACLE}
