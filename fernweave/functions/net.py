@@ -33,6 +33,15 @@ def networks(spark: SparkSession, cidrs: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "network string, octet1 long, low long, high long")
 
 
+def network_ranges(df: DataFrame, column_name: str = "network") -> DataFrame:
+    """(network, octet1, low, high) of a table's CIDR texts; host bits are cut off, malformed texts left out."""
+    text = F.trim(F.col(column_name))
+    size = F.pow(F.lit(2), 32 - F.coalesce(F.split_part(text, F.lit("/"), F.lit(2)).try_cast("int"), F.lit(32))).cast("long")
+    ip = ip_number(F.split_part(text, F.lit("/"), F.lit(1)))
+    rows = df.select(text.alias("network"), (ip - ip % size).alias("low"), size.alias("size")).where("low IS NOT NULL")
+    return rows.select("network", F.shiftright("low", 24).alias("octet1"), "low", (F.col("low") + F.col("size") - 1).alias("high"))
+
+
 def bucket(c: Column | str, interval: str = "30 minutes") -> Column:
     """Start of the tumbling interval, aligned to the epoch."""
     return F.window(column(c), interval)["start"]

@@ -26,6 +26,11 @@ def cast_kinds(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast("bigint") if k == "number" else F.col(c).cast("string") for c, k in kinds.items()})
 
 
+def short_features(df: DataFrame, keys: list[str], longest: int = 30) -> DataFrame:
+    """Columns outside the key whose names are not too long."""
+    return df.select(*[c for c in df.columns if c in keys or len(c) <= longest])
+
+
 def null_filled(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """Nulls filled by kind: -1 for numbers, a dash for strings, ``empty`` for categories."""
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(FILLS[k])) for c, k in kinds.items()})
@@ -107,6 +112,15 @@ class Scaler:
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
         return df.withColumns({f"{c}{suffix}": self.expression(c) for c in self.columns})
 
+    def state(self) -> dict:
+        return {"kind": self.kind, "columns": self.columns, "fitted": self.fitted}
+
+    @classmethod
+    def of(cls, state: dict) -> Scaler:
+        out = cls(state["kind"], state["columns"])
+        out.fitted = state["fitted"]
+        return out
+
 
 class OneHot:
     """A 0/1 column ``<column>_<value>`` for each category seen in ``fit``, in sorted order; others give zeros."""
@@ -124,7 +138,16 @@ class OneHot:
             {f"{c}_{v}": F.when(F.col(c).cast("string") == v, 1.0).otherwise(0.0) for c, vs in self.categories.items() for v in vs}
         )
 
-    def inverse(self, df: DataFrame, name: str) -> Column:
+    def state(self) -> dict:
+        return {"columns": self.columns, "categories": self.categories}
+
+    @classmethod
+    def of(cls, state: dict) -> OneHot:
+        out = cls(state["columns"])
+        out.categories = state["categories"]
+        return out
+
+    def inverse(self, name: str) -> Column:
         """The category whose column is largest, the first of equals; null if all are zero."""
         values = self.categories[name]
         scores = F.array(*[F.col(f"{name}_{v}") for v in values])

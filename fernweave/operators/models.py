@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.classification import LinearSVC, OneVsRest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +69,13 @@ class MultiClass:
         return self._named(self.model.transform(df))
 
 
+def pca_coordinates(df: DataFrame, key: str, vector: str, k: int = 2) -> DataFrame:
+    """(key, pca): each row's first ``k`` principal coordinates, for plots."""
+    rows = df.select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("v"))
+    model = PCA(k=k, inputCol="v", outputCol="p").fit(rows)
+    return model.transform(rows).select(key, vector_to_array("p").alias("pca"))
+
+
 def label_map(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """For each true label the most frequent prediction."""
     return most_frequent_pair(df, truth, predicted)

@@ -239,6 +239,17 @@ class Soinn:
             left -= len(order[:left])
         return (*(best[1] if best else self.state(self.labels(truth, known))), history)
 
+    @classmethod
+    def of(cls, nodes: list[tuple], edges: list[tuple], settings: Settings | None = None) -> Soinn:
+        """A trained network to go on with; its nodes have no members yet."""
+        net = cls(settings)
+        for i, v, _, group, density, wins, periods, points in nodes:
+            net.nodes[i] = Node(np.array(v, np.float64), [], wins, periods, density, points, False, group)
+            net.next_id = max(net.next_id, i + 1)
+        for a, b, age in edges:
+            net.connect(a, b, age)
+        return net
+
     def state(self, labels: dict[int, str]) -> tuple[list[tuple], list[tuple]]:
         nodes = [(i, n.vector.tolist(), labels.get(i, ""), n.group, n.density, n.wins, n.periods, n.points) for i, n in sorted(self.nodes.items())]
         edges = [(i, j, age) for i, n in sorted(self.nodes.items()) for j, age in sorted(n.age.items())]
@@ -249,13 +260,24 @@ NODES = "node_id long, node_vec array<double>, label string, class long, density
 EDGES = "src long, dst long, age long"
 
 
-def fit(df: DataFrame, key: str, vector: str, label: str, budget: int, settings: Settings | None = None, holdout: float = 0.05) -> tuple[DataFrame, DataFrame]:
+def fit(
+    df: DataFrame,
+    key: str,
+    vector: str,
+    label: str,
+    budget: int,
+    settings: Settings | None = None,
+    holdout: float = 0.05,
+    trained: tuple[DataFrame, DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of a network trained on ``df``, a bounded sample, in one task.
 
     Rows are taken in key order; a share by hash of the key is held out for the
-    choice of the best period.
+    choice of the best period. With ``trained`` (nodes and edges, a bounded
+    model) training goes on from there.
     """
     settings = settings or Settings()
+    before = tuple([tuple(r) for r in part.collect()] for part in trained) if trained else None
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("k", ignore_index=True)
@@ -264,8 +286,9 @@ def fit(df: DataFrame, key: str, vector: str, label: str, budget: int, settings:
         train, test = np.flatnonzero(~out), np.flatnonzero(out)
         if not len(train):
             train = test
-        net = Soinn(settings)
-        nodes, edges, _ = net.fit(x[train], [y[i] for i in train], budget, (x[test], [y[i] for i in test]) if len(test) else None)
+        net = Soinn.of(*before, settings) if before else Soinn(settings)
+        known = {n[0]: n[2] for n in before[0]} if before else None
+        nodes, edges, _ = net.fit(x[train], [y[i] for i in train], budget, (x[test], [y[i] for i in test]) if len(test) else None, known)
         return pd.DataFrame({"nodes": [nodes], "edges": [edges]})
 
     rows = df.select(F.lit(0).alias("g"), F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.col(label).cast("string").alias("l"), F.pmod(F.xxhash64(key), F.lit(1000)).alias("h"))
@@ -339,6 +362,12 @@ def explain(df: DataFrame, nodes: DataFrame, edges: DataFrame, key: str, vector:
     return out.select(key, "outlier", F.when(F.col("outlier"), named(mean, -1)).otherwise(named(diffs(F.col("n1.node_vec")), 1)).alias("terms"))
 
 
+def close_to(df: DataFrame, nodes: DataFrame, key: str, vector: str, label: str, k: int = 2) -> DataFrame:
+    """(key, close): whether one of the ``k`` nearest nodes has the label."""
+    near = nearest(df, nodes, k, key, vector).join(F.broadcast(nodes.select("node_id", "label")), "node_id")
+    return near.groupBy(key).agg(F.bool_or(F.col("label") == label).alias("close"))
+
+
 def noise_nodes(nodes: DataFrame, edges: DataFrame, c1: float = 0.001, c2: float = 1.0) -> DataFrame:
     """Ids of nodes with few neighbours for their density."""
     degree = edges.groupBy(F.col("src").alias("node_id")).agg(F.count("*").alias("degree"))

@@ -67,6 +67,13 @@ def learned_vocabulary(df: DataFrame, text: str, user: list[str], limit: int) ->
     return top.withColumn("rank", F.row_number().over(order)).select("rank", "term", "tf")
 
 
+def bag_of_words(df: DataFrame, keys: list[str], text: str, size: int) -> DataFrame:
+    """(keys, term, tf) of the ``size`` most frequent terms of the table; ties by name."""
+    words = df.select(*keys, F.explode(tokens(text)).alias("term"))
+    top = words.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(size).select("term")
+    return words.join(F.broadcast(top), "term", "left_semi").groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+
+
 class KeywordTfidf:
     """L2-normalised TF-IDF over a fixed vocabulary.
 
@@ -88,6 +95,15 @@ class KeywordTfidf:
             self.idf = {w: math.log((1 + n) / (1 + seen.get(w, 0))) + 1 for w in self.vocabulary}
         return self
 
+    def state(self) -> dict:
+        return {"vocabulary": self.vocabulary, "mode": self.mode, "idf": self.idf}
+
+    @classmethod
+    def of(cls, state: dict) -> KeywordTfidf:
+        out = cls(state["vocabulary"], state["mode"])
+        out.idf = state["idf"]
+        return out
+
     def rows(self, df: DataFrame, keys: list[str], text: str) -> DataFrame:
         """(keys, term, weight) of the words present."""
         idf = F.create_map(*[F.lit(x) for w in self.vocabulary for x in (w, self.idf[w])])

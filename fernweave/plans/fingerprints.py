@@ -237,6 +237,13 @@ def result_table_join(spark, sf_dir):
     return out.select("ai_label", "event_id", "src_ip", "dst_ip", "http_path")
 
 
+@query(f"WITH {LOG}, {XAI} SELECT DISTINCT ai_label, {stamp('lgtime')} AS lgtime, src_ip, dst_ip FROM xai WHERE ai_label <> 'normal' AND lgtime >= TIMESTAMP '{START}' AND lgtime < TIMESTAMP '{END}'")
+def attack_results(spark, sf_dir):
+    """Detections of one day."""
+    day = (F.col("lgtime") >= fingerprint.ts(START)) & (F.col("lgtime") < fingerprint.ts(END))
+    return stamped(xai_rows(spark, sf_dir).where((F.col("ai_label") != "normal") & day).select("ai_label", "lgtime", "src_ip", "dst_ip"), "lgtime")
+
+
 SEVERITY = [("click", 2.0), ("error", 9.0), ("view", 1.0), ("signup", 4.0)]
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
-from fernweave.functions import text as X
 from fernweave.functions.vectors import argmax_label
 from fernweave.operators import aggregate, features, joins, metrics, models, rules, soinn, vectorize
 from fernweave.plans.registry import query, read
+from fernweave.session import shared_dir
+from fernweave.sources import store
 
 KEYWORDS = ["the", "and", "of", "die", "le", "la", "bot", "thing", "x1", "ererer"]
 WHITE = ["with", "that"]
@@ -127,6 +126,30 @@ def robust_scale(spark, sf_dir):
     return _scaled(spark, sf_dir, "robust")
 
 
+@query(_scale_sql("({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ())"))
+def saved_scaler(spark, sf_dir):
+    """A scaler fitted, kept under a feature and version, and applied after it is read back."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *NUMBERS, F.lit(5.0).alias("five"))
+    at = shared_dir(spark)
+    store.save_model(spark, at, "numbers", "v1", features.Scaler("min_max", [*NUMBERS, "five"]).fit(li).state())
+    out = features.Scaler.of(store.load_model(spark, at, "numbers", "v1")).transform(li)
+    return out.withColumns({c: F.round(c, 6) for c in [*NUMBERS, "five"]})
+
+
+@query("SELECT l_orderkey, l_tax, l_quantity FROM lineitem")
+def drop_long_features(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_tax", "l_quantity", F.lit(1.0).alias("a_feature_whose_name_is_too_long_to_keep"))
+    return features.short_features(li, ["l_orderkey"])
+
+
+@query(
+    f"""WITH w AS (SELECT item_id, unnest({WORDS}) AS term FROM benchmark), t AS (SELECT term FROM w GROUP BY term ORDER BY count(*) DESC, term LIMIT 50)
+SELECT item_id, term, count(*) AS tf FROM w WHERE term IN (SELECT term FROM t) GROUP BY item_id, term"""
+)
+def bow_counts(spark, sf_dir):
+    return vectorize.bag_of_words(read(spark, sf_dir, "benchmark"), ["item_id"], "text", 50)
+
+
 @query()
 def quantile_scale(spark, sf_dir):
     return _scaled(spark, sf_dir, "quantile")
@@ -155,7 +178,7 @@ def one_hot_inverse(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     hot = features.OneHot(["o_orderstatus"]).fit(o.where("o_orderstatus IN ('F', 'O')"))
     out = hot.transform(o)
-    return out.select("o_orderkey", hot.inverse(out, "o_orderstatus").alias("back"))
+    return out.select("o_orderkey", hot.inverse("o_orderstatus").alias("back"))
 
 
 @query(
@@ -375,6 +398,21 @@ def soinn_components(spark, sf_dir):
     return soinn.components(*_network(spark, sf_dir))
 
 
+@query(f"WITH {NET} SELECT vec_id, (l1 = 'normal' OR l2 = 'normal') AS close FROM near")
+def soinn_close_to(spark, sf_dir):
+    return soinn.close_to(_signals(spark, sf_dir), _network(spark, sf_dir)[0], "vec_id", "x", "normal")
+
+
+@query(f"WITH {NET} SELECT label, count(*) AS n FROM node GROUP BY label")
+def soinn_label_counts(spark, sf_dir):
+    return aggregate.value_counts(_network(spark, sf_dir)[0], "label")
+
+
+@query()
+def pca_coordinates(spark, sf_dir):
+    return models.pca_coordinates(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 2)
+
+
 def _labelled(spark, sf_dir):
     return read(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("label") < 5, "normal").otherwise("attack").alias("label"))
 
@@ -385,6 +423,15 @@ def soinn_fit(spark, sf_dir):
     return nodes.select("node_id", "label", "class", "wins")
 
 
+@query()
+def soinn_transfer(spark, sf_dir):
+    """Training that goes on from a trained network: its labels stay, newer nodes are normal."""
+    rows = _labelled(spark, sf_dir)
+    first = soinn.fit(rows.where("vec_id < 250"), "vec_id", "embedding", "label", 800)
+    nodes, _ = soinn.fit(rows.where("vec_id BETWEEN 250 AND 499"), "vec_id", "embedding", "label", 800, trained=first)
+    return nodes.select("node_id", "label", "class", "wins")
+
+
 @query()
 def rff_svm(spark, sf_dir):
     rows = models.with_features(_labelled(spark, sf_dir), "embedding", models.FourierFeatures(64, 64, 10.0)).cache()

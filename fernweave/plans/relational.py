@@ -135,6 +135,31 @@ def join_semi(spark, sf_dir):
     return joins.semi(read(spark, sf_dir, "customer").select("c_custkey"), big, "c_custkey")
 
 
+@query(
+    """SELECT coalesce(a.nk, b.nk) AS nk, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers FROM (SELECT c_nationkey AS nk, count(*) AS customers FROM customer WHERE c_acctbal > 5000 GROUP BY 1) a
+FULL JOIN (SELECT s_nationkey AS nk, count(*) AS suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY 1) b ON a.nk = b.nk"""
+)
+def join_full_outer(spark, sf_dir):
+    a = read(spark, sf_dir, "customer").where("c_acctbal > 5000").groupBy(F.col("c_nationkey").alias("nk")).agg(F.count("*").alias("customers"))
+    b = read(spark, sf_dir, "supplier").where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("nk")).agg(F.count("*").alias("suppliers"))
+    return a.join(b, "nk", "full").fillna(0)
+
+
+@query(
+    f"""SELECT event_id, strftime(strptime(strftime(ts, '%Y%m%d%H%M%S'), '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S') AS at, round(value)::BIGINT AS whole, user_id::VARCHAR AS user_text,
+TRY_CAST(props AS DOUBLE) AS none FROM events"""
+)
+def dtype_conversion(spark, sf_dir):
+    at = F.to_timestamp(F.date_format("ts", "yyyyMMddHHmmss"), "yyyyMMddHHmmss")
+    return read(spark, sf_dir, "events").select(
+        "event_id",
+        F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"),
+        F.round("value").cast("bigint").alias("whole"),
+        F.col("user_id").cast("string").alias("user_text"),
+        F.col("props").try_cast("double").alias("none"),
+    )
+
+
 @query(
     f"""WITH e AS (SELECT event_id, 167772160 + (user_id // 64) * 256 + user_id % 64 AS src, 3232235520 + (event_id % 2) * 256 + event_id % 8 AS dst FROM events)
 SELECT event_id, CASE WHEN EXISTS (SELECT 1 FROM {NETWORK_ROWS} WHERE src BETWEEN low AND high) THEN 1 ELSE 0 END AS src_ip_flag,
@@ -144,7 +169,7 @@ def join_cidr_flag(spark, sf_dir):
     from fernweave.sources.http_log import http_log
 
     log = http_log(spark, sf_dir).select("event_id", "src_ip", "dst_ip")
-    return joins.network_flags(log, net.networks(spark, NETWORKS), ["src_ip", "dst_ip"], "event_id").drop("src_ip", "dst_ip")
+    return joins.network_flags(log, net.network_ranges(spark.createDataFrame([(n,) for n in NETWORKS], "network string")), ["src_ip", "dst_ip"], "event_id").drop("src_ip", "dst_ip")
 
 
 @query(

@@ -121,6 +121,21 @@ def read_manifest(spark: SparkSession, path: str) -> dict[str, str]:
     return json.loads(spark.read.text(path).first()["value"])
 
 
+def save_model(spark: SparkSession, path: str, feature: str, version: str, state: dict) -> bool:
+    """Keep a fitted model's state as JSON under its feature and version; whether it was new."""
+    row = spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1)
+    return insert_version(row, f"{path}/{feature}", version)
+
+
+def load_model(spark: SparkSession, path: str, feature: str, version: str) -> dict:
+    return json.loads(versioned(spark, f"{path}/{feature}", version, ["state"]).first()["state"])
+
+
+def log_size(df: DataFrame, path: str, name: str, at: str) -> None:
+    """Append one row with the time, the table's name and its number of rows to a CSV log."""
+    df.agg(F.lit(at).alias("at"), F.lit(name).alias("name"), F.count("*").alias("rows")).coalesce(1).write.mode("append").option("header", True).csv(path)
+
+
 def update_config(df: DataFrame, model_id: int, changes: dict[str, str]) -> DataFrame:
     """Rows (model_id, config JSON) with fields of one model's config replaced or added."""
     fields = F.from_json("config", "map<string,string>")

@@ -31,7 +31,10 @@ def test_blocked_sources_are_out_and_null_blocks_nothing(spark):
 
 
 def test_network_edges_and_overlaps(spark):
-    nets = net.networks(spark, ["10.0.1.0/24", "10.0.1.0/25"])
+    cidrs = ["10.0.1.0/24", "10.0.1.7/25"]
+    nets = net.networks(spark, cidrs)
+    table = net.network_ranges(spark.createDataFrame([(c,) for c in [*cidrs, "bad", "10.0.0.1"]], "network string"))
+    assert {tuple(r) for r in nets.collect()} == {tuple(r) for r in table.where("network LIKE '%/%'").collect()} and table.count() == 3
     rows = spark.createDataFrame([(1, "10.0.1.0"), (2, "10.0.1.255"), (3, "10.0.2.0"), (4, None), (5, "x")], "k int, ip string")
     out = {r["k"]: r["ip_flag"] for r in joins.network_flags(rows, nets, ["ip"], "k").collect()}
     assert out == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
@@ -87,6 +90,23 @@ def test_vocabulary_csv_and_manifest(spark, tmp_path):
     assert store.read_manifest(spark, str(tmp_path / "m")) == {"model_version": "v"}
 
 
+def test_models_come_back(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0, "bot x"), ("b", 3.0, "head")], "c string, x double, t string")
+    for i, (model, apply) in enumerate(
+        [
+            (features.OneHot(["c"]).fit(df), lambda m: m.transform(df)),
+            (features.Scaler("robust", ["x"]).fit(df), lambda m: m.transform(df)),
+            (vectorize.KeywordTfidf(["bot", "head"], "true").fit(df, "t"), lambda m: m.rows(df, ["c"], "t")),
+        ]
+    ):
+        assert store.save_model(spark, str(tmp_path), f"f{i}", "v1", model.state()) and not store.save_model(spark, str(tmp_path), f"f{i}", "v1", {})
+        again = type(model).of(store.load_model(spark, str(tmp_path), f"f{i}", "v1"))
+        assert sorted(map(tuple, apply(again).collect())) == sorted(map(tuple, apply(model).collect()))
+    store.log_size(df, str(tmp_path / "log"), "t", "2024-01-01")
+    store.log_size(df, str(tmp_path / "log"), "t", "2024-01-02")
+    assert [r["rows"] for r in spark.read.csv(str(tmp_path / "log"), header=True).collect()] == ["2", "2"]
+
+
 def test_types_and_names():
     assert store.column_types("prep_number", ["src_ip", "other"]) == {"src_ip": "string", "other": "double"}
     assert store.valid_name("a_1") and not store.valid_name("1a") and not store.valid_name("a-b")
