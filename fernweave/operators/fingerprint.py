@@ -40,10 +40,10 @@ def normal_fingerprint(log: DataFrame, blocked: list[DataFrame], start: datetime
     dash = F.lit(True)
     for c in ("http_host", "http_agent", "http_query", "http_path"):
         dash = dash & (F.col(c) == "-")
-    kept = log.where(~(dash & (F.col("http_server") == LOAD_BALANCER)))
+    within = (F.col("logtime") >= ts(start)) & (F.col("logtime") <= ts(end))  # reaches the scan
+    kept = log.where(within & ~(dash & (F.col("http_server") == LOAD_BALANCER)))
     for other in blocked:
-        within = other.where((F.col("logtime") >= ts(start)) & (F.col("logtime") <= ts(end)))
-        kept = anti(kept, within, "src_ip")
+        kept = anti(kept, other.where(within), "src_ip")
     rows = kept.withColumn("slot", F.explode(F.array_compact(slots))).withColumn("text", train_text())
     out = (
         rows.groupBy("slot", bucket(F.col("logtime") + hours(9), interval).alias("lgtime"), "src_ip", "dst_ip")
