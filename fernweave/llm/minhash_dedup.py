@@ -41,6 +41,8 @@ SLOTS = 1 << 21
 FEW, TILE, TILE_SHINGLES = 16, 128, 400_000
 #: Keys (8 bytes each) that are broadcast; more are joined by a shuffle of the texts.
 BROADCAST_IDS = 1_000_000
+#: Buckets (20 bytes each) that are broadcast to find their members; more are joined by a shuffle of the band keys.
+BROADCAST_BUCKETS = 300_000
 
 
 def mixed(z: np.ndarray) -> np.ndarray:
@@ -236,7 +238,8 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
     keyed = classes.select(F.explode("bands").alias("h"), "id", "n")
     buckets = keyed.groupBy("h").agg(F.count("*").alias("size"), F.sum("n").alias("total")).where("size > 1")
     tiles = F.ceil(F.greatest(F.col("size") / TILE, F.col("total") / TILE_SHINGLES)).cast("int")
-    members = keyed.join(written(buckets.withColumn("tiles", tiles).drop("total")), "h")
+    buckets = written(buckets.withColumn("tiles", tiles).drop("total"))
+    members = keyed.join(F.broadcast(buckets) if buckets.count() <= BROADCAST_BUCKETS else buckets, "h")
     lists = written(
         members.groupBy("h", F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"))
         .agg(F.sort_array(F.collect_set("id")).alias("ids"), F.first("size").alias("size"), F.first("tiles").alias("tiles"))
