@@ -23,10 +23,13 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.config(map=settings | conf).getOrCreate()
 
 
+#: Temporary folders of sessions without a shared one, by application.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``; where that is unset (tests), under a temporary folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="fernweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="fernweave-"))
     return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
