@@ -53,15 +53,18 @@ def returned() -> None:
     pa.default_memory_pool().release_unused()
 
 
+#: Temporary folders of sessions without a shared one, by application.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share.
 
-    Where that setting is absent (tests), a temporary folder is set for the session.
+    Where that setting is absent (tests), in a temporary folder of the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="fernweave-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="fernweave-"))
     return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
 
 
