@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import WORD, held, mapped, table
+from fernweave.llm.common import WORD, first_rows, held, mapped, table
 
 #: Characters that count as symbols (fixed by the contract).
 SYMBOLS = "#*$%&|<>"
@@ -115,7 +115,7 @@ def estimates(df: DataFrame, text: str, rules: list[Rule], sample_rows: int = SA
     """(rule, seconds a row, share rejected) on at most ``sample_rows`` rows, measured by an executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in first_rows(batches, sample_rows):
             for value in batch.column(0):
                 t = value.as_py()
                 took, out = [], []
@@ -130,7 +130,6 @@ def estimates(df: DataFrame, text: str, rules: list[Rule], sample_rows: int = SA
 
     rows = (
         df.select(F.col(f"`{text}`").alias("t"))
-        .limit(sample_rows)
         .mapInArrow(run, "rule string, s double, rejected double")
         .groupBy("rule")
         .agg(F.avg("s").alias("s"), F.avg("rejected").alias("rejected"))
