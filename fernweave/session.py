@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -33,3 +36,22 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         root = _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="fernweave-"))
     return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
+
+
+ROOT = Path(__file__).resolve().parent.parent
+#: Applications whose executors have the package.
+_SHIPPED: set[str] = set()
+
+
+def importable() -> bool:
+    """Whether Python workers find the package by themselves: by path or in the folder they start in."""
+    return str(ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or Path.cwd() == ROOT
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors the package, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        at = shutil.make_archive(f"{tempfile.mkdtemp(prefix='fernweave-')}/fernweave", "zip", ROOT, "fernweave")
+        spark.sparkContext.addPyFile(at)
+        _SHIPPED.add(app)
