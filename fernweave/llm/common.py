@@ -86,6 +86,22 @@ def dropped(spark: SparkSession, at: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Scratch:
+    """Written tables that an operator removes once its result no longer reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        self.paths.append(shared_dir(self.spark))
+        return written(df, self.paths[-1])
+
+    def drop(self) -> None:
+        for at in self.paths:
+            dropped(self.spark, at)
+        self.paths = []
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the bytes of an Arrow batch, so that long texts do not fill a worker's memory."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -145,7 +161,7 @@ def first_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
         left -= batch.num_rows
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Connected components: columns ``a`` and ``b`` of longs in, ``id`` and ``root`` out.
 
     ``root`` is the smallest id of the component; ids without an edge are
@@ -189,6 +205,8 @@ def components(edges: DataFrame) -> DataFrame:
         if after == seen:
             break
         seen = after
+    if scratch is not None:
+        scratch.paths.append(at[0])
     return now.select(F.col("a").alias("id"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct()
     )

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernweave.llm.common import components, table, written
+from fernweave.llm.common import Scratch, components, table, written
 
 #: Cosine of a link (fixed by the contract).
 THRESHOLD = 0.93
@@ -145,7 +145,8 @@ def near_vectors(
     ).withColumn("good", F.coalesce(good, F.lit(False)))
     hashed = {"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")}
     rows = written(rows.withColumns({k: F.when(F.col("good"), c) for k, c in hashed.items()}).drop("good"))
-    classes = written(
+    scratch = Scratch(df.sparkSession)
+    classes = scratch.written(
         rows.where("h1 is not null")
         .groupBy("label", "h1", "h2")
         .agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v"))
@@ -169,15 +170,15 @@ def near_vectors(
             }
         )
 
-    packed = written(
+    packed = scratch.written(
         dealt.select("label", "dim", "tile", "id", "copies", "v").groupBy("label", "dim", "tile").applyInPandas(pack, packed_schema)
     )
     other = packed.select("label", "dim", *[F.col(c).alias(f"{c}2") for c in ("tile", "ids", "copies", "vectors")])
     units = packed.join(other, ["label", "dim"]).where("tile <= tile2")
-    found = written(
+    found = scratch.written(
         units.groupBy("label", "dim", "tile", "tile2").applyInPandas(lambda pdf: compared(pdf, threshold), "id long, n long, low long")
     )
-    labels = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    labels = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")), scratch)
     named = written(
         classes.select("label", "h1", "h2", "id", "copies")
         .join(found.groupBy("id").agg(F.sum("n").alias("n")), "id", "left")
@@ -190,6 +191,7 @@ def near_vectors(
             F.coalesce("root", "id").alias("component_id"),
         )
     )
+    scratch.drop()
     joined = rows.drop("v").join(named, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("label") == F.col("l")), "left")
     own = F.coalesce("component_id", "id")
     return joined.select(

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import bounded_batches, components, held, mapped, table, written
+from fernweave.llm.common import Scratch, bounded_batches, components, held, mapped, table, written
 
 #: Words of a shingle, and the similarity of a link in percent.
 WIDTH, PERCENT = 5, 85
@@ -203,6 +203,7 @@ def near_duplicates(
     percent: int = PERCENT,
     bands: int = BANDS,
     rows: int = ROWS,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """For each row of ``df``: key, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -211,36 +212,38 @@ def near_duplicates(
     does a row without a key: its component is null and it is kept. Rows that
     repeat a key are one document, linked by any of their texts. Texts are
     compared whole. An empty table gives an empty one; other columns do not
-    matter.
+    matter. The two tables that the result reads are left to ``scratch``.
     """
-    sketch = written(sketches(df, text, [key], width, bands, rows).withColumnRenamed(key, "id"))
-    classes = written(
+    own, result = Scratch(df.sparkSession), scratch or Scratch(df.sparkSession)
+    sketch = result.written(sketches(df, text, [key], width, bands, rows).withColumnRenamed(key, "id"))
+    classes = own.written(
         sketch.where("id is not null and f1 is not null")
         .groupBy("f1", "f2")
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     )
-    edges = candidate_links(classes, df, key, text, width, percent)
-    labels = components(edges)
-    named = written(
+    edges = candidate_links(classes, df, key, text, width, percent, own)
+    labels = components(edges, own)
+    named = result.written(
         classes.select("f1", "f2", "id").join(labels, "id", "left").select("f1", "f2", F.coalesce("root", "id").alias("component_id"))
     )
-    own = F.coalesce("component_id", "id")
+    own.drop()
+    low = F.coalesce("component_id", "id")
     return sketch.select("id", "n_shingles", "f1", "f2").join(named, ["f1", "f2"], "left").select(
         F.col("id").alias(key),
         "n_shingles",
-        F.when(F.col("id").isNotNull(), own).alias("component_id"),
-        (F.col("id").isNull() | (F.col("id") == own)).alias("kept"),
+        F.when(F.col("id").isNotNull(), low).alias("component_id"),
+        (F.col("id").isNull() | (F.col("id") == low)).alias("kept"),
     )
 
 
-def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, width: int, percent: int, scratch: Scratch) -> DataFrame:
     """Forest edges of all confirmed links between the classes' documents."""
     keyed = classes.select(F.explode("bands").alias("h"), "id", "n")
     buckets = keyed.groupBy("h").agg(F.count("*").alias("size"), F.sum("n").alias("total")).where("size > 1")
     tiles = F.ceil(F.greatest(F.col("size") / TILE, F.col("total") / TILE_SHINGLES)).cast("int")
-    buckets = written(buckets.withColumn("tiles", tiles).drop("total"))
+    buckets = scratch.written(buckets.withColumn("tiles", tiles).drop("total"))
     members = keyed.join(F.broadcast(buckets) if buckets.count() <= BROADCAST_BUCKETS else buckets, "h")
-    lists = written(
+    lists = scratch.written(
         members.groupBy("h", F.pmod(F.xxhash64("id"), F.col("tiles")).alias("tile"))
         .agg(F.sort_array(F.collect_set("id")).alias("ids"), F.first("size").alias("size"), F.first("tiles").alias("tiles"))
     )
@@ -258,23 +261,23 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
     starred = many.join(first, "h", "left").select(
         F.sort_array(F.array_union("ids", F.coalesce("first", F.array().cast("array<long>")))).alias("ids")
     )
-    units = written(merged.union(starred.where("size(ids) > 1").distinct()))
+    units = scratch.written(merged.union(starred.where("size(ids) > 1").distinct()))
     # Only candidates' texts go on: every member of a later unit stands in one of these.
-    ids = written(units.select(F.explode("ids").alias("id")).distinct())
+    ids = scratch.written(units.select(F.explode("ids").alias("id")).distinct())
     texts = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    texts = written(texts.join(few_or_not(ids), "id"))
-    edges = written(verified(units, texts, width, percent))
+    texts = scratch.written(texts.join(few_or_not(ids), "id"))
+    edges = scratch.written(verified(units, texts, width, percent))
     cut = lists.where("tiles > 1").select("h", "tile", "ids")
     if cut.isEmpty():
         return edges
-    labels = components(edges)
+    labels = components(edges, scratch)
     spread = (
         cut.select("h", "tile", F.explode("ids").alias("id"))
         .join(labels, "id", "left")
         .groupBy("h", "tile")
         .agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
     )
-    spread = written(spread)
+    spread = scratch.written(spread)
     other = spread.select("h", F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     apart = spread.join(other, "h").where("tile > 0 and tile < tile2 and (low <> high or low <> low2 or low2 <> high2)")
     rest = (
@@ -284,12 +287,14 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
         .select(F.sort_array(F.array_union("ids", "ids2")).alias("ids"))
         .distinct()
     )
-    return edges.union(written(verified(rest, texts, width, percent)))
+    return edges.union(scratch.written(verified(rest, texts, width, percent)))
 
 
 def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` whose document is kept: of each component that with the smallest key."""
-    gone = written(near_duplicates(df, key, text).where("not kept").select(F.col(key).alias("__gone")).distinct())
+    scratch = Scratch(df.sparkSession)
+    gone = written(near_duplicates(df, key, text, scratch=scratch).where("not kept").select(F.col(key).alias("__gone")).distinct())
+    scratch.drop()
     return df.join(few_or_not(gone), F.col(f"`{key}`") == F.col("__gone"), "left_anti")
 
 

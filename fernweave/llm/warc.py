@@ -28,7 +28,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fernweave.llm.common import bounded_batches, shared_dir, table, written
+from fernweave.llm.common import Scratch, bounded_batches, shared_dir, table, written
 
 #: The skippable frame that holds the dictionary, and the magic of a data frame (fixed by the formats).
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -270,7 +270,8 @@ def archive_pages(df: DataFrame, key: str = "page_id", url: str = "url", html: s
         F.col(f"`{url}`").alias("uri"),
         F.coalesce(F.col(f"`{html}`"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
-    first = written(
+    scratch = Scratch(spark)
+    first = scratch.written(
         rows.where(F.octet_length("payload") >= LEAST_REVISIT)
         .select(F.col("digest").alias("same"), "key")
         .groupBy("same")
@@ -292,7 +293,9 @@ def archive_pages(df: DataFrame, key: str = "page_id", url: str = "url", html: s
         "digest",
         F.when(F.col("first") < F.col("key"), name("first")).alias("refers_to"),
     )
-    return write_archives(records, at or shared_dir(spark))
+    archives = write_archives(records, at or shared_dir(spark))
+    scratch.drop()
+    return archives
 
 
 def op2_warc(spark, sf_dir: str) -> DataFrame:
