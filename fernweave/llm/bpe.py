@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from fernweave.llm.common import held, mapped, table
 
 #: States of the transducer, remembered pairs and remembered pre-tokens of a worker; beyond, it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 120_000, 80_000, 200_000
+MAX_STATES, MAX_PAIRS, MAX_PIECES = 130_000, 120_000, 200_000
 #: Bits of a token's number plus one in packed integers.
 SHIFT = 24
 MASK = (1 << SHIFT) - 1
@@ -60,22 +60,29 @@ class Transducer:
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.length = {r: len(t) for t, r in ranks.items()}
-        self._halves: dict[int, tuple[int, int] | None] = {}
+        size = max(ranks.values()) + 1
+        self.left, self.right = [-1] * size, [-1] * size  # halves of each token
+        self.joined: dict[int, int] = {}  # left half << SHIFT | right half: token
+        for token, rank in ranks.items():
+            a, b = self.left[rank], self.right[rank] = self._halves(token, rank)
+            if a >= 0:
+                self.joined[a << SHIFT | b] = rank
         self._pairs: dict[int, bool] = {}
-        self.children: dict[int, int] = {}  # node * 256 + byte: node
-        self.token_at = [-1]
+        self.children: dict[int, int] = {}  # node << 8 | byte: node
+        self.closes = [-1]  # the token that a node ends, if merges can make it
         for token, rank in ranks.items():
             node = 0
             for byte in token:
                 key = node << 8 | byte
                 after = self.children.get(key)
                 if after is None:
-                    after = self.children[key] = len(self.token_at)
-                    self.token_at.append(-1)
+                    after = self.children[key] = len(self.closes)
+                    self.closes.append(-1)
                 node = after
-            self.token_at[node] = rank
-        self.depth = [0] * len(self.token_at)
-        self.inner = [False] * len(self.token_at)  # whether a node has children
+            if self.reachable(rank):
+                self.closes[node] = rank
+        self.depth = [0] * len(self.closes)
+        self.inner = [False] * len(self.closes)  # whether a node has children
         for key, node in self.children.items():
             self.inner[key >> 8] = True
             self.depth[node] = self.depth[key >> 8] + 1
@@ -97,24 +104,23 @@ class Transducer:
             self.open.append(packed)
         return at
 
-    def halves(self, token: int) -> tuple[int, int] | None:
-        """The two tokens that are merged last to make ``token``; none for a byte or a token that merges cannot make."""
-        if token not in self._halves:
-            parts = [self.ranks[bytes([b])] for b in self.bytes_of[token]]
-            while len(parts) > 2:
-                best, at = token, -1
-                for i in range(len(parts) - 1):
-                    r = self.ranks.get(self.bytes_of[parts[i]] + self.bytes_of[parts[i + 1]], token)
-                    if r < best:
-                        best, at = r, i
-                if at < 0:
-                    break
-                parts[at : at + 2] = [best]
-            self._halves[token] = (parts[0], parts[1]) if len(parts) == 2 else None
-        return self._halves[token]
+    def _halves(self, token: bytes, rank: int) -> tuple[int, int]:
+        """The two tokens merged last to make ``token``; (-1, -1) for a byte or a token that merges cannot make."""
+        parts = [self.ranks[token[i : i + 1]] for i in range(len(token))]
+        ranks, bytes_of = self.ranks, self.bytes_of
+        while len(parts) > 2:
+            best, at = rank, -1
+            for i in range(len(parts) - 1):
+                r = ranks.get(bytes_of[parts[i]] + bytes_of[parts[i + 1]], rank)
+                if r < best:
+                    best, at = r, i
+            if at < 0:
+                return -1, -1
+            parts[at : at + 2] = [best]
+        return (parts[0], parts[1]) if len(parts) == 2 else (-1, -1)
 
     def reachable(self, token: int) -> bool:
-        return len(self.bytes_of[token]) == 1 or self.halves(token) is not None
+        return self.length[token] == 1 or self.left[token] >= 0
 
     def fits(self, left: int, right: int) -> bool:
         """Whether ``right`` may follow ``left``: no merge across their boundary comes before theirs are done.
@@ -123,41 +129,41 @@ class Transducer:
         two tokens at the boundary merge earlier than what was undone, they
         would not have stayed apart.
         """
-        key = left << SHIFT | right
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= MAX_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self._fits(left, right)
-        return known
-
-    def _fits(self, left: int, right: int) -> bool:
-        undone = 1 << 62
+        undone, joined = 1 << 62, self.joined
         while True:
-            joint = self.ranks.get(self.bytes_of[left] + self.bytes_of[right])
-            if joint is not None and joint < undone and self.halves(joint) == (left, right):
+            joint = joined.get(left << SHIFT | right)
+            if joint is not None and joint < undone:
                 return False
-            a, b = self.halves(left), self.halves(right)
+            a, b = self.right[left], self.left[right]
             # Of two equal merges the left one comes first, so the right one is undone first.
-            if a is None and b is None:
-                return True
-            if b is None or (a is not None and left > right):
-                undone, left = left, a[1]
+            if b < 0 or (a >= 0 and left > right):
+                if a < 0:
+                    return True
+                undone, left = left, a
             else:
-                undone, right = right + 1, b[0]
+                undone, right = right + 1, b
 
     def _grow(self, state: int, byte: int) -> int:
         """Determinise one more transition."""
-        open_, closed = [], -1
+        open_, closed, pairs = [], -1, self._pairs
         for packed in array("Q", self.open[state]):
             after = self.children.get((packed >> SHIFT) << 8 | byte)
             if after is None:
                 continue
-            last, token = (packed & MASK) - 1, self.token_at[after]
-            if token >= 0 and closed < 0 and self.reachable(token) and (last < 0 or self.fits(last, token)):
-                closed = token
+            last = packed & MASK
+            if closed < 0 and (token := self.closes[after]) >= 0:
+                if last:
+                    fits = pairs.get(key := last << SHIFT | token)
+                    if fits is None:
+                        if len(pairs) >= MAX_PAIRS:
+                            pairs.clear()
+                        fits = pairs[key] = self.fits(last - 1, token)
+                    if fits:
+                        closed = token
+                else:
+                    closed = token
             if self.inner[after]:
-                open_.append(after << SHIFT | last + 1)
+                open_.append(after << SHIFT | last)
         open_.append(closed + 1)
         out = self.delta[state << 8 | byte] = self._state(open_) << SHIFT | closed
         return out
