@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernweave.functions.net import ip_number
@@ -37,23 +37,30 @@ def filled_from(df: DataFrame, other: DataFrame, keys: list[str], column: str, n
     return df.join(right, keys, "left").withColumn(name, F.coalesce("__right", column)).drop("__right")
 
 
-def network_flags(df: DataFrame, nets: DataFrame, addresses: list[str], key: str) -> DataFrame:
-    """Add ``<address>_flag``: 1 if the address lies in any network, else 0. ``key`` names the row.
+def disjoint(nets: DataFrame) -> DataFrame:
+    """Networks of each first octet merged into ranges that do not overlap."""
+    order = Window.partitionBy("octet1").orderBy("low", "high")
+    before = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begun = nets.withColumn("new", F.when(F.col("low") > F.coalesce(before, F.lit(-1)), 1).otherwise(0))
+    numbered = begun.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("octet1", "run").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("run")
 
-    Networks are met by first octet, then by range; overlapping ones count once.
+
+def network_flags(df: DataFrame, nets: DataFrame, addresses: list[str]) -> DataFrame:
+    """Add ``<address>_flag``: 1 if the address lies in any network, else 0.
+
+    Overlapping networks are merged first, so an address meets one range at
+    most: by first octet, then by range. Rows of ``df`` are not shuffled while
+    the list is short enough for a broadcast, which is checked.
     """
-    side = F.broadcast(nets) if nets.count() <= BROADCAST_NETWORKS else nets
+    ranges = disjoint(nets)
+    side = F.broadcast(ranges) if nets.count() <= BROADCAST_NETWORKS else ranges
     out = df
     for a in addresses:
-        number = ip_number(a)
-        hits = (
-            df.select(F.col(key).alias("__k"), number.alias("__n"))
-            .join(side, (F.shiftright("__n", 24) == F.col("octet1")) & F.col("__n").between(F.col("low"), F.col("high")), "left_semi")
-            .select("__k")
-            .distinct()
-            .withColumn(f"{a}_flag", F.lit(1))
-        )
-        out = out.join(hits, F.col(key) == F.col("__k"), "left").drop("__k").fillna(0, [f"{a}_flag"])
+        own = side.select(F.col("octet1").alias("__o"), F.col("low").alias("__l"), F.col("high").alias("__h"))
+        out = out.withColumn("__n", ip_number(a))
+        met = (F.shiftright("__n", 24) == F.col("__o")) & F.col("__n").between(F.col("__l"), F.col("__h"))
+        out = out.join(own, met, "left").withColumn(f"{a}_flag", F.col("__l").isNotNull().cast("int")).drop("__n", "__o", "__l", "__h")
     return out
 
 

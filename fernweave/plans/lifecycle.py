@@ -95,7 +95,7 @@ def predict(spark: SparkSession, config: Config, model: models.MultiClass, versi
 def check_blocked(spark: SparkSession, config: Config, version: str, nets: DataFrame) -> DataFrame:
     """Detections of a version with flags of whether source and destination stand in the networks."""
     rows = store.versioned(spark, config.path("result"), version, ["index", "lgtime", "src_ip", "dst_ip", "ai_label"])
-    return network_flags(rows.where("ai_label <> 'normal'"), nets, ["src_ip", "dst_ip"], "index")
+    return network_flags(rows.where("ai_label <> 'normal'"), nets, ["src_ip", "dst_ip"])
 
 
 def publish(spark: SparkSession, config: Config, version: str) -> None:

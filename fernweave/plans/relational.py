@@ -169,7 +169,7 @@ def join_cidr_flag(spark, sf_dir):
     from fernweave.sources.http_log import http_log
 
     log = http_log(spark, sf_dir).select("event_id", "src_ip", "dst_ip")
-    return joins.network_flags(log, net.network_ranges(spark.createDataFrame([(n,) for n in NETWORKS], "network string")), ["src_ip", "dst_ip"], "event_id").drop("src_ip", "dst_ip")
+    return joins.network_flags(log, net.network_ranges(spark.createDataFrame([(n,) for n in NETWORKS], "network string")), ["src_ip", "dst_ip"]).drop("src_ip", "dst_ip")
 
 
 @query(

@@ -36,7 +36,7 @@ def test_network_edges_and_overlaps(spark):
     table = net.network_ranges(spark.createDataFrame([(c,) for c in [*cidrs, "bad", "10.0.0.1"]], "network string"))
     assert {tuple(r) for r in nets.collect()} == {tuple(r) for r in table.where("network LIKE '%/%'").collect()} and table.count() == 3
     rows = spark.createDataFrame([(1, "10.0.1.0"), (2, "10.0.1.255"), (3, "10.0.2.0"), (4, None), (5, "x")], "k int, ip string")
-    out = {r["k"]: r["ip_flag"] for r in joins.network_flags(rows, nets, ["ip"], "k").collect()}
+    out = {r["k"]: r["ip_flag"] for r in joins.network_flags(rows, nets, ["ip"]).collect()}
     assert out == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
 
 
