@@ -144,6 +144,20 @@ def mapped(
     return shaped.mapInArrow(run, T.StructType(fields + list(added)))
 
 
+#: Characters of a sampled text at most, so that a sample's size is bounded.
+SAMPLE_CHARS = 16_384
+
+
+def sampled_texts(df: DataFrame, text: str, rows: int) -> list[str]:
+    """At most ``rows`` texts from the first partitions, none longer than ``SAMPLE_CHARS``.
+
+    Spark reads one partition, then more only as needed, and shuffles nothing.
+    For use where a sample tunes the work and decides no result.
+    """
+    t = F.col(f"`{text}`")
+    return [r[0] for r in df.select(t.alias("t")).where(F.char_length(t) <= SAMPLE_CHARS).take(rows)]
+
+
 #: Partitions that a sample's rows come from.
 SAMPLE_PARTITIONS = 4
 

@@ -4,7 +4,7 @@ The driver broadcasts a compact hash table of frequent pre-tokens and their
 numbers of tokens. A worker looks each pre-token of a text up there (first
 tier), then in its own bounded cache (second tier), and runs the tokenizer's
 model only on what neither holds. Pre-tokens are never shuffled: the frequent
-ones come from a bounded sample of rows, counted where these are. The sample sets
+ones come from a bounded sample of rows that the driver counts. The sample sets
 which lookups are fast, never a count.
 
 A tokenizer file whose split into pre-tokens is not the byte-level one is
@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import bounded_batches, first_rows, held, mapped, table
+from fernweave.llm.common import held, mapped, sampled_texts, table
 
 #: Rows of the sample that the frequent pre-tokens come from, and how many of these are broadcast at most.
-SAMPLE_ROWS, FREQUENT = 4000, 1 << 16
+SAMPLE_ROWS, FREQUENT = 2000, 1 << 16
 #: Longer pre-tokens (in bytes) are not broadcast; with ``FREQUENT`` this bounds the table at 6 MB.
 LONG_PIECE = 64
 #: Entries of a generation of a worker's cache.
@@ -175,31 +175,14 @@ def _whole_text(path: str):
     return lambda texts: [len(tokenizer.encode(x, add_special_tokens=False).ids) for x in texts]
 
 
-def frequent_lengths(df: DataFrame, path: str, text: str, sample_rows: int = SAMPLE_ROWS) -> CompactTable:
-    """The most frequent pre-tokens of at most ``sample_rows`` rows with their numbers of tokens.
-
-    The sample's tasks count their own rows; the driver adds up their few tables.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        own = byte_level(path)
-        for batch in first_rows(batches, sample_rows):
-            for t in batch.column(0).to_pylist():
-                for pieces in own.split(t)[0] if t else ():
-                    counts.update(pieces)
-            if len(counts) > 8 * FREQUENT:  # rare ones go, so the task's memory is bounded
-                counts = Counter(dict(counts.most_common(4 * FREQUENT)))
-        out = [(p, own.length(p), n) for p, n in counts.most_common(FREQUENT) if len(p.encode()) <= LONG_PIECE]
-        yield pa.RecordBatch.from_pydict(dict(zip(("piece", "n", "seen"), zip(*out, strict=True), strict=True)) if out else {"piece": [], "n": [], "seen": []})
-
-    bounded_batches(df.sparkSession)
-    found = df.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "piece string, n long, seen long").toArrow()
-    counts, lengths = Counter(), {}
-    for piece, n, seen in zip(*(found.column(c).to_pylist() for c in ("piece", "n", "seen")), strict=True):
-        counts[piece] += seen
-        lengths[piece] = n
-    return CompactTable(sorted((p.encode(), lengths[p]) for p, _ in counts.most_common(FREQUENT)))
+def frequent_lengths(texts: list[str], path: str) -> CompactTable:
+    """The most frequent pre-tokens of the sampled texts with their numbers of tokens."""
+    own, counts = ByteLevel(path), Counter()
+    for t in texts:
+        for pieces in own.split(t)[0]:
+            counts.update(pieces)
+    found = ((p, p.encode()) for p, _ in counts.most_common(FREQUENT))
+    return CompactTable(sorted((b, own.length(p)) for p, b in found if len(b) <= LONG_PIECE))
 
 
 ADDED = T.StructType([T.StructField("n_tokens", T.LongType())])
@@ -222,7 +205,7 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", keep: list[str] |
 
         return mapped(df, [text], plain, ADDED, keep)
 
-    frequent = df.sparkSession.sparkContext.broadcast(frequent_lengths(df, path, text, sample_rows))
+    frequent = df.sparkSession.sparkContext.broadcast(frequent_lengths(sampled_texts(df, text, sample_rows), path))
     frequent_id = uuid.uuid4().hex
 
     def run(texts: list[str | None]) -> list[pa.Array]:
