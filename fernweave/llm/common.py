@@ -13,7 +13,6 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,23 +157,6 @@ def sampled_texts(df: DataFrame, text: str, rows: int) -> list[str]:
     return [r[0] for r in df.select(t.alias("t")).where(F.char_length(t) <= SAMPLE_CHARS).take(rows)]
 
 
-#: Partitions that a sample's rows come from.
-SAMPLE_PARTITIONS = 4
-
-
-def first_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """A task's part of a sample of at most ``rows`` rows: the first of the first few partitions.
-
-    Nothing is shuffled, and the other tasks end without reading on. For use
-    where a sample tunes the work and decides no result.
-    """
-    context = TaskContext.get()
-    left = -(-rows // SAMPLE_PARTITIONS) if context is None or context.partitionId() < SAMPLE_PARTITIONS else 0
-    while left > 0 and (batch := next(batches, None)) is not None:
-        yield batch.slice(0, left)
-        left -= batch.num_rows
-
-
 def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Connected components: columns ``a`` and ``b`` of longs in, ``id`` and ``root`` out.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import time
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import WORD, first_rows, held, mapped, table
+from fernweave.llm.common import WORD, held, mapped, sampled_texts, table
 
 #: Characters that count as symbols (fixed by the contract).
 SYMBOLS = "#*$%&|<>"
@@ -111,32 +111,16 @@ RULES = BASE + MORE
 SAMPLE_ROWS = 400
 
 
-def estimates(df: DataFrame, text: str, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
-    """(rule, seconds a row, share rejected) on at most ``sample_rows`` rows, measured by an executor."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in first_rows(batches, sample_rows):
-            for value in batch.column(0):
-                t = value.as_py()
-                took, out = [], []
-                for rule in rules:
-                    measures = Measures(t)
-                    began = time.perf_counter()
-                    out.append(bool(rule.rejects(measures)))
-                    took.append(time.perf_counter() - began)
-                yield pa.RecordBatch.from_pydict(
-                    {"rule": [r.name for r in rules], "s": took, "rejected": [float(x) for x in out]}
-                )
-
-    rows = (
-        df.select(F.col(f"`{text}`").alias("t"))
-        .mapInArrow(run, "rule string, s double, rejected double")
-        .groupBy("rule")
-        .agg(F.avg("s").alias("s"), F.avg("rejected").alias("rejected"))
-        .collect()
-    )
-    found = {r["rule"]: (r["s"], r["rejected"]) for r in rows}
-    return [(r.name, *found.get(r.name, (0.0, 0.0))) for r in rules]
+def estimates(texts: list[str], rules: list[Rule]) -> list[tuple[str, float, float]]:
+    """(rule, seconds a text, share rejected) of each rule on its own; zeros without texts."""
+    out = []
+    for rule in rules:
+        fresh = [Measures(t) for t in texts]
+        began = time.perf_counter()
+        rejected = sum(bool(rule.rejects(m)) for m in fresh)
+        took = time.perf_counter() - began
+        out.append((rule.name, took / max(1, len(texts)), rejected / max(1, len(texts))))
+    return out
 
 
 def ordered(rules: list[Rule], estimated: list[tuple[str, float, float]]) -> list[Rule]:
@@ -159,7 +143,7 @@ def judge_quality(
     length. Repeated rows are judged alike; an empty table gives an empty one;
     columns named like the added ones give way to them.
     """
-    cascade = [r.rejects for r in ordered(rules, estimates(df, text, rules, sample_rows))]
+    cascade = [r.rejects for r in ordered(rules, estimates(sampled_texts(df, text, sample_rows), rules))]
     measures = list(measures)
 
     def run(texts: list[str | None]) -> list[pa.Array]:
