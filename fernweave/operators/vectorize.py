@@ -113,9 +113,9 @@ class KeywordTfidf:
 
     def arrays(self, df: DataFrame, text: str) -> DataFrame:
         """Append ``feature`` (the vocabulary) and ``score`` (a weight for each word), within the row."""
-        count = lambda w: F.size(F.filter("__t", lambda t: t == w)).cast("double")
+        count = lambda w: (F.size("__t") - F.size(F.array_remove("__t", w))).cast("double")
         idf = F.array(*[F.lit(self.idf[w]) for w in self.vocabulary])
-        raw = F.zip_with(F.transform(terms(self.vocabulary), count), idf, lambda a, b: a * b)
+        raw = F.zip_with(F.array(*[count(w) for w in self.vocabulary]), idf, lambda a, b: a * b)
         out = df.withColumn("__t", F.filter(tokens(text), lambda t: F.array_contains(terms(self.vocabulary), t))).withColumn("__r", raw)
         norm = F.sqrt(F.aggregate("__r", F.lit(0.0), lambda s, x: s + x * x))
         out = out.withColumn("__n", norm).withColumn("feature", terms(self.vocabulary))
