@@ -1,6 +1,9 @@
 """License scans as an exact set-similarity join, in DataFrame functions only.
 
-A text block is a line; a template is the set of words of a license notice. A
+A template is the set of words of a license notice. A text block is a line and,
+as notices are hard-wrapped, the words that follow it in its paragraph, as many
+as the longest template has; so any notice lies in a block, however its lines
+are parted. The query ``op8_license_scan`` and its SQL take single lines only. A
 block meets a template if it holds at least ``THRESHOLD`` of the template's
 words. All words of templates are ordered by their number of blocks in the
 whole corpus, the rarest first. With ``need`` words of a template's ``n``
@@ -143,12 +146,29 @@ def matches(blocks: Column, order: list[str], templates: list[Template]) -> Colu
     return F.flatten(F.transform(ranked, met))
 
 
+def wrapped_blocks(lines: Column, most: int) -> Column:
+    """Each line with the ``most`` words behind it, up to the next line without words."""
+
+    def block(line: Column, i: Column) -> Column:
+        def longer(s: Column, x: Column) -> Column:
+            new = F.call_function("substring_index", F.trim(x), F.lit(" "), s["left"])
+            more = F.struct(F.concat_ws(" ", s["text"], new).alias("text"), (s["left"] - F.size(F.split(new, " "))).alias("left"))
+            end = F.struct(s["text"].alias("text"), F.lit(0).alias("left"))
+            return F.when(s["left"] == 0, s).when(F.trim(x) == "", end).otherwise(more)
+
+        left = F.when(F.trim(line) == "", F.lit(0)).otherwise(F.lit(most))
+        return F.aggregate(F.slice(lines, i + 2, most), F.struct(line.alias("text"), left.alias("left")), longer, lambda s: s["text"])
+
+    return F.transform(lines, block)
+
+
 def scan_licenses(
     df: DataFrame,
     text: str = "text",
     templates: list[tuple[str, str]] = TEMPLATES,
     phrases: list[tuple[str, str]] = PHRASES,
     threshold: float = THRESHOLD,
+    wrapped: bool = True,
 ) -> DataFrame:
     """Append n_words, the phrases' places, labels and the score to each row, all as DataFrame functions.
 
@@ -157,6 +177,7 @@ def scan_licenses(
     empty table gives an empty one; columns with clashing names give way.
     ``score`` is 1 where a phrase stands, else the largest share of a
     template's words that a block holds, if at least ``threshold``, else 0.
+    Without ``wrapped`` a block is a single line.
     """
     order = global_order(df, text, templates)
     at = {w: i for i, w in enumerate(order)}
@@ -171,10 +192,18 @@ def scan_licenses(
     two = one.select(*[f"`{c.name}`" for c in one.schema], flat.alias("__flat"))
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     n_words = F.when(F.col("__flat") == "  ", F.lit(0)).otherwise(spaces(F.col("__flat")) - 1).cast("long")
+    lines = F.split("__normal", "\n")
+    if wrapped:
+        # Only texts that meet a template as a whole can do so in a block.
+        two = two.withColumns({"__lines": lines, "__whole": matches(F.array("__flat"), order, ranked)})
+        most = max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in templates)
+        met = F.when(F.size("__whole") > 0, matches(wrapped_blocks(F.col("__lines"), most), order, ranked)).otherwise(F.col("__whole"))
+    else:
+        met = matches(lines, order, ranked)
     three = two.withColumns(
         {
             "__n": n_words,
-            "__met": matches(F.split("__normal", "\n"), order, ranked),
+            "__met": met,
             "__has": F.array(*[F.contains("__flat", F.lit(f" {p} ")) for p, _ in phrases]),
         }
     )
@@ -207,10 +236,15 @@ def scan_licenses(
             "labels": F.array_join(F.array_sort(both), ","),
             "score": F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(best),
         }
-    ).drop("__normal", "__flat", "__n", "__met", "__has", "__base")
+    ).drop("__normal", "__flat", "__lines", "__whole", "__n", "__met", "__has", "__base")
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), wrapped=False).drop("text")
+
+
+def op8_license_scan_wrapped(spark, sf_dir: str) -> DataFrame:
+    """The scan of ``op8_license_scan`` with notices found over line ends too."""
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
@@ -247,6 +281,6 @@ FROM w LEFT JOIN base USING (rid) LEFT JOIN method USING (rid)
 """
 
 
-QUERIES = {"op8_license_scan": op8_license_scan}
+QUERIES = {"op8_license_scan": op8_license_scan, "op8_license_scan_wrapped": op8_license_scan_wrapped}
 ORACLE = _oracle()
 ORACLES = {"op8_license_scan": ORACLE}

@@ -1,3 +1,6 @@
+import re
+import textwrap
+
 from compare import DATA, of_spark, of_sql
 
 from fernweave.llm import license_scan as L
@@ -41,3 +44,38 @@ def test_every_template_is_found_by_its_own_words(spark):
 
 def test_empty_table(spark, folder):
     assert L.op8_license_scan(spark, folder(documents=[])).count() == 0
+
+
+def in_wrapped_lines(text):
+    """Labels and the best share by a plain look at each line and the words behind it in its paragraph."""
+    most, out = max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in L.TEMPLATES), {}
+    lines = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line.translate(str.maketrans(L.UPPER, L.LOWER))) for line in (text or "").split("\n")]
+    for i, line in enumerate(lines):
+        end = next((j for j in range(i, len(lines)) if not lines[j]), len(lines))
+        own = set(line) | set([w for x in lines[i + 1 : end] for w in x][:most])
+        for label, t in L.TEMPLATES:
+            share = len(own & set(L.words(t))) / len(L.words(t))
+            if share >= L.THRESHOLD:
+                out[label] = max(share, out.get(label, 0))
+    return set(out), max(out.values(), default=0.0)
+
+
+def test_wrapped_notices_are_found(spark, folder, odd_documents):
+    texts = ["x\n" + " * " + textwrap.fill(t, width, break_long_words=False, break_on_hyphens=False).replace("\n", "\n * ") + " and more\ny" for _, t in L.TEMPLATES for width in (12, 30, 72)]
+    apart = "Licensed under the Apache\n\nLicense, Version 2.0"  # two paragraphs
+    rows = odd_documents + [(100 + i, t) for i, t in enumerate(MORE + texts + [apart])]
+    got = {r["doc_id"]: r for r in L.op8_license_scan_wrapped(spark, folder(documents=rows)).collect() if r["doc_id"]}
+    for i, (label, _) in enumerate((t for t in L.TEMPLATES for _ in range(3)), 100 + len(MORE)):
+        assert label in got[i]["labels"].split(",")
+    assert got[103]["labels"] == "apache-2.0" and got[103]["score"] == 1 and got[100 + len(MORE) + len(texts)]["labels"] == ""
+    for k, t, *_ in rows:
+        if k and k != 4:
+            labels, score = in_wrapped_lines(t)
+            base = set(filter(None, got[k]["base_labels"].split(",")))
+            assert set(filter(None, got[k]["labels"].split(","))) == labels | base and got[k]["score"] == (1 if base else score)
+
+
+def test_wrapped_query_finds_what_lines_do(spark):
+    lines = {r["doc_id"]: r for r in L.op8_license_scan(spark, DATA).collect()}
+    for r in L.op8_license_scan_wrapped(spark, DATA).collect():
+        assert set(lines[r["doc_id"]]["labels"].split(",")) - {""} <= set(r["labels"].split(",")) and lines[r["doc_id"]]["score"] <= r["score"]
