@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fernweave.functions.vectors import argmax_label
-from fernweave.operators import aggregate, features, joins, metrics, models, rules, soinn, vectorize
+from fernweave.operators import aggregate, features, joins, metrics, models, rules, sampling, soinn, vectorize
 from fernweave.plans.registry import query, read
 from fernweave.session import shared_dir
 from fernweave.sources import store
@@ -419,7 +419,7 @@ def _labelled(spark, sf_dir):
 
 @query()
 def soinn_fit(spark, sf_dir):
-    nodes, edges = soinn.fit(_labelled(spark, sf_dir).where("vec_id < 500"), "vec_id", "embedding", "label", 2000, soinn.Settings(patience=5))
+    nodes, edges = soinn.fit(_labelled(spark, sf_dir), "vec_id", "embedding", "label", 2000, soinn.Settings(patience=5))
     return nodes.select("node_id", "label", "class", "wins")
 
 
@@ -427,8 +427,9 @@ def soinn_fit(spark, sf_dir):
 def soinn_transfer(spark, sf_dir):
     """Training that goes on from a trained network: its labels stay, newer nodes are normal."""
     rows = _labelled(spark, sf_dir)
-    first = soinn.fit(rows.where("vec_id < 250"), "vec_id", "embedding", "label", 800)
-    nodes, _ = soinn.fit(rows.where("vec_id BETWEEN 250 AND 499"), "vec_id", "embedding", "label", 800, trained=first)
+    half = sampling.hash28(F.lit("transfer"), F.col("vec_id").cast("string")) % 2  # every row trains one of the two
+    first = soinn.fit(rows.where(half == 0), "vec_id", "embedding", "label", 800)
+    nodes, _ = soinn.fit(rows.where(half == 1), "vec_id", "embedding", "label", 800, trained=first)
     return nodes.select("node_id", "label", "class", "wins")
 
 
@@ -445,7 +446,7 @@ def cascade(spark, sf_dir):
     rows = models.with_features(_labelled(spark, sf_dir), "embedding", models.FourierFeatures(64, 64, 10.0)).cache()
     multi = models.MultiClass().fit(rows, rows, "label", restarts=1)
     first = multi.predict(rows).select("vec_id", "embedding", "label", "ai_label")
-    nodes, edges = soinn.fit(rows.where("vec_id < 300"), "vec_id", "embedding", "label", 1000)
+    nodes, edges = soinn.fit(rows, "vec_id", "embedding", "label", 1000)
     second = soinn.predict(first.where("ai_label = 'normal'"), nodes, edges, "vec_id", "embedding")
     both = joins.filled_from(first, second, ["vec_id"], "ai_label", "final")
     return metrics.weighted(both, "label", "final")
