@@ -290,10 +290,10 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
     return edges.union(scratch.written(verified(rest, texts, width, percent)))
 
 
-def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """The rows of ``df`` whose document is kept: of each component that with the smallest key."""
     scratch = Scratch(df.sparkSession)
-    gone = written(near_duplicates(df, key, text, scratch=scratch).where("not kept").select(F.col(key).alias("__gone")).distinct())
+    gone = written(near_duplicates(df, key, text, percent=percent, bands=bands, rows=rows, scratch=scratch).where("not kept").select(F.col(key).alias("__gone")).distinct())
     scratch.drop()
     return df.join(few_or_not(gone), F.col(f"`{key}`") == F.col("__gone"), "left_anti")
 

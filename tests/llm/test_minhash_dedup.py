@@ -102,3 +102,13 @@ def test_kept_rows(spark, folder, odd_documents):
 
 def test_empty_table(spark, folder):
     assert D.op10_minhash_dedup(spark, folder(documents=[])).count() == 0
+
+
+def test_deduplicated_at_80_percent(spark):
+    words = [f"w{i}" for i in range(204)]  # 200 shingles; a changed word in the middle costs 5
+    texts = [words, *([f"x{k}" if i in at else w for i, w in enumerate(words)] for k, at in enumerate([(40, 80, 120, 160), (30, 50, 70, 90, 110, 130)]))]
+    # Jaccard with the first: 180 of 220 shingles (0.82), and 170 of 230 (0.74).
+    rows = [(i, " ".join(t), "en", "a", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = lambda *given: sorted(r["doc_id"] for r in D.deduplicated(docs, "doc_id", "text", *given).collect())
+    assert left(80, 35, 5) == [0, 2] and left() == [0, 1, 2]
