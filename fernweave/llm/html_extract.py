@@ -71,13 +71,15 @@ TOKEN = re.compile(
     r"|<[a-zA-Z/][^<>]*(?:>|\Z)",
     re.S | re.I,
 )
+#: First and last parts of a name that only tells of what stands elsewhere, as ``has-sidebar`` or ``comments-open``.
+BEFORE, BEHIND = set("has no not with without".split()), {"open", "closed"}
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 PART = re.compile(r"[a-z]+")
 
 
 @dataclass
 class Page:
-    """Elements as (parent, tag, path, aside, article-like) and text blocks as (element, text, characters in links)."""
+    """Elements as (parent, tag, path, aside, article-like, mark) and text blocks as (element, text, characters in links)."""
 
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: [""])
@@ -85,21 +87,83 @@ class Page:
     aside: list[bool] = field(default_factory=lambda: [False])
     article: list[bool] = field(default_factory=lambda: [False])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
+    marked: list[int] = field(default_factory=lambda: [0])
 
 
-def marks(rest: str) -> tuple[str, set[str], bool]:
-    """Class names with digits stripped, all words of class, id, role and itemprop, and whether it is hidden."""
-    classes, all_, hidden = "", set(), False
+def marks(rest: str) -> tuple[str, set[str], set[str], bool]:
+    """Class names with digits stripped, the names of class, id, role and itemprop, their words, and whether it is hidden."""
+    classes, names, hidden = "", set(), False
     if rest and not rest.isspace():
         for name, value in ATTRIBUTE.findall(rest):
             value = unescape(value.strip("\"'")).lower()
             if name.lower() == "hidden":
                 hidden = value != "until-found"
                 continue
-            all_.update(PART.findall(value))
+            names.update(value.split())
             if name.lower() == "class":
                 classes = ".".join(sorted({re.sub(r"\d+", "#", c) for c in value.split()}))
-    return classes, all_, hidden
+    return classes, names, {w for n in names for w in PART.findall(n)}, hidden
+
+
+def marked(names: set[str]) -> tuple[set[str], bool]:
+    """Words of ``MARKS`` in the names but for modifiers, and whether one is a whole name."""
+    found, whole = set(), False
+    for parts in map(PART.findall, names):
+        if parts and parts[0] not in BEFORE and parts[-1] not in BEHIND:
+            own = MARKS.intersection(parts)
+            found |= own
+            whole |= bool(own) and len(parts) == 1
+    return found, whole
+
+
+#: What marks say of an element: nothing, a part of a name, a part of a name beside an article's, a whole name.
+NONE, PARTLY, NAMED, WHOLLY = range(4)
+
+
+def settle(page: Page) -> None:
+    """Make the marked elements and all they hold asides, unless a mark stands on the article's own layout.
+
+    A whole name holds but for what holds ``main``. A part of a name does not
+    hold for ``main``, for an article that has an article's name too, for what
+    holds ``main`` or the page's only article, or for what holds most of the
+    unlinked text and one article, or all text of articles. If marks leave no
+    text, only whole names count, then none.
+    """
+    if not any(page.marked):
+        return
+    n = len(page.tag)
+    mains, heads, size, own = [0] * n, [0] * n, [0] * n, [0] * n
+    out = page.aside[:]
+    for at in range(1, n):
+        out[at] = out[at] or out[page.parent[at]] or page.marked[at] == WHOLLY
+    for at, text, in_link in page.blocks:
+        if not out[at]:
+            size[at] += max(0, len(text) - in_link)
+            own[at] += size[at] > 0 and page.article[at]
+    within = [False] * n
+    for at in range(1, n):
+        within[at] = within[page.parent[at]] or page.tag[page.parent[at]] == "article"
+        mains[at] = int(page.tag[at] == "main" and not page.aside[at])
+        heads[at] = int(page.tag[at] == "article" and not within[at] and not out[at])
+    for at in range(n - 1, 0, -1):
+        for counts in (mains, heads, size, own):
+            counts[page.parent[at]] += counts[at]
+    bare, page.aside = page.aside, page.aside[:]
+    whole = bare[:]
+    for at in range(1, n):
+        mark = page.marked[at]
+        if mark == WHOLLY:
+            holds = mains[at] == 0
+        elif mark:
+            most = 2 * size[at] > size[0] and (heads[at] == 1 or own[at] == own[0])
+            holds = not (mains[at] or (mark == NAMED and page.tag[at] == "article") or heads[at] == heads[0] == 1 or most)
+        else:
+            holds = False
+        page.aside[at] = page.aside[at] or page.aside[page.parent[at]] or holds
+        whole[at] = whole[at] or whole[page.parent[at]] or (holds and mark == WHOLLY)
+    for fewer in (whole, bare):
+        if all(page.aside[at] for at, _, _ in page.blocks):
+            page.aside = fewer
 
 
 def parse(html: str) -> Page:
@@ -170,17 +234,21 @@ def parse(html: str) -> Page:
         if tag in ENDS:
             close_open(*ENDS[tag])
         rest = m["rest"]
-        classes, words, hidden = marks(rest)
+        classes, names, words, hidden = marks(rest)
         up = stack[-1]
         in_article = page.article[up]
         like = tag in ARTICLE or bool(words & ARTICLE_WORDS)
         aside = page.aside[up] or hidden or (tag in ASIDE and not (tag == "header" and in_article))
+        mark = NONE
         if not aside and tag not in ("html", "body", *HEADINGS) and words & MARKS:
-            aside = not (in_article and words & {"header", "byline"} and not words & (MARKS - {"header", "byline"}))
+            found, whole = marked(names)
+            if found and not (in_article and found <= {"header", "byline"}):
+                mark = WHOLLY if whole else NAMED if names & ARTICLE_WORDS else PARTLY
         page.parent.append(up)
         page.tag.append(tag)
         page.path.append(f"{page.path[up]}/{tag}{'.' + classes if classes else ''}" if tag in BLOCK else page.path[up])
         page.aside.append(aside)
+        page.marked.append(mark)
         page.article.append(in_article or like)
         if not rest.endswith("/") or tag not in ("svg", "path", "g", "circle", "rect", "use"):
             stack.append(len(page.tag) - 1)
@@ -188,6 +256,7 @@ def parse(html: str) -> Page:
     if at < len(html):
         text.append(unescape(html[at:]))
     flush()
+    settle(page)
     return page
 
 

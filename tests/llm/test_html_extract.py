@@ -66,3 +66,27 @@ def test_shuffled_hosts_and_empty_table(spark, folder, monkeypatch):
     assert H.op4_html_extract(spark, folder(pages=[])).count() == 0
     df = spark.createDataFrame([(1, "http://h/", PAGE, "clash")], "page_id long, url string, html string, text string")
     assert H.extract_text(df).first()["text"] == TEXT
+
+
+def test_marks_on_the_layout_do_not_discard_the_article():
+    aside = "<div class=sidebar><p>Side text</p></div><div class='related-posts'><article><p>One</p></article><article><p>Two</p></article></div>"
+    for opening in (
+        "<div class='content has-sidebar'>",
+        "<div id='main' class='no-ads'>",
+        "<article class='post comments-open tag-search'>",
+        "<div class='sidebar-layout'><article>",
+        "<div class='header-banner-wrap'><main>",
+        "<div class=widget><main>",
+        "<div class='page-search'>",
+    ):
+        page = f"<html><body><nav>Menu</nav>{opening}<h1>Title</h1><p>The whole article, which is longer than all the rest.</p><div class=comments><p>A reader</p></div>"
+        for tag in ("article", "main", "div"):
+            page += f"</{tag}>" * opening.count(f"<{tag}")
+        assert H.extract(page + aside, None) == "Title\n\nThe whole article, which is longer than all the rest.", opening
+        assert H.vote(page + aside)[0] is not None
+
+
+def test_marks_do_not_leave_a_page_without_text():
+    assert H.extract("<body><nav>Menu</nav><div class=search><p>All there is</p></div></body>", None) == "All there is"
+    longer = "<p>" + "A reader says much. " * 20 + "</p>"
+    assert H.extract(f"<article><p>Short article</p></article><div class=comment-list>{longer}</div>", None) == "Short article"
