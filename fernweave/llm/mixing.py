@@ -147,6 +147,8 @@ def mix(
         plan = F.broadcast(plan)
     dealt = sizes.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("h"), F.col("shards")).cast("int")).drop("shards")
+    empty = dealt.where("size = 0")  # however many there are, no shard gathers them
+    dealt = dealt.where("size > 0")
     words = {(r["sid"], r["shard"]): r["n"] for r in dealt.groupBy("sid", "shard").agg(F.sum("size").alias("n")).collect()}
     quotas = shard_quotas(words, targets, block_words)
 
@@ -178,7 +180,9 @@ def mix(
         + [T.StructField("taken", T.LongType())]
         + [T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType())))] * spans
     )
-    return dealt.groupBy("sid", "shard").applyInPandas(take, out).withColumnsRenamed({"key": key, "source": source})
+    none = {"taken": F.lit(0).cast("long"), "spans": F.array().cast("array<array<bigint>>")}
+    rest = empty.select(*[none[c].alias(c) if c in none else F.col(c) for c in out.names])
+    return dealt.groupBy("sid", "shard").applyInPandas(take, out).union(rest).withColumnsRenamed({"key": key, "source": source})
 
 
 def shard_quotas(words: dict[tuple[int, int], int], targets: Sequence[float], block_words: int) -> dict[tuple[int, int], int]:

@@ -100,3 +100,12 @@ def test_repeated_rows_and_empty_table(spark, folder, odd_documents):
     words = M.mixed_documents(df).select(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
     assert words == taken
     assert M.mix(df.limit(0)).count() == 0 and M.mixed_documents(df.limit(0)).count() == 0
+
+
+def test_rows_without_words_are_not_gathered(spark):
+    df = spark.range(3000).selectExpr("id doc_id", "'hot' source", "CASE WHEN id % 100 = 0 THEN 'one two three' WHEN id % 3 = 0 THEN ' ' WHEN id % 3 = 1 THEN '' END text")
+    out = M.mix(df, spans=True)
+    rows = out.collect()
+    assert len(rows) == 3000 and all(r["taken"] == 0 and r["spans"] == [] for r in rows if r["size"] == 0)
+    grouped = out._jdf.queryExecution().optimizedPlan().toString().split("FlatMapGroupsInPandas")[1]
+    assert sum(r["taken"] for r in rows) > 0 and re.search(r"size#\d+L? > 0", grouped)
