@@ -8,8 +8,9 @@ still open": a node of the vocabulary's trie and the closed token before it. A
 set of these is one state of the deterministic machine, built when first
 reached and kept in a table of bounded size. At every byte exactly one open
 token can close so that it fits the token before it; a transition's output is
-that token. A token is emitted once all hypotheses still open lead back to it,
-at most some tokens' lengths later: the lookahead is bounded.
+that token. Every ``WINDOW`` bytes, and at the end, the tokens are emitted to which
+all hypotheses still open lead back: the lookahead is bounded by ``WINDOW`` and
+some tokens' lengths, however long a pre-token is.
 
 Pre-tokens (matches of the split pattern) repeat, so a worker keeps the ids of
 those it has met; the transducer runs for the others.
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +35,15 @@ from pyspark.sql import types as T
 
 from fernweave.llm.common import held, mapped, table
 
-#: States of the transducer, remembered pairs and remembered pre-tokens of a worker; beyond, it starts anew.
-MAX_STATES, MAX_PAIRS, MAX_PIECES = 130_000, 120_000, 200_000
-#: Bits of a token's number plus one in packed integers.
+#: States and steps of the transducer, remembered pairs and remembered pre-tokens of a worker; beyond, it starts anew.
+MAX_STATES, MAX_STEPS, MAX_PAIRS, MAX_PIECES = 240_000, 540_000, 120_000, 250_000
+#: Bits of a token's number in packed integers.
 SHIFT = 24
 MASK = (1 << SHIFT) - 1
 #: Longer pre-tokens are not remembered.
 LONG_PIECE = 48
-#: Bytes after which the tokens of a long pre-token that are settled are emitted.
-WINDOW = 1024
+#: Bytes after which the settled tokens of a longer pre-token are emitted, again and again.
+WINDOW = 64
 #: Tokens of one step of the streaming decoder.
 DECODE_TOKENS = 1 << 16
 
@@ -68,40 +69,42 @@ class Transducer:
             if a >= 0:
                 self.joined[a << SHIFT | b] = rank
         self._pairs: dict[int, bool] = {}
-        self.children: dict[int, int] = {}  # node << 8 | byte: node
-        self.closes = [-1]  # the token that a node ends, if merges can make it
-        for token, rank in ranks.items():
+        #: By node: byte to (node, the token that it ends if merges can make it, else -1, whether it goes on).
+        self.after: list[dict[int, tuple[int, int, bool]]] = self._trie()
+        self._clear()
+
+    def _trie(self) -> list[dict[int, tuple[int, int, bool]]]:
+        kids: list[dict[int, int]] = [{}]
+        ends, self.depth = [-1], [0]
+        for token, rank in self.ranks.items():
             node = 0
             for byte in token:
-                key = node << 8 | byte
-                after = self.children.get(key)
+                after = kids[node].get(byte)
                 if after is None:
-                    after = self.children[key] = len(self.closes)
-                    self.closes.append(-1)
+                    after = kids[node][byte] = len(kids)
+                    kids.append({})
+                    ends.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = after
             if self.reachable(rank):
-                self.closes[node] = rank
-        self.depth = [0] * len(self.closes)
-        self.inner = [False] * len(self.closes)  # whether a node has children
-        for key, node in self.children.items():
-            self.inner[key >> 8] = True
-            self.depth[node] = self.depth[key >> 8] + 1
-        self._clear()
+                ends[node] = rank
+        return [{byte: (n, ends[n], bool(kids[n])) for byte, n in own.items()} for own in kids]
 
     def _clear(self) -> None:
-        # Open tokens of a state as packed integers: node << SHIFT | closed token before it + 1.
-        self.states: dict[bytes, int] = {}
-        self.open: list[bytes] = []
+        #: The open tokens of a state, a node and the closed token before it (-1: none) in turn.
+        self.states: dict[tuple[int, ...], int] = {}
+        self.open: list[tuple[int, ...]] = []
         #: By state << 8 | byte: next state << SHIFT | the token that closes there.
         self.delta: dict[int, int] = {}
-        self._state([0])
+        self._state((0, -1))
 
-    def _state(self, open_: list[int]) -> int:
-        packed = array("Q", open_).tobytes()
-        at = self.states.get(packed)
+    def _state(self, open_: tuple[int, ...]) -> int:
+        at = self.states.get(open_)
         if at is None:
-            at = self.states[packed] = len(self.open)
-            self.open.append(packed)
+            if len(self.open) >= MAX_STATES or len(self.delta) >= MAX_STEPS:
+                self._clear()  # whatever is being encoded goes on from the new state
+            at = self.states[open_] = len(self.open)
+            self.open.append(open_)
         return at
 
     def _halves(self, token: bytes, rank: int) -> tuple[int, int]:
@@ -145,46 +148,47 @@ class Transducer:
 
     def _grow(self, state: int, byte: int) -> int:
         """Determinise one more transition."""
-        open_, closed, pairs = [], -1, self._pairs
-        for packed in array("Q", self.open[state]):
-            after = self.children.get((packed >> SHIFT) << 8 | byte)
-            if after is None:
+        open_, closed, pairs, all_ = [], -1, self._pairs, self.after
+        own, known = iter(self.open[state]), self.states
+        for node, last in zip(own, own, strict=True):
+            found = all_[node].get(byte)
+            if found is None:
                 continue
-            last = packed & MASK
-            if closed < 0 and (token := self.closes[after]) >= 0:
-                if last:
+            after, token, goes_on = found
+            if token >= 0 > closed:
+                if last < 0:
+                    closed = token
+                else:
                     fits = pairs.get(key := last << SHIFT | token)
                     if fits is None:
                         if len(pairs) >= MAX_PAIRS:
                             pairs.clear()
-                        fits = pairs[key] = self.fits(last - 1, token)
+                        fits = pairs[key] = self.fits(last, token)
                     if fits:
                         closed = token
-                else:
-                    closed = token
-            if self.inner[after]:
-                open_.append(after << SHIFT | last)
-        open_.append(closed + 1)
-        out = self.delta[state << 8 | byte] = self._state(open_) << SHIFT | closed
-        return out
+            if goes_on:
+                open_ += (after, last)
+        open_ += (0, closed)
+        step = self._state(tuple(open_)) << SHIFT | closed
+        if known is self.states:  # else the table was begun anew, without the state that this step leaves
+            self.delta[state << 8 | byte] = step
+        return step
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.open) > MAX_STATES:
-            self._clear()
         out: list[int] = []
-        state, closed, delta = 0, [], self.delta  # closed: the tokens that close after each byte not yet emitted
+        state, closed = 0, []  # closed: the tokens that close after each byte not yet emitted
         for byte in piece:
-            step = delta.get(state << 8 | byte)
+            step = self.delta.get(state << 8 | byte)
             if step is None:
                 step = self._grow(state, byte)
             state = step >> SHIFT
             closed.append(step & MASK)
             if len(closed) >= WINDOW:
-                self._emit(closed, [self.depth[packed >> SHIFT] for packed in array("Q", self.open[state])], out)
+                self._emit(closed, [self.depth[node] for node in self.open[state][::2]], out)
         return out + self._chain(closed, len(closed))
 
     def _chain(self, closed: list[int], end: int) -> list[int]:
@@ -209,33 +213,39 @@ class Transducer:
         del closed[:end]
 
 
-class PieceIds(dict):
-    """Pre-token to the little-endian 32-bit ids of its tokens.
+class Remembered(dict):
+    """Strings to the little-endian 32-bit ids of their tokens, from ``make`` where they are new.
 
     Of bounded size: when full, it becomes the old generation, from which what
     is met again is taken over.
     """
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
-        self.transducer = transducer
+        self.make, self.most = make, most
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece) or self._encoded(piece)
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.make(piece)
         if len(piece) <= LONG_PIECE:
-            if len(self) >= MAX_PIECES:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
-    def _encoded(self, piece: str) -> bytes:
-        return array("i", self.transducer.encode(piece.encode())).tobytes()
-
 
 class Utf8Stream:
-    """An incremental UTF-8 state machine: ``feed`` bytes, get the text that is complete."""
+    """An incremental UTF-8 state machine: ``feed`` bytes, get the text that is complete.
+
+    A state says which bytes may follow and how many; 0 is that between
+    characters. The bulk of a chunk ends at its last complete character and is
+    decoded at once; the machine walks over what stands behind it, at most three
+    bytes, and holds them back if it ends inside a character. Malformed parts
+    become U+FFFD.
+    """
 
     #: Lead bytes (first, last), how many bytes follow, and the range of the first of these (fixed by UTF-8).
     LEADS = [
@@ -252,19 +262,32 @@ class Utf8Stream:
     def __init__(self) -> None:
         self.held = b""
 
+    @classmethod
+    def machine(cls) -> list[dict[int, int]]:
+        """By state: byte to next state; a byte that is absent cannot follow."""
+        steps: list[dict[int, int]] = [dict.fromkeys(range(0x80), 0)]
+        for first, last, more, low, high in cls.LEADS:
+            entry = len(steps)
+            steps[0].update(dict.fromkeys(range(first, last + 1), entry))
+            for k in range(more):
+                after = 0 if k == more - 1 else entry + k + 1
+                steps.append(dict.fromkeys(range(low if k == 0 else 0x80, (high if k == 0 else 0xBF) + 1), after))
+        return steps
+
     @classmethod
     def unfinished(cls, data: bytes) -> int:
         """How many bytes at the end begin a character that more bytes could complete."""
-        for n in range(1, min(3, len(data)) + 1):
-            byte = data[-n]
-            if byte & 0xC0 == 0x80:
-                continue
-            for first, last, more, low, high in cls.LEADS:
-                if first <= byte <= last:
-                    fits = n == 1 or low <= data[1 - n] <= high
-                    return n if fits and n <= more else 0
+        start = len(data) - 1
+        while start >= max(0, len(data) - 3) and data[start] & 0xC0 == 0x80:
+            start -= 1
+        if start < max(0, len(data) - 3):
             return 0
-        return 0
+        state = 0
+        for byte in data[start:]:
+            state = STEPS[state].get(byte, 0)
+            if not state:
+                return 0
+        return len(data) - start
 
     def feed(self, data: bytes) -> str:
         data = self.held + data
@@ -277,12 +300,17 @@ class Utf8Stream:
         return held.decode("utf-8", "replace")
 
 
+#: The steps of the UTF-8 machine.
+STEPS = Utf8Stream.machine()
+
+
 class Codec:
     """Encoder and decoder of one vocabulary and split pattern, with a worker's caches."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.find = regex.compile(pattern).findall
-        self.pieces = PieceIds(Transducer(ranks))
+        self.transducer = Transducer(ranks)
+        self.pieces = Remembered(lambda p: array("i", self.transducer.encode(p.encode())).tobytes(), MAX_PIECES)
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token

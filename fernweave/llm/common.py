@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 #: A word of the contracts for quality rules, mixing and near-duplicates.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
+#: The split into pre-tokens of byte-level tokenizers (fixed by these).
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 #: Bytes of one Arrow batch sent to a Python worker; long texts then come in smaller batches.
 BATCH_BYTES = 4 << 20
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import held, mapped, sampled_texts, table
+from fernweave.llm.common import BYTE_LEVEL_SPLIT, held, mapped, sampled_texts, table
 
 #: Rows of the sample that the frequent pre-tokens come from, and how many of these are broadcast at most.
 SAMPLE_ROWS, FREQUENT = 2000, 1 << 16
@@ -80,9 +80,6 @@ class CompactTable:
 class ByteLevel:
     """Pre-tokens of a byte-level tokenizer file, and the number of tokens of one."""
 
-    #: The byte-level split (fixed by such tokenizers).
-    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -91,7 +88,7 @@ class ByteLevel:
         with open(path, encoding="utf-8") as f:
             added = [t["content"] for t in json.load(f)["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
-        self.find = regex.compile(self.PATTERN).findall
+        self.find = regex.compile(BYTE_LEVEL_SPLIT).findall
         # Bytes stand for printable characters: those that print as themselves, the others from U+0100 on.
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         hidden = [b for b in range(256) if b not in set(shown)]

@@ -1,3 +1,4 @@
+import codecs
 import hashlib
 import random
 
@@ -35,6 +36,18 @@ def test_transducer_equals_merging(reference, monkeypatch):
         assert own.encode(piece) == reference._core_bpe.encode_single_piece(piece)
 
 
+def test_tables_are_bounded_inside_a_pre_token(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_STATES", 2000)
+    monkeypatch.setattr(bpe, "MAX_STEPS", 4000)
+    own, draw = bpe.Transducer(bpe.read_ranks(PATH)), random.Random(5)
+    piece = bytes(draw.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    ids = own.encode(piece)
+    assert len(own.open) <= 2000 and len(own.delta) <= 4000
+    assert b"".join(own.bytes_of[i] for i in ids) == piece
+    assert all(own.fits(a, b) for a, b in zip(ids, ids[1:], strict=False))
+    assert ids[:1000] == reference._core_bpe.encode_single_piece(piece[:8000])[:1000]
+
+
 def test_stream_joins_cut_characters():
     data = "aé한😀z".encode() + b"\xff\xc3(\xed\xa0\x80" + "é".encode()[:1]
     for step in (1, 2, 3, 5):
@@ -42,6 +55,12 @@ def test_stream_joins_cut_characters():
         text = "".join(stream.feed(data[i : i + step]) for i in range(0, len(data), step)) + stream.close()
         assert text.startswith("aé한😀z") and "\ufffd" in text
     assert bpe.Utf8Stream().feed("aé한😀z".encode()) == "aé한😀z"
+    draw = random.Random(4)
+    for _ in range(2000):  # any bytes in any chunks, as the library's own incremental decoder
+        data = b"".join(draw.choice([b"a", "é".encode(), "한".encode(), "😀".encode(), bytes([draw.randrange(256)])]) for _ in range(6))
+        stream, known = bpe.Utf8Stream(), codecs.getincrementaldecoder("utf-8")("replace")
+        cut = draw.randint(0, len(data))
+        assert stream.feed(data[:cut]) + stream.feed(data[cut:]) + stream.close() == known.decode(data[:cut]) + known.decode(data[cut:], True)
 
 
 def digests(text, reference):
