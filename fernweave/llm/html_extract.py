@@ -4,25 +4,34 @@ A page is parsed into elements and text blocks. Every element outside menus,
 headers, footers, adverts and the like is scored as a container: a block counts
 fully for its nearest container, half for the next, and so on, less its share
 of link text. The generalised path of a page's best container (tags with
-classes, digits stripped) is the page's vote. Votes are summed per host in
-Spark, and the host's winning path says which containers each of its pages is
-extracted from; a page without such a container falls back to its own best.
+classes, digits stripped) is the page's vote, as a 64-bit number: each element's
+is a hash of its parent's and its own step, however long the path is. Votes are
+summed per host in Spark, and the host's winning path says which containers each
+of its pages is extracted from; a page without such a container falls back to
+its own best.
+
+All work on a page is linear in its length, however it is malformed: the scanner
+only goes forward, elements that are open are found by their tags, and scores
+are summed from the leaves up.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fernweave.llm.common import mapped, table, written
-from fernweave.llm.url_filter import canonical
 
 #: Elements without content (fixed by HTML).
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -63,14 +72,22 @@ HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Elements and words that mark an article, and the factor of their score.
 ARTICLE, ARTICLE_WORDS, FACTOR = {"article", "main"}, {"article", "articlebody", "main", "post", "entry", "story", "content"}, 1.25
 
+#: Attributes up to the end of a tag; quoted values may hold ``>``. Nothing here is tried twice.
+REST = r"(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+"
+NAME = r"[a-zA-Z][^\s/>]*+"
+COMMENT = r"<!--.*?(?:-->|\Z)"
+OTHER = r"<[!?/][^>]*(?:>|\Z)"
+RAW_START = rf"<(?P<raw>{RAW})(?![^\s/>])"
+RAW_END = r"</(?P=raw)(?![^\s/>])[^>]*(?:>|\Z)"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?P<rawrest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*(?:>|\Z)"
-    r"|<[a-zA-Z/][^<>]*(?:>|\Z)",
+    rf"{COMMENT}|{RAW_START}{REST}>.*?(?:{RAW_END}|\Z)|<(?P<end>/?)(?P<tag>{NAME})(?P<rest>{REST})>|{OTHER}|(?P<open><[a-zA-Z])",
     re.S | re.I,
 )
+#: The same for what stands behind a tag that does not end.
+PLAIN, HEAD, OTHER_TOKEN = re.compile(COMMENT, re.S), re.compile(rf"<(/?)({NAME})"), re.compile(OTHER)
+RAW_HEAD, RAW_CLOSE = re.compile(RAW_START, re.I), {t: re.compile(rf"</{t}(?![^\s/>])[^>]*(?:>|\Z)", re.I) for t in RAW.split("|")}
+LOOSE = re.compile(r"<[a-zA-Z][^<>]*(?:>|\Z)")
+QUOTE = re.compile(r"[>\"']")
 #: First and last parts of a name that only tells of what stands elsewhere, as ``has-sidebar`` or ``comments-open``.
 BEFORE, BEHIND = set("has no not with without".split()), {"open", "closed"}
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -79,11 +96,12 @@ PART = re.compile(r"[a-z]+")
 
 @dataclass
 class Page:
-    """Elements as (parent, tag, path, aside, article-like, mark) and text blocks as (element, text, characters in links)."""
+    """Elements as (parent, tag, step, hash of the path, aside, article-like, mark) and text blocks as (element, text, characters in links)."""
 
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: [""])
-    path: list[str] = field(default_factory=lambda: [""])
+    step: list[str] = field(default_factory=lambda: [""])
+    path: list[int] = field(default_factory=lambda: [0])
     aside: list[bool] = field(default_factory=lambda: [False])
     article: list[bool] = field(default_factory=lambda: [False])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
@@ -166,60 +184,141 @@ def settle(page: Page) -> None:
             page.aside = fewer
 
 
+#: Start and end of a piece of markup; for a tag, whether it closes, its name and what follows that; else None.
+Token = tuple[int, int, bool, str | None, str]
+
+
+def tokens(html: str) -> Iterator[Token]:
+    """The markup of a page; a ``<`` that begins none is text."""
+    for m in TOKEN.finditer(html):
+        if m["open"]:  # this tag has no end that its quotes allow
+            yield from tokens_behind(html, m.start())
+            return
+        yield m.start(), m.end(), bool(m["end"]), m["tag"], m["rest"]
+
+
+def ends(html: str, start: int) -> tuple[array, array]:
+    """Places of ``>`` and quotes from ``start`` on, and where a tag ends whose attributes go on there (-1: nowhere)."""
+    at = array("q", (m.start() for m in QUOTE.finditer(html, start)))
+    out = array("q", [-1]) * (len(at) + 1)
+    following = {'"': -1, "'": -1}
+    for k in range(len(at) - 1, -1, -1):
+        c = html[at[k]]
+        if c == ">":
+            out[k] = at[k]
+        else:
+            out[k] = out[following[c] + 1] if following[c] >= 0 else -1
+            following[c] = k
+    return at, out
+
+
+def tokens_behind(html: str, at: int) -> Iterator[Token]:
+    """The tokens from ``at`` on, where some tags have no end: all ends are found in one walk."""
+    places, end_of = ends(html, at)
+    while (at := html.find("<", at)) >= 0:
+        m = PLAIN.match(html, at)
+        if m is None and (raw := RAW_HEAD.match(html, at)):
+            end = end_of[bisect_left(places, raw.end())]
+            if end >= 0:
+                close = RAW_CLOSE[raw[1].lower()].search(html, end + 1)
+                at, start = close.end() if close else len(html), at
+                yield start, at, False, None, ""
+                continue
+        if m is None and (head := HEAD.match(html, at)):
+            end = end_of[bisect_left(places, head.end())]
+            if end >= 0:
+                yield at, end + 1, bool(head[1]), head[2], html[head.end() : end]
+                at = end + 1
+                continue
+        m = m or OTHER_TOKEN.match(html, at) or LOOSE.match(html, at)
+        if m is None:
+            at += 1
+        else:
+            yield at, m.end(), False, None, ""
+            at = m.end()
+
+
+class Stack:
+    """The open elements, found by their tags."""
+
+    def __init__(self, page: Page):
+        self.page, self.ids = page, [0]
+        self.where: defaultdict[str, list[int]] = defaultdict(list)  # tag: its places in the stack
+        self.blocks = [0]  # places of block elements
+        self.links = 0
+
+    def push(self, element: int) -> None:
+        tag, at = self.page.tag[element], len(self.ids)
+        self.ids.append(element)
+        self.where[tag].append(at)
+        if tag in BLOCK:
+            self.blocks.append(at)
+        self.links += tag == "a"
+
+    def close(self, at: int) -> None:
+        """Close the element at a place and all behind it."""
+        for element in self.ids[at:]:
+            tag = self.page.tag[element]
+            self.where[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+            self.links -= tag == "a"
+        del self.ids[at:]
+
+    def last(self, tags: set[str]) -> int:
+        """The last place of any of the tags; 0 if none is open."""
+        return max((own[-1] for t in tags if (own := self.where.get(t))), default=0)
+
+    def close_last(self, tags: set[str], bounds: set[str]) -> None:
+        """Close the last of the tags, unless one of the bounds was opened behind it."""
+        at = self.last(tags)
+        if at and at > self.last(bounds):
+            self.close(at)
+
+    def end(self, tag: str) -> None:
+        """An end tag; one of an inline element does not reach beyond the block it stands in."""
+        own = self.where.get(tag)
+        if own and (tag in BLOCK or own[-1] > self.blocks[-1]):
+            self.close(own[-1])
+
+
+#: What bounds the paragraph that a block element ends.
+P, P_BOUNDS = {"p"}, {"button", "table", "td", "th", "caption", "object"}
+
+
 def parse(html: str) -> Page:
     """Elements and blocks of a page; unclosed and crossed elements are closed as browsers roughly do."""
     page = Page()
-    stack = [0]
+    stack = Stack(page)
     text: list[str] = []
-    in_link, link_chars = 0, 0
+    link_chars = 0
 
     def flush() -> None:
         nonlocal link_chars
         if text:
             whole = " ".join("".join(text).split())
             if whole:
-                page.blocks.append((stack[-1], whole, link_chars))
+                page.blocks.append((stack.ids[-1], whole, link_chars))
             text.clear()
         link_chars = 0
 
-    def close(n: int) -> None:
-        nonlocal in_link
-        for at in stack[n:]:
-            in_link -= page.tag[at] == "a"
-        del stack[n:]
-
-    def close_open(names: set[str], bounds: set[str]) -> None:
-        for n in range(len(stack) - 1, 0, -1):
-            tag = page.tag[stack[n]]
-            if tag in names:
-                close(n)
-                return
-            if tag in bounds:
-                return
-
     at = 0
-    for m in TOKEN.finditer(html):
-        if m.start() > at:
-            piece = unescape(html[at : m.start()])
+    for start, end, closing, tag, rest in tokens(html):
+        if start > at:
+            piece = unescape(html[at:start])
             text.append(piece)
-            if in_link:
+            if stack.links:
                 link_chars += len(piece)
-        at = m.end()
-        tag = m["tag"]
+        at = end
         if tag is None:
             continue
         tag = tag.lower()
-        if m["end"]:
+        if closing:
             if tag in BLOCK:
                 flush()
             if tag == "br":
                 text.append(" ")
-            for n in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[n]] == tag:
-                    close(n)
-                    break
-                if tag not in BLOCK and page.tag[stack[n]] in BLOCK:
-                    break
+            stack.end(tag)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -230,12 +329,11 @@ def parse(html: str) -> Page:
         if tag in BLOCK:
             flush()
         if tag in ENDS_P:
-            close_open({"p"}, {"button", "table", "td", "th", "caption", "object"})
+            stack.close_last(P, P_BOUNDS)
         if tag in ENDS:
-            close_open(*ENDS[tag])
-        rest = m["rest"]
+            stack.close_last(*ENDS[tag])
         classes, names, words, hidden = marks(rest)
-        up = stack[-1]
+        up = stack.ids[-1]
         in_article = page.article[up]
         like = tag in ARTICLE or bool(words & ARTICLE_WORDS)
         aside = page.aside[up] or hidden or (tag in ASIDE and not (tag == "header" and in_article))
@@ -244,15 +342,16 @@ def parse(html: str) -> Page:
             found, whole = marked(names)
             if found and not (in_article and found <= {"header", "byline"}):
                 mark = WHOLLY if whole else NAMED if names & ARTICLE_WORDS else PARTLY
+        step = (f"{tag}.{classes}" if classes else tag) if tag in BLOCK else ""
         page.parent.append(up)
         page.tag.append(tag)
-        page.path.append(f"{page.path[up]}/{tag}{'.' + classes if classes else ''}" if tag in BLOCK else page.path[up])
+        page.step.append(step)
+        page.path.append(further(page.path[up], step) if step else page.path[up])
         page.aside.append(aside)
         page.marked.append(mark)
         page.article.append(in_article or like)
         if not rest.endswith("/") or tag not in ("svg", "path", "g", "circle", "rect", "use"):
-            stack.append(len(page.tag) - 1)
-            in_link += tag == "a"
+            stack.push(len(page.tag) - 1)
     if at < len(html):
         text.append(unescape(html[at:]))
     flush()
@@ -260,23 +359,42 @@ def parse(html: str) -> Page:
     return page
 
 
+def further(path: int, step: str) -> int:
+    """The hash of a path with one more step, a signed 64-bit number."""
+    h = xxhash.xxh3_64_intdigest(f"{path}/{step}")
+    return h - (1 << 64) if h >> 63 else h
+
+
+def named(page: Page, at: int) -> str:
+    """The path of an element in words."""
+    steps = []
+    while at > 0:
+        if page.step[at]:
+            steps.append(page.step[at])
+        at = page.parent[at]
+    return "".join(f"/{s}" for s in reversed(steps))
+
+
 #: Elements that are blocks themselves rather than containers of blocks.
 LEAF = HEADINGS | set("p li dt dd td th tr tbody thead tfoot caption pre figcaption ul ol dl option legend summary".split())
 
 
 def scores(page: Page) -> dict[int, float]:
     """Score of each container: the text of its blocks, halved for each container between, less what links hold."""
-    out: dict[int, float] = {}
+    weight: list[float | None] = [None] * len(page.tag)
     for at, text, in_link in page.blocks:
-        if page.aside[at]:
+        if not page.aside[at]:
+            weight[at] = (weight[at] or 0.0) + max(0, len(text) - 2 * in_link)
+    out: dict[int, float] = {}
+    for at in range(len(page.tag) - 1, -1, -1):  # an element stands behind its parent
+        own = weight[at]
+        if own is None:
             continue
-        weight = float(max(0, len(text) - 2 * in_link))
-        while at >= 0:
-            if page.tag[at] not in LEAF and (page.tag[at] in BLOCK or not at):
-                factor = FACTOR if page.article[at] and not page.article[page.parent[at]] else 1.0
-                out[at] = out.get(at, 0.0) + weight * factor
-                weight /= 2
-            at = page.parent[at]
+        if page.tag[at] not in LEAF and (page.tag[at] in BLOCK or not at):
+            out[at] = own * (FACTOR if page.article[at] and not page.article[page.parent[at]] else 1.0)
+            own /= 2
+        if at:
+            weight[page.parent[at]] = (weight[page.parent[at]] or 0.0) + own
     return out
 
 
@@ -294,43 +412,43 @@ def text_of(page: Page, containers: set[int]) -> str:
     return "\n\n".join(text for at, text, _ in page.blocks if inside[at] and not page.aside[at])
 
 
-def extract(html: str | None, path: str | None) -> str:
-    """The text of the containers with the generalised path, else of the page's best one; null html is empty."""
+def extract(html: str | None, path: int | None) -> str:
+    """The text of the containers with the hashed path, else of the page's best one; null html is empty."""
     if not html:
         return ""
     page = parse(html)
-    own = {at for at in range(1, len(page.tag)) if page.tag[at] in BLOCK and page.path[at] == path and not page.aside[at]} if path else set()
-    text = text_of(page, own) if own else ""
+    text = ""
+    if path is not None:
+        own = {at for at in range(1, len(page.tag)) if page.path[at] == path and page.step[at] and not page.aside[at]}
+        text = text_of(page, own) if own else ""
     if not text:
         top = best(page)
         text = text_of(page, {top}) if top is not None else ""
     return text
 
 
-def vote(html: str | None) -> tuple[str | None, float]:
-    """Path and score of the page's best container."""
+def vote(html: str | None) -> int | None:
+    """The hashed path of the page's best container; none without text or container."""
     page = parse(html or "")
     top = best(page)
-    return (None, 0.0) if top is None or not top else (page.path[top], 1.0)
+    return page.path[top] if top else None
 
 
-#: Hosts whose winning paths (some 150 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_HOSTS = 50_000
+#: Hosts whose winning paths (two 64-bit numbers each) are broadcast; more are joined by a shuffle.
+BROADCAST_HOSTS = 1_000_000
 
-VOTE = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("votes", T.DoubleType())])
+VOTE = T.StructType([T.StructField("path", T.LongType())])
 TEXT = T.StructType([T.StructField("text", T.StringType())])
 
 
 def winning_paths(df: DataFrame, url: str, html: str) -> DataFrame:
-    """host, path: for each host, the path with the most votes of all its pages; ties go to the smaller path."""
+    """host and path, both hashed: for each host, the path with the most votes of all its pages; ties go to the smaller hash."""
 
-    def run(urls: list, pages: list) -> Iterator[pa.Array]:
-        votes = [vote(h) for h in pages]
-        yield pa.array([canonical(u)[0] for u in urls], pa.string())
-        yield pa.array([p for p, _ in votes], pa.string())
-        yield pa.array([v for _, v in votes], pa.float64())
+    def run(pages: list) -> Iterator[pa.Array]:
+        yield pa.array(map(vote, pages), pa.int64())
 
-    counted = mapped(df, [url, html], run, VOTE, []).where("path is not null").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    hosts = df.select(F.xxhash64(canonical_host(F.col(f"`{url}`"))).alias("host"), F.col(f"`{html}`").alias("html"))
+    counted = mapped(hosts, ["html"], run, VOTE, ["host"]).where("path is not null").groupBy("host", "path").agg(F.count("*").alias("votes"))
     return counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"))
 
 
@@ -339,12 +457,12 @@ def extract_text(df: DataFrame, url: str = "url", html: str = "html", keep: list
 
     Null and empty pages have an empty text; pages without a host vote and are
     extracted as one host. A page that repeats votes as often as it stands.
-    Pages are never cut; an empty table gives an empty one; a column named
-    ``text`` gives way. Pages are not shuffled while the hosts are few enough
-    for a broadcast, which is checked.
+    Pages are never cut, and the work on one is linear in its length. An empty
+    table gives an empty one; a column named ``text`` gives way. Pages are not
+    shuffled while the hosts are few enough for a broadcast, which is checked.
     """
     winners = written(winning_paths(df, url, html).select(F.col("host").alias("__h"), F.col("path").alias("__path")))
-    host = canonical_host(F.col(f"`{url}`"))
+    host = F.xxhash64(canonical_host(F.col(f"`{url}`")))
     side = F.broadcast(winners) if winners.count() <= BROADCAST_HOSTS else winners
     joined = df.withColumn("__host", host).join(side, F.col("__host") == F.col("__h"), "left").drop("__h", "__host")
     names = [c for c in (df.columns if keep is None else keep) if c != "text"]
