@@ -36,10 +36,9 @@ from pyspark.sql import types as T
 from fernweave.llm.common import held, mapped, table
 
 #: States and steps of the transducer, remembered pairs and remembered pre-tokens of a worker; beyond, it starts anew.
-MAX_STATES, MAX_STEPS, MAX_PAIRS, MAX_PIECES = 240_000, 540_000, 120_000, 250_000
+MAX_STATES, MAX_STEPS, MAX_PAIRS, MAX_PIECES = 180_000, 400_000, 120_000, 200_000
 #: Bits of a token's number in packed integers.
 SHIFT = 24
-MASK = (1 << SHIFT) - 1
 #: Longer pre-tokens are not remembered.
 LONG_PIECE = 48
 #: Bytes after which the settled tokens of a longer pre-token are emitted, again and again.
@@ -60,8 +59,10 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
-        self.length = {r: len(t) for t, r in ranks.items()}
         size = max(ranks.values()) + 1
+        self.length = [0] * size
+        for token, rank in ranks.items():
+            self.length[rank] = len(token)
         self.left, self.right = [-1] * size, [-1] * size  # halves of each token
         self.joined: dict[int, int] = {}  # left half << SHIFT | right half: token
         for token, rank in ranks.items():
@@ -88,13 +89,16 @@ class Transducer:
                 node = after
             if self.reachable(rank):
                 ends[node] = rank
-        return [{byte: (n, ends[n], bool(kids[n])) for byte, n in own.items()} for own in kids]
+        leaf: dict[int, tuple[int, int, bool]] = {}
+        return [{byte: (n, ends[n], bool(kids[n])) for byte, n in own.items()} if own else leaf for own in kids]
 
     def _clear(self) -> None:
         #: The open tokens of a state, a node and the closed token before it (-1: none) in turn.
         self.states: dict[tuple[int, ...], int] = {}
         self.open: list[tuple[int, ...]] = []
-        #: By state << 8 | byte: next state << SHIFT | the token that closes there.
+        #: By state: the token that closes there.
+        self.closes: list[int] = []
+        #: By state << 8 | byte: next state.
         self.delta: dict[int, int] = {}
         self._state((0, -1))
 
@@ -105,6 +109,7 @@ class Transducer:
                 self._clear()  # whatever is being encoded goes on from the new state
             at = self.states[open_] = len(self.open)
             self.open.append(open_)
+            self.closes.append(open_[-1])
         return at
 
     def _halves(self, token: bytes, rank: int) -> tuple[int, int]:
@@ -169,10 +174,10 @@ class Transducer:
             if goes_on:
                 open_ += (after, last)
         open_ += (0, closed)
-        step = self._state(tuple(open_)) << SHIFT | closed
+        after = self._state(tuple(open_))
         if known is self.states:  # else the table was begun anew, without the state that this step leaves
-            self.delta[state << 8 | byte] = step
-        return step
+            self.delta[state << 8 | byte] = after
+        return after
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -181,12 +186,14 @@ class Transducer:
             return [whole]
         out: list[int] = []
         state, closed = 0, []  # closed: the tokens that close after each byte not yet emitted
+        delta, closes = self.delta, self.closes
         for byte in piece:
-            step = self.delta.get(state << 8 | byte)
-            if step is None:
-                step = self._grow(state, byte)
-            state = step >> SHIFT
-            closed.append(step & MASK)
+            after = delta.get(state << 8 | byte)
+            if after is None:
+                after = self._grow(state, byte)
+                delta, closes = self.delta, self.closes
+            state = after
+            closed.append(closes[state])
             if len(closed) >= WINDOW:
                 self._emit(closed, [self.depth[node] for node in self.open[state][::2]], out)
         return out + self._chain(closed, len(closed))
