@@ -11,6 +11,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -63,10 +64,13 @@ _OWN: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share.
 
-    Where that setting is absent (tests), in a temporary folder of the session.
+    Where that setting is absent, in a temporary folder if the session is local
+    (tests), else an error: executors would write to their own disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="fernweave-"))
     return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
 
@@ -79,13 +83,27 @@ def written(df: DataFrame, at: str | None = None) -> DataFrame:
     spark = df.sparkSession
     at = at or shared_dir(spark)
     df.write.mode("overwrite").parquet(at)
+    _LEFT.setdefault(spark.sparkContext.applicationId, set()).add(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
+#: Tables that ``written`` left, by application.
+_LEFT: dict[str, set[str]] = {}
+
+
+def cleared(spark: SparkSession) -> int:
+    """Remove all tables that operators of this session left, once no result is read any more; how many."""
+    left = _LEFT.pop(spark.sparkContext.applicationId, set())
+    for at in left:
+        dropped(spark, at)
+    return len(left)
+
+
 def dropped(spark: SparkSession, at: str) -> None:
     """Remove a table that ``written`` left, once nothing reads it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _LEFT.get(spark.sparkContext.applicationId, set()).discard(at)
 
 
 class Scratch:
@@ -146,18 +164,30 @@ def mapped(
     return shaped.mapInArrow(run, T.StructType(fields + list(added)))
 
 
-#: Characters of a sampled text at most, so that a sample's size is bounded.
-SAMPLE_CHARS = 16_384
+#: Partitions that a sample is taken from at most.
+SAMPLE_PARTITIONS = 16
 
 
-def sampled_texts(df: DataFrame, text: str, rows: int) -> list[str]:
-    """At most ``rows`` texts from the first partitions, none longer than ``SAMPLE_CHARS``.
+def measured(df: DataFrame, text: str, rows: int, measure: Callable[[list[str]], object]) -> list:
+    """``measure`` of a sample of the texts, one result for each sampled partition.
 
-    Spark reads one partition, then more only as needed, and shuffles nothing.
-    For use where a sample tunes the work and decides no result.
+    The first rows of up to ``SAMPLE_PARTITIONS`` partitions, spread evenly over
+    the table, ``rows`` in all, whatever their texts' lengths. The executors
+    measure; only the results come to the driver. Nothing is shuffled and a
+    partition is read no further than its sample. For use where a sample tunes
+    the work and decides no result.
     """
-    t = F.col(f"`{text}`")
-    return [r[0] for r in df.select(t.alias("t")).where(F.char_length(t) <= SAMPLE_CHARS).take(rows)]
+    texts = df.select(F.col(f"`{text}`")).rdd
+    n = texts.getNumPartitions()
+    count = min(n, SAMPLE_PARTITIONS)
+    if not count:
+        return []
+    each = -(-rows // count)
+
+    def run(part: Iterator) -> list:
+        return [measure([r[0] for r in islice(part, each) if r[0] is not None])]
+
+    return df.sparkSession.sparkContext.runJob(texts, run, [i * n // count for i in range(count)])
 
 
 def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:

@@ -1,8 +1,8 @@
 """Quality rules as a short-circuit cascade.
 
 A rule rejects a document by a few measures of its whole text. On a bounded
-sample of rows (``sample_rows``), each rule's time and share of rejections are
-measured; the rules then run in the order of rejections per second, and a
+sample of rows (``sample_rows``) from partitions all over the table, executors
+measure each rule's time and share of rejections; the rules then run in the order of rejections per second, and a
 document leaves the cascade at the first rule that rejects it. Measures are
 computed when a rule first asks for them and shared by later rules. The order
 changes the time only: a document is kept if no rule rejects it.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import WORD, held, mapped, sampled_texts, table
+from fernweave.llm.common import WORD, held, mapped, measured, table
 
 #: Characters that count as symbols (fixed by the contract).
 SYMBOLS = "#*$%&|<>"
@@ -111,16 +111,21 @@ RULES = BASE + MORE
 SAMPLE_ROWS = 400
 
 
-def estimates(texts: list[str], rules: list[Rule]) -> list[tuple[str, float, float]]:
-    """(rule, seconds a text, share rejected) of each rule on its own; zeros without texts."""
+def estimates(texts: list[str], rules: list[Rule]) -> tuple[int, list[tuple[float, int]]]:
+    """Number of texts, and (seconds, rejected texts) of each rule on its own."""
     out = []
     for rule in rules:
         fresh = [Measures(t) for t in texts]
         began = time.perf_counter()
         rejected = sum(bool(rule.rejects(m)) for m in fresh)
-        took = time.perf_counter() - began
-        out.append((rule.name, took / max(1, len(texts)), rejected / max(1, len(texts))))
-    return out
+        out.append((time.perf_counter() - began, rejected))
+    return len(texts), out
+
+
+def added_up(parts: list[tuple[int, list[tuple[float, int]]]], rules: list[Rule]) -> list[tuple[str, float, float]]:
+    """(rule, seconds a text, share rejected) over the parts of a sample; zeros without texts."""
+    n = max(1, sum(count for count, _ in parts))
+    return [(r.name, sum(p[i][0] for _, p in parts) / n, sum(p[i][1] for _, p in parts) / n) for i, r in enumerate(rules)]
 
 
 def ordered(rules: list[Rule], estimated: list[tuple[str, float, float]]) -> list[Rule]:
@@ -143,7 +148,8 @@ def judge_quality(
     length. Repeated rows are judged alike; an empty table gives an empty one;
     columns named like the added ones give way to them.
     """
-    cascade = [r.rejects for r in ordered(rules, estimates(sampled_texts(df, text, sample_rows), rules))]
+    sampled = measured(df, text, sample_rows, lambda texts: estimates(texts, rules))
+    cascade = [r.rejects for r in ordered(rules, added_up(sampled, rules))]
     measures = list(measures)
 
     def run(texts: list[str | None]) -> list[pa.Array]:

@@ -1,10 +1,11 @@
 """Token counts by a two-tier lookup on the map side.
 
 The driver broadcasts a compact hash table of frequent pre-tokens and their
-numbers of tokens. A worker looks each pre-token of a text up there (first
+numbers of tokens. A worker looks each pre-token of a batch up there (first
 tier), then in its own bounded cache (second tier), and runs the tokenizer's
-model only on what neither holds. Pre-tokens are never shuffled: the frequent
-ones come from a bounded sample of rows that the driver counts. The sample sets
+model only on what neither holds; within a batch a pre-token is looked up once.
+Pre-tokens are never shuffled: the frequent ones come from a bounded sample of
+rows from partitions all over the table, which executors count. The sample sets
 which lookups are fast, never a count.
 
 A tokenizer file whose split into pre-tokens is not the byte-level one is
@@ -15,20 +16,20 @@ from __future__ import annotations
 
 import json
 import uuid
+from array import array
 from collections import Counter
-from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import BYTE_LEVEL_SPLIT, held, mapped, sampled_texts, table
+from fernweave.llm.common import BYTE_LEVEL_SPLIT, held, mapped, measured, table
 
-#: Rows of the sample that the frequent pre-tokens come from, and how many of these are broadcast at most.
-SAMPLE_ROWS, FREQUENT = 2000, 1 << 16
+#: Rows of the sample that the frequent pre-tokens come from, how many of these a partition reports, and how many are broadcast at most.
+SAMPLE_ROWS, REPORTED, FREQUENT = 4000, 1 << 14, 1 << 16
 #: Longer pre-tokens (in bytes) are not broadcast; with ``FREQUENT`` this bounds the table at 6 MB.
 LONG_PIECE = 64
 #: Entries of a generation of a worker's cache.
@@ -36,7 +37,7 @@ MAX_CACHE = 200_000
 
 
 class CompactTable:
-    """An open-addressing hash table from byte strings to small counts, held in flat arrays."""
+    """An open-addressing hash table from byte strings to small counts: one blob of keys and one 64-bit number a slot."""
 
     def __init__(self, items: list[tuple[bytes, int]]):
         slots = 16
@@ -44,38 +45,29 @@ class CompactTable:
             slots *= 2
         self.mask = slots - 1
         self.blob = b"".join(k for k, _ in items)
-        self.start = np.zeros(slots, np.uint32)
-        self.length = np.zeros(slots, np.uint8)
-        self.count = np.zeros(slots, np.uint8)  # 0: an empty slot
+        #: Place of the key << 16 | its length << 8 | its count; 0: an empty slot.
+        self.slots = array("Q", bytes(8 * slots))
         at = 0
         for key, n in items:
             slot = self._hash(key)
-            while self.count[slot]:
-                slot = (slot + 1) & self.mask
-            self.start[slot], self.length[slot], self.count[slot] = at, len(key), n
+            while self.slots[slot]:
+                slot = slot + 1 & self.mask
+            self.slots[slot] = at << 16 | len(key) << 8 | n
             at += len(key)
 
     def _hash(self, key: bytes) -> int:
-        h = 0xCBF29CE484222325  # FNV-1a
-        for byte in key:
-            h = ((h ^ byte) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-        return (h ^ h >> 29) & self.mask
+        return xxhash.xxh3_64_intdigest(key) & self.mask
 
     def get(self, key: bytes) -> int:
         """The count of ``key``, 0 if absent."""
         slot = self._hash(key)
-        while n := int(self.count[slot]):
-            at = int(self.start[slot])
-            if self.blob[at : at + int(self.length[slot])] == key:
-                return n
-            slot = (slot + 1) & self.mask
+        while entry := self.slots[slot]:
+            at = entry >> 16
+            if self.blob[at : at + (entry >> 8 & 0xFF)] == key:
+                return entry & 0xFF
+            slot = slot + 1 & self.mask
         return 0
 
-    def items(self) -> Iterator[tuple[bytes, int]]:
-        for slot in np.flatnonzero(self.count):
-            at = int(self.start[slot])
-            yield self.blob[at : at + int(self.length[slot])], int(self.count[slot])
-
 
 class ByteLevel:
     """Pre-tokens of a byte-level tokenizer file, and the number of tokens of one."""
@@ -138,15 +130,16 @@ class Cache(dict):
         return n
 
 
-class FirstTier(dict):
-    """The broadcast table's entries as a worker holds them; what is absent is asked of the second tier."""
+class Batch(dict):
+    """The numbers of tokens of one batch's pre-tokens: from the broadcast table, else from the second tier."""
 
     def __init__(self, frequent: CompactTable, second: Cache):
-        super().__init__((k.decode(), n) for k, n in frequent.items())
-        self.second = second
+        super().__init__()
+        self.frequent, self.second = frequent, second
 
     def __missing__(self, piece: str) -> int:
-        return self.second[piece]
+        n = self[piece] = self.frequent.get(piece.encode()) or self.second[piece]
+        return n
 
 
 def byte_level(path: str) -> ByteLevel:
@@ -172,12 +165,20 @@ def _whole_text(path: str):
     return lambda texts: [len(tokenizer.encode(x, add_special_tokens=False).ids) for x in texts]
 
 
-def frequent_lengths(texts: list[str], path: str) -> CompactTable:
-    """The most frequent pre-tokens of the sampled texts with their numbers of tokens."""
-    own, counts = ByteLevel(path), Counter()
+def counted(texts: list[str], path: str) -> list[tuple[str, int]]:
+    """The most frequent pre-tokens of some texts with their counts."""
+    own, counts = byte_level(path), Counter()
     for t in texts:
         for pieces in own.split(t)[0]:
             counts.update(pieces)
+    return counts.most_common(REPORTED)
+
+
+def frequent_lengths(parts: list[list[tuple[str, int]]], path: str) -> CompactTable:
+    """The most frequent pre-tokens of a sample's parts with their numbers of tokens."""
+    own, counts = ByteLevel(path), Counter()
+    for part in parts:
+        counts.update(dict(part))
     found = ((p, p.encode()) for p, _ in counts.most_common(FREQUENT))
     return CompactTable(sorted((b, own.length(p)) for p, b in found if len(b) <= LONG_PIECE))
 
@@ -202,7 +203,8 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", keep: list[str] |
 
         return mapped(df, [text], plain, ADDED, keep)
 
-    frequent = df.sparkSession.sparkContext.broadcast(frequent_lengths(sampled_texts(df, text, sample_rows), path))
+    sampled = measured(df, text, sample_rows, lambda texts: counted(texts, path))
+    frequent = df.sparkSession.sparkContext.broadcast(frequent_lengths(sampled, path))
     frequent_id = uuid.uuid4().hex
 
     def run(texts: list[str | None]) -> list[pa.Array]:
@@ -210,8 +212,8 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", keep: list[str] |
         tiers = held(("tokens", "tiers", path), dict)
         if frequent_id not in tiers:  # those of an earlier query go
             tiers.clear()
-            tiers[frequent_id] = FirstTier(frequent.value, Cache(own))
-        look, counts = tiers[frequent_id].__getitem__, []
+            tiers[frequent_id] = Cache(own)
+        look, counts = Batch(frequent.value, tiers[frequent_id]).__getitem__, []
         for t in texts:
             parts, n = own.split(t) if t else ((), 0)
             counts.append(n + sum(sum(map(look, pieces)) for pieces in parts))

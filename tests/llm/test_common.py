@@ -1,6 +1,8 @@
 import random
 
-from fernweave.llm.common import components, held
+import pytest
+
+from fernweave.llm.common import cleared, components, held, shared_dir, written
 
 
 def test_components(spark):
@@ -31,3 +33,22 @@ def test_a_worker_holds_one_operator():
     first = held(("one", 2), list)
     held(("two",), list)
     assert held(("one", 2), list) is not first
+
+
+def test_left_tables_are_removed(spark, tmp_path):
+    at = str(tmp_path / "t")
+    assert written(spark.range(3), at).count() == 3
+    assert cleared(spark) >= 1 and not (tmp_path / "t").exists()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:  # noqa: N801
+            master, applicationId = "spark://host:7077", "a"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Cluster)

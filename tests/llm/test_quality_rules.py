@@ -1,6 +1,7 @@
 from compare import DATA, of_spark, of_sql
 
 from fernweave.llm import quality_rules as Q
+from fernweave.llm.common import measured
 
 
 def test_edges_equal_sql(spark, folder, odd_documents):
@@ -42,5 +43,22 @@ def test_good_prose_is_kept(spark):
     assert sum(not r["kept"] for r in bad) >= 0.9 * len(bad)
 
 
+def test_sample_spans_the_table(spark, tmp_path):
+    """Files sorted by source: the rule that rejects only in the last one is seen by the sample."""
+    for i, text in enumerate(["plain prose " * 60, "word!! " * 60]):
+        spark.createDataFrame([(text,)] * 50, "text string").coalesce(1).write.parquet(str(tmp_path / "t" / str(i)))
+    df = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "t")).repartitionByRange(4, "text")
+    parts = measured(df, "text", 40, lambda texts: Q.estimates(texts, Q.RULES))
+    found = {name: share for name, _, share in Q.added_up(parts, Q.RULES)}
+    assert 0 < found["marks"] < 1 and sum(n for n, _ in parts) <= 40
+    assert measured(df.where("false").coalesce(1), "text", 40, len) == [0] and Q.added_up([], Q.RULES)[0][1:] == (0, 0)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([("a b", 7, "x")], "text string, n_words int, KEPT string")
+    out = Q.judge_quality(df, measures=["n_words"])
+    assert out.columns == ["text", "n_words", "kept"] and tuple(out.first())[1:] == (2, False)
+
+
 def test_empty_table(spark, folder):
     assert Q.op7_quality_rules(spark, folder(documents=[])).count() == 0
