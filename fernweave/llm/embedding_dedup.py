@@ -1,39 +1,52 @@
 """Near-duplicate embeddings by int8 tile products with rigorous error bounds.
 
 Vectors are compared within a label (and a length). Equal vectors are collapsed
-first. Each label's vectors are dealt into tiles of about ``TILE``; a tile
-holds unit vectors as 8-bit integers with a scale, and for each vector the norm
+first. Each label's vectors are dealt into tiles, larger ones for more vectors,
+of ``TILE_BYTES`` at most; a tile holds unit vectors as 8-bit integers with a scale, and for each vector the norm
 of what rounding left over. For unit vectors u, v with quantised forms p, q,
 
     |u.v - p.q| = |p.(v - q) + (u - p).v| <= |p| |v - q| + |u - p|,
 
 so the integer product tells for most pairs on which side of the threshold they
-are. Only pairs within the bound of it are computed in double precision. A pair
-of tiles is one task; it gives back each vector's number of links and a
+are. Only pairs within the bound of it are computed in double precision. The
+pairs of tiles are listed by number, each tile with itself and with half of the
+others in turn, and meet the two tiles by joins on (label, tile), so that no key
+gathers a label. A pair of tiles gives back each vector's number of links and a
 spanning forest of them, never the pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernweave.llm.common import Scratch, components, table, written
+from fernweave.llm.common import Scratch, bounded_batches, components, table, written
 
 #: Cosine of a link (fixed by the contract).
 THRESHOLD = 0.93
-#: Vectors of a tile about, and of a block of the product.
-TILE, BLOCK = 4096, 1024
+#: Vectors of a tile at least (if the label has as many) and at most, tiles that a label's vectors make before tiles grow,
+#: bytes of a tile about, and vectors of a block of the product.
+LEAST, MOST, TILES, TILE_BYTES, BLOCK = 4096, 16_384, 16, 4 << 20, 1024
+#: Labels whose sizes are broadcast; more are joined by a shuffle.
+BROADCAST_LABELS = 100_000
 #: Slack above all rounding of double precision sums here.
 SLACK = 1e-9
 #: Pairs that are computed in double precision at once.
 PAIRS = 1 << 15
 
 
+def tamed(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two, which changes no direction, so that no square leaves the range of doubles."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """8-bit rows, their scales, the norms of the quantised rows and the norms of the errors, for rows of doubles."""
+    x = tamed(x)
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     scale = np.abs(u).max(axis=1) / 127
     q = np.rint(u / scale[:, None]).astype(np.int8)
@@ -43,6 +56,7 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Cosines of the rows of two matrices in double precision."""
+    x, y = tamed(x), tamed(y)
     return np.einsum("ij,ij->i", x, y) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
 
 
@@ -88,18 +102,17 @@ def links(x: np.ndarray, y: np.ndarray | None, threshold: float):
                 yield c[close], d[close]
 
 
-def compared(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+def compared(unit: dict, threshold: float) -> pd.DataFrame:
     """Links of one pair of tiles, or of one tile: id, number of links (copies counted), smallest id of its tree."""
-    one = pdf.iloc[0]
-    dim = int(one["dim"])
-    x = np.frombuffer(one["vectors"], "<f8").reshape(-1, dim)
-    ids, copies = np.frombuffer(one["ids"], "<i8"), np.frombuffer(one["copies"], "<i8")
-    own = one["tile"] == one["tile2"]
+    dim, kind = int(unit["dim"]), unit["kind"]
+    read = lambda c: np.frombuffer(unit[c], kind).astype(np.float64).reshape(-1, dim)
+    x = read("vectors")
+    ids, copies = np.frombuffer(unit["ids"], "<i8"), np.frombuffer(unit["copies"], "<i8")
     y, shift = None, 0
-    if not own:
-        y, shift = np.frombuffer(one["vectors2"], "<f8").reshape(-1, dim), len(ids)
-        ids = np.concatenate((ids, np.frombuffer(one["ids2"], "<i8")))
-        copies = np.concatenate((copies, np.frombuffer(one["copies2"], "<i8")))
+    if unit["tile"] != unit["tile2"]:
+        y, shift = read("vectors2"), len(ids)
+        ids = np.concatenate((ids, np.frombuffer(unit["ids2"], "<i8")))
+        copies = np.concatenate((copies, np.frombuffer(unit["copies2"], "<i8")))
     n, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
     for a, b in links(x, y, threshold):
         if len(a):
@@ -113,19 +126,32 @@ def compared(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"id": ids[has], "n": n[has], "low": low[root][has]})
 
 
+def tile_pairs(tiles: DataFrame) -> DataFrame:
+    """(label, dim, tile, tile2) of all pairs of a label's tiles, each once, from (label, dim, tile, tiles).
+
+    A tile meets itself and the ``tiles // 2`` after it in a circle, so that all have as many pairs.
+    """
+    n = F.col("tiles")
+    last = F.when((n % 2 == 0) & (F.col("tile") >= n / 2), F.floor(n / 2) - 1).otherwise(F.floor(n / 2)).cast("int")
+    ahead = F.explode(F.sequence(F.lit(0), F.greatest(last, F.lit(0))))
+    return tiles.withColumn("ahead", ahead).select("label", "dim", "tile", F.pmod(F.col("tile") + F.col("ahead"), n).cast("int").alias("tile2"))
+
+
 def near_vectors(
     df: DataFrame,
     key: str = "vec_id",
     vector: str = "embedding",
     label: str = "label",
     threshold: float = THRESHOLD,
-    tile: int = TILE,
+    least: int = LEAST,
+    most: int = MOST,
 ) -> DataFrame:
     """For each row of ``df``: key, ``n_links``, ``component_id``, ``kept``.
 
     Vectors that are null, empty or zero, or hold null or non-finite
     components, link with nothing; so do rows with a null label or key, and
     vectors of different lengths. Rows with equal vectors link with each other.
+    Components of any size count, also those whose squares no double holds.
     ``component_id`` is the smallest key that links reach (null for a null
     key, which is kept). Rows that repeat a key count as rows and share a
     component. An empty table gives an empty one.
@@ -152,32 +178,42 @@ def near_vectors(
         .agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v"))
         .withColumn("dim", F.size("v"))
     )
-    sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    dealt = classes.join(sizes, ["label", "dim"]).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    packed_schema = "label {}, dim int, tile int, ids binary, copies binary, vectors binary".format(
+    # Tiles are as the rows have them: 4 or 8 bytes a component.
+    kind = "<f4" if df.schema[vector].dataType.elementType.simpleString() == "float" else "<f8"
+    fit = F.greatest(F.lit(256), F.lit(TILE_BYTES) / F.greatest(F.col("dim") * int(kind[2]), F.lit(1)))
+    size = F.least(F.greatest(F.col("n") / TILES, F.lit(least)), F.lit(most), fit)
+    sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    sizes = scratch.written(sizes.select("label", "dim", F.ceil(F.col("n") / size).cast("int").alias("tiles")))
+    few = sizes.count() <= BROADCAST_LABELS
+    dealt = classes.join(F.broadcast(sizes) if few else sizes, ["label", "dim"])
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    packed_schema = "label {}, dim int, tile int, tiles int, ids binary, copies binary, vectors binary".format(
         classes.schema["label"].dataType.simpleString()
     )
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "label": pdf["label"].iloc[:1],
-                "dim": pdf["dim"].iloc[:1],
-                "tile": pdf["tile"].iloc[:1],
-                "ids": [pdf["id"].to_numpy("<i8").tobytes()],
-                "copies": [pdf["copies"].to_numpy("<i8").tobytes()],
-                "vectors": [np.concatenate(list(pdf["v"])).astype("<f8").tobytes()],
-            }
-        )
+        out = pdf[["label", "dim", "tile", "tiles"]].iloc[:1].copy()
+        out["ids"], out["copies"] = [pdf["id"].to_numpy("<i8").tobytes()], [pdf["copies"].to_numpy("<i8").tobytes()]
+        out["vectors"] = [np.concatenate(list(pdf["v"])).astype(kind).tobytes()]
+        return out
 
     packed = scratch.written(
-        dealt.select("label", "dim", "tile", "id", "copies", "v").groupBy("label", "dim", "tile").applyInPandas(pack, packed_schema)
-    )
-    other = packed.select("label", "dim", *[F.col(c).alias(f"{c}2") for c in ("tile", "ids", "copies", "vectors")])
-    units = packed.join(other, ["label", "dim"]).where("tile <= tile2")
-    found = scratch.written(
-        units.groupBy("label", "dim", "tile", "tile2").applyInPandas(lambda pdf: compared(pdf, threshold), "id long, n long, low long")
+        dealt.select("label", "dim", "tile", "tiles", "id", "copies", "v").groupBy("label", "dim", "tile").applyInPandas(pack, packed_schema)
     )
+    blobs = ["ids", "copies", "vectors"]
+    other = packed.select("label", "dim", F.col("tile").alias("tile2"), *[F.col(c).alias(f"{c}2") for c in blobs])
+    own = packed.select("label", "dim", "tile", *blobs)
+    pairs = scratch.written(tile_pairs(packed.select("label", "dim", "tile", "tiles")))
+    # Each row is a unit of work: a pair of tiles, in partitions of their own where there are many.
+    units = pairs.hint("shuffle_merge").join(own, ["label", "dim", "tile"]).hint("shuffle_merge").join(other, ["label", "dim", "tile2"]).drop("label")
+    bounded_batches(df.sparkSession)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for unit in frame.to_dict("records"):
+                yield compared(unit | {"kind": kind}, threshold)
+
+    found = scratch.written(units.mapInPandas(run, "id long, n long, low long"))
     labels = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")), scratch)
     named = written(
         classes.select("label", "h1", "h2", "id", "copies")

@@ -1,6 +1,8 @@
 import numpy as np
+import pandas as pd
 import pytest
 from compare import DATA, of_spark, of_sql
+from pyspark.sql import functions as F
 
 from fernweave.llm import embedding_dedup as E
 
@@ -30,7 +32,7 @@ def rows():
 def test_edges_equal_sql(spark, folder, tile, monkeypatch):
     monkeypatch.setattr(E, "BLOCK", 16)
     at = folder(embeddings=rows())
-    got = E.near_vectors(spark.read.parquet(f"{at}/embeddings.parquet"), tile=tile)
+    got = E.near_vectors(spark.read.parquet(f"{at}/embeddings.parquet"), least=tile, most=tile)
     assert of_spark(got) == of_sql(E.ORACLE, at)
 
 
@@ -43,3 +45,32 @@ def test_empty_table_and_null_key(spark, folder):
     df = spark.createDataFrame([(None, [1.0], 0, "x"), (1, [1.0], 0, "y")], "vec_id long, embedding array<float>, label int, id string")
     out = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in E.near_vectors(df).collect()}
     assert out == {None: (0, None, True), 1: (0, 1, True)}
+
+
+def test_each_pair_of_tiles_stands_once(spark):
+    for n in range(1, 9):
+        tiles = spark.createDataFrame([("l", 2, i, n) for i in range(n)], "label string, dim int, tile int, tiles int")
+        pairs = [tuple(sorted((r["tile"], r["tile2"]))) for r in E.tile_pairs(tiles).collect()]
+        assert sorted(pairs) == [(i, j) for i in range(n) for j in range(i, n)]
+
+
+def test_one_label_of_many_vectors(spark):
+    """All of one label, in several tiles, against plain products."""
+    draw = np.random.Generator(np.random.PCG64(7))
+    x = draw.normal(size=(12_000, 16)).astype(np.float32)
+    x[6000:] = x[draw.integers(0, 6000, 6000)] + 0.1 * draw.normal(size=(6000, 16))
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}), "vec_id long, embedding array<float>").withColumn("label", F.lit("one"))
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    n = np.concatenate([(u[i : i + 1000] @ u.T >= E.THRESHOLD).sum(axis=1) - 1 for i in range(0, len(u), 1000)])
+    out = {r["vec_id"]: r for r in E.near_vectors(df, least=1000, most=2000).collect()}
+    assert [out[i]["n_links"] for i in range(len(x))] == n.tolist() and n.max() > 0
+    assert all(out[i]["kept"] == (out[i]["component_id"] == i) for i in out)
+
+
+def test_repeated_keys_and_components_beyond_squares(spark):
+    rows = [(1, [1e200, 1e200], 0), (1, [1e200, 1e200], 0), (2, [3e-200, 3e-200], 0), (3, [5e-324, 0.0], 0), (4, [1e308, 0.0], 0), (5, [-1e308, 1.0], 0)]
+    got = E.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == [
+        (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True), (4, 1, 3, False), (5, 0, 5, True)
+    ]
