@@ -278,8 +278,16 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
         .agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
     )
     spread = scratch.written(spread)
+    # Pairs of tiles are listed by number and meet their tiles by (bucket, tile): no key gathers a bucket.
+    tiles = spread.join(lists.where("tile = 0 and tiles > 1").select("h", "tiles"), "h")
+    later = F.explode(F.sequence(F.col("tile") + 1, F.col("tiles") - 1))
     other = spread.select("h", F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    apart = spread.join(other, "h").where("tile > 0 and tile < tile2 and (low <> high or low <> low2 or low2 <> high2)")
+    apart = (
+        tiles.where("tile > 0 and tile < tiles - 1")
+        .withColumn("tile2", later)
+        .join(other, ["h", "tile2"])
+        .where("low <> high or low <> low2 or low2 <> high2")
+    )
     rest = (
         apart.select("h", "tile", "tile2")
         .join(cut, ["h", "tile"])

@@ -15,7 +15,7 @@ def sets(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """All pairs; rows that repeat an id are one document."""
     root = {k: k for k, _ in rows if k is not None}
 
@@ -27,7 +27,7 @@ def brute(rows):
     own = [(k, sets(t)) for k, t in rows if k is not None]
     for i, (a, s) in enumerate(own):
         for b, t in own[:i]:
-            if s and t and 100 * len(s & t) >= 85 * len(s | t):
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return sorted((k or 0, len(sets(t)), find(k) if k is not None else -1, k is None or find(k) == k) for k, t in rows)
@@ -66,6 +66,24 @@ def test_large_group_of_near_copies(spark, folder, monkeypatch, tile, ids):
     assert got(D.op10_minhash_dedup(spark, folder(documents=rows))) == brute(rows)
 
 
+def test_bucket_of_members_without_links(spark, monkeypatch):
+    """Pages of one template meet in buckets but are no copies: all pairs of tiles are compared, and two copies found."""
+    monkeypatch.setattr(D, "TILE", 16)
+    monkeypatch.setattr(D, "FEW", 4)
+    draw = random.Random(9)
+    frame = [f"t{i}" for i in range(150)]
+    rows = [(i, " ".join(frame + [f"p{draw.randint(0, 10**6)}" for _ in range(50)])) for i in range(160)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in (5, 77)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(D.near_duplicates(df)) == brute(rows)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 5, 6, "x", 7), (2, "A b", 5, 6, "y", 8)], "doc_id long, text string, id int, n_shingles int, bands string, f1 int")
+    assert got(D.near_duplicates(df)) == [(1, 1, 1, True), (2, 1, 1, False)]
+    assert [tuple(r) for r in D.deduplicated(df).collect()] == [(1, "a b", 5, 6, "x", 7)]
+
+
 def test_query_equals_brute_force(spark):
     df = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
     assert got(D.op10_minhash_dedup(spark, DATA)) == brute([tuple(r) for r in df.collect()])
