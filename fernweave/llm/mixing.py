@@ -19,18 +19,22 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fernweave.llm.common import WORD, bounded_batches, table, written
 
-#: Words of a block; a source's taken words differ from its target by about this much.
-BLOCK_WORDS = 32
+#: Words of a block at least and at most. A source's taken words differ from its target by about a block; blocks
+#: are as long as the smallest target allows at a deviation of one in ``FINENESS``.
+BLOCK_WORDS, FINENESS = (32, 1024), 500
 #: Words of a shard at least, and shards of all sources at most (besides one more for each source).
 SHARD_WORDS, SHARDS = 1 << 17, 1 << 16
 #: Sources up to which their table (some 100 bytes each) is broadcast; beyond, Spark joins by a shuffle.
 BROADCAST_SOURCES = 50_000
+#: Sources that the driver apportions at most (some 100 MB); a mix of more is refused.
+SOURCES = 500_000
 #: Weights of the sources in turn and the mix's words for each word there is (fixed by the contract).
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 
@@ -110,19 +114,21 @@ def mix(
     text: str = "text",
     spans: bool = False,
     seed: int = 0,
-    block_words: int = BLOCK_WORDS,
+    block_words: int | None = None,
     shard_words: int = SHARD_WORDS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row for each row of ``df``: key, source, ``size``, ``source_size``, ``target``, ``taken``.
+    """One row for each row of ``df``: key, source, ``h``, ``size``, ``source_size``, ``target``, ``taken``.
 
     ``spans`` adds an array of (first, last, times): word ranges of the document
     and how often they are taken. Null texts have size 0 and are never taken;
-    null is a source of its own, the last. ``h``, a hash of key and text, ties
-    a row of the plan to its document; rows that repeat both may change places.
-    The
-    driver sees one row for each source and each shard; shards are bounded in
-    number and each holds a bounded share of the words, whatever one source's
-    share is. An empty table gives an empty plan.
+    null is a source of its own, the last. ``h`` is a hash of key and text; rows
+    that repeat both may change places. The columns ``carry`` go along with
+    their rows. The driver sees one row for each source, ``SOURCES`` at most,
+    and each shard; shards are bounded in number and each holds a bounded share
+    of the words, whatever one source's share is. Without ``block_words`` the
+    blocks are as long as ``BLOCK_WORDS`` and ``FINENESS`` allow. An empty table
+    gives an empty plan.
     """
     spark = df.sparkSession
     sizes = written(
@@ -131,15 +137,18 @@ def mix(
             F.col(f"`{source}`").alias("source"),
             F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
             F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`")).alias("h"),
+            *carry,
         )
     )
-    totals = sorted(
-        ((r["source"], r["n"]) for r in sizes.groupBy("source").agg(F.sum("size").alias("n")).collect()),
-        key=lambda r: (r[0] is None, r[0] or ""),
-    )
+    found = sizes.groupBy("source").agg(F.sum("size").alias("n")).limit(SOURCES + 1).collect()
+    if len(found) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources")
+    totals = sorted(((r["source"], r["n"]) for r in found), key=lambda r: (r[0] is None, r[0] or ""))
     total = sum(n for _, n in totals)
     weights = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(totals))]
     targets = filled([n for _, n in totals], weights, SHARE * total)
+    if block_words is None:
+        block_words = min(max(int(min((t for t in targets if t > 0), default=0)) // FINENESS, BLOCK_WORDS[0]), BLOCK_WORDS[1])
     per_shard = max(shard_words, -(-total // SHARDS))
     rows = [(s, i, n, t, -(-n // per_shard) or 1) for i, ((s, n), t) in enumerate(zip(totals, targets, strict=True))]
     plan = spark.createDataFrame(rows, "plan_source string, sid int, source_size long, target double, shards int")
@@ -150,7 +159,7 @@ def mix(
     empty = dealt.where("size = 0")  # however many there are, no shard gathers them
     dealt = dealt.where("size > 0")
     words = {(r["sid"], r["shard"]): r["n"] for r in dealt.groupBy("sid", "shard").agg(F.sum("size").alias("n")).collect()}
-    quotas = shard_quotas(words, targets, block_words)
+    quotas = spark.sparkContext.broadcast(shard_quotas(words, targets, block_words))
 
     def take(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["h", "key", "size"], kind="stable", ignore_index=True)
@@ -160,7 +169,7 @@ def mix(
         lengths = np.full(-(-n // block_words), block_words, np.int64)
         if n % block_words:
             lengths[-1] = n % block_words
-        times = passes(len(lengths), quotas.get((sid, shard), 0), seed * 1_000_003 + sid * 65_537 + shard)
+        times = passes(len(lengths), quotas.value.get((sid, shard), 0), seed * 1_000_003 + sid * 65_537 + shard)
         before = np.concatenate(([0], np.cumsum(times * lengths)))
         at = np.append(times, 0)
 
@@ -176,7 +185,7 @@ def mix(
 
     out = T.StructType(
         [dealt.schema["key"], dealt.schema["source"]]
-        + [T.StructField("h", T.LongType()), *(dealt.schema[c] for c in ("size", "source_size", "target"))]
+        + [T.StructField("h", T.LongType()), *(dealt.schema[c] for c in (*carry, "size", "source_size", "target"))]
         + [T.StructField("taken", T.LongType())]
         + [T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType())))] * spans
     )
@@ -239,28 +248,30 @@ def pieces(text: str, spans: list[list[int]]) -> list[str]:
     return out
 
 
+#: Columns that tell the place of a row: a hash of its file's path and its number in there.
+FILE, ROW = "__file", "__row"
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """``df`` with ``FILE`` and ``ROW``; it is written first if it is no plain scan of Parquet files."""
+    place = {FILE: F.xxhash64("_metadata.file_path"), ROW: F.col("_metadata.row_index")}
+    try:
+        return df.select("*", *[c.alias(name) for name, c in place.items()])
+    except AnalysisException:
+        return written(df).select("*", *[c.alias(name) for name, c in place.items()])
+
+
 def mixed_documents(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The mix itself: the rows of ``df``, once for each taking, with the words that are taken.
 
     A document of which nothing is taken is absent; one that is taken twice is
     there twice. The columns are those of ``df``; ``n_chars`` follows the text.
+    Rows meet their spans by their places in the table's files, so rows that
+    repeat are rows of their own; texts are shuffled once.
     """
-    plan = (
-        mix(df, key, source, text, spans=True)
-        .select(F.col("h").alias("__h"), F.col("spans").alias("__spans"))
-        .groupBy("__h")
-        .agg(F.sort_array(F.collect_list("__spans")).alias("__all"))
-    )
-    h = F.xxhash64(F.lit(0), F.col(f"`{key}`"), F.col(f"`{text}`"))
-    copies = Window.partitionBy("__h").orderBy(F.col(f"`{key}`"))
-    joined = (
-        df.withColumn("__h", h)
-        .withColumn("__copy", F.row_number().over(copies))
-        .join(plan, "__h")
-        .withColumn("__spans", F.get("__all", F.col("__copy") - 1))
-        .where(F.size("__spans") > 0)
-        .drop("__h", "__all", "__copy")
-    )
+    docs = placed(df)
+    plan = mix(docs, key, source, text, spans=True, carry=[FILE, ROW]).where(F.size("spans") > 0)
+    joined = docs.join(plan.select(FILE, ROW, F.col("spans").alias("__spans")), [FILE, ROW]).drop(FILE, ROW)
     bounded_batches(df.sparkSession)
     names, schema = df.columns, df.schema
 
