@@ -8,27 +8,27 @@ import public_tokenizers
 import tiktoken
 from compare import DATA
 from test_minhash_dedup import brute as near_brute
+from test_mixing import plain_mix
 
-from fernweave.llm import bpe, mixing, quality_rules
+from fernweave.llm import bpe, quality_rules
 
 
 def plain(spark, documents):
     kept = [d for d in documents if not any(r.rejects(quality_rules.Measures(d["text"])) for r in quality_rules.RULES)]
-    own = {k for k, _, _, keep in near_brute([(d["doc_id"], d["text"]) for d in kept]) if keep}
+    own = {k for k, _, _, keep in near_brute([(d["doc_id"], d["text"]) for d in kept], 80) if keep}
     kept = [d for d in kept if d["doc_id"] in own]
-    plan = {r["doc_id"]: r for r in mixing.mix(spark.createDataFrame(kept), spans=True).collect()}
+    taken = plain_mix(spark, [(d["doc_id"], d["source"], d["text"]) for d in kept])
     texts = []
-    for d in kept:
+    for d, times_of in zip(kept, taken, strict=True):
         words = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", d["text"])]
         for k in (1, 2):
-            parts, last = [], None
-            for a, z, times in plan[d["doc_id"]]["spans"]:
+            parts = []
+            for w, times in enumerate(times_of):
                 if times >= k:
-                    if last == a:
-                        parts[-1][1] = z
+                    if parts and parts[-1][1] == w:
+                        parts[-1][1] = w + 1
                     else:
-                        parts.append([a, z])
-                    last = z
+                        parts.append([w, w + 1])
             if parts == [[0, len(words)]]:
                 texts.append((d["doc_id"], d["text"]))
             elif parts:
