@@ -8,14 +8,19 @@ a task uses, and are listed in a Parquet table; Spark commits the list of one
 attempt only, so a lost executor or a task run twice leaves files that nothing
 reads.
 
-The reader streams an archive: it loads the dictionary, decodes one frame at a
-time, and checks each record's version line, fields, lengths and digest. A
-record that fails is an error, never skipped.
+The reader streams an archive, its own or another's: it loads the dictionary,
+if there is one, decodes one frame at a time, and checks each record's version
+line, fields, date, lengths and digest. It knows all kinds of records, digests
+by SHA-256, SHA-1 and MD5 in hex or Base32, and fields that repeat. A record that
+fails is an error, never skipped.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -81,46 +86,97 @@ def record_bytes(record_id: str, uri: str, date: str, payload: bytes, digest: st
     return VERSION + b"\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def headers(lines: bytes) -> dict[str, str]:
-    out = {}
-    for line in lines.decode("utf-8").split("\r\n"):
+#: Fields that every record has, and the kinds of records (fixed by the format).
+FIELDS = ("warc-type", "warc-record-id", "warc-date", "content-length")
+KINDS = set("warcinfo response resource request metadata revisit conversion continuation".split())
+DATE = re.compile(r"\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T([01]\d|2[0-3]):[0-5]\d:([0-5]\d|60)(\.\d{1,9})?Z")
+RECORD_ID = re.compile(r"<[A-Za-z][A-Za-z0-9+.-]*:[^<>\s]+>")
+#: Bytes of the digests that are checked.
+DIGESTS = {"sha256": 32, "sha1": 20, "md5": 16}
+
+
+def headers(lines: bytes, once: tuple[str, ...] = ()) -> dict[str, str]:
+    """Fields by lower-case name, of repeated ones the first; those of ``once`` must not repeat. A line that
+    begins with white space goes on with the one before."""
+    out: dict[str, str] = {}
+    name = ""
+    for line in lines.decode("utf-8", "replace").split("\r\n"):
+        if line[:1] in (" ", "\t") and name:
+            out[name] += " " + line.strip()
+            continue
         name, colon, value = line.partition(":")
         if not colon or not name or name != name.strip():
             raise WarcError(f"not a header line: {line[:80]!r}")
-        if name.lower() in out:
+        name = name.lower()
+        if name in out and name in once:
             raise WarcError(f"{name} stands twice")
-        out[name.lower()] = value.strip()
+        out.setdefault(name, value.strip())
     return out
 
 
+def digest_holds(labelled: str, payload: bytes) -> bool:
+    """Whether a labelled digest (``sha1:...``) is that of the payload; digests of other kinds are taken as they are."""
+    kind, _, value = labelled.partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in DIGESTS:
+        return True
+    try:
+        given = bytes.fromhex(value) if len(value) == 2 * DIGESTS[kind] else base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except (ValueError, binascii.Error):
+        return False
+    return given == hashlib.new(kind, payload).digest()
+
+
 def parsed(data: bytes) -> Record:
-    """The record of one frame; raises ``WarcError`` if a field, a length or the digest is wrong."""
+    """The record of one frame; raises ``WarcError`` if a field, a length or the digest is wrong.
+
+    The payload is the body of an HTTP message, else the block. Its digest is
+    given as bare hex SHA-256; that of a revisit, which has no payload, and its
+    length are what its fields say.
+    """
     head, gap, rest = data.partition(b"\r\n\r\n")
     version, _, lines = head.partition(b"\r\n")
     if not gap or version not in (b"WARC/1.0", VERSION):
         raise WarcError("no version line or end of header")
-    own = headers(lines)
-    for name in ("warc-type", "warc-record-id", "warc-date", "warc-target-uri", "warc-payload-digest", "content-length"):
+    own = headers(lines, FIELDS)
+    for name in FIELDS:
         if name not in own:
             raise WarcError(f"no {name}")
+    kind, refers_to = own["warc-type"], own.get("warc-refers-to")
+    if kind not in KINDS or (kind not in ("warcinfo", "metadata", "continuation") and "warc-target-uri" not in own):
+        raise WarcError(f"no known kind of record or no target: {kind}")
+    if not DATE.fullmatch(own["warc-date"]) or not RECORD_ID.fullmatch(own["warc-record-id"]):
+        raise WarcError(f"no date or no id: {own['warc-date']} {own['warc-record-id']}")
     if not own["content-length"].isdigit() or len(rest) != int(own["content-length"]) + 4 or rest[-4:] != b"\r\n\r\n":
         raise WarcError("the content length does not match the frame")
-    http, gap, payload = rest[:-4].partition(b"\r\n\r\n")
-    status, _, lines = http.partition(b"\r\n")
-    if not gap or not status.startswith(b"HTTP/"):
-        raise WarcError("no HTTP header in the block")
-    length = headers(lines).get("content-length", "")
-    if not length.isdigit():
-        raise WarcError("no payload length")
-    kind, digest = own["warc-type"], own["warc-payload-digest"].removeprefix("sha256:")
-    refers_to = own.get("warc-refers-to")
-    if kind == "response":
-        if int(length) != len(payload) or hashlib.sha256(payload).hexdigest() != digest or refers_to:
-            raise WarcError("the payload does not match its length or digest")
-    elif kind != "revisit" or not refers_to or payload or own.get("warc-profile") != PROFILE:
-        raise WarcError(f"not a response or a sound revisit: {kind}")
+    block = payload = rest[:-4]
+    length = ""
+    if own.get("content-type", "").lower().startswith("application/http") and kind in ("response", "revisit", "request"):
+        message, gap, payload = block.partition(b"\r\n\r\n")
+        status, _, lines = message.removesuffix(b"\r\n").partition(b"\r\n")
+        if not gap or b"HTTP/" not in status:
+            raise WarcError("no HTTP header in the block")
+        http = headers(lines) if lines else {}
+        length = http.get("content-length", "")
+        # Bodies that are cut, chunked or packed have other lengths than the server said.
+        plain = "warc-truncated" not in own and "transfer-encoding" not in http and "content-encoding" not in http
+        if kind == "response" and plain and length and (not length.isdigit() or int(length) != len(payload)):
+            raise WarcError("the payload does not match its length")
+    labelled = own.get("warc-payload-digest", "")
+    if kind == "revisit":
+        if "warc-profile" not in own or payload.strip() and "identical-payload-digest" in own["warc-profile"]:
+            raise WarcError("not a sound revisit")
+        size, digest = int(length) if length.isdigit() else 0, labelled.partition(":")[2]
+    else:
+        if refers_to and kind == "response":
+            raise WarcError("a response refers to no other record")
+        if labelled and "warc-truncated" not in own and not digest_holds(labelled, payload):
+            raise WarcError("the payload does not match its digest")
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    if not digest_holds(own.get("warc-block-digest", ""), block):
+        raise WarcError("the block does not match its digest")
     bare = lambda x: x and x.removeprefix("<").removesuffix(">")
-    return Record(kind, bare(own["warc-record-id"]), own["warc-target-uri"], bare(refers_to), int(length), digest, payload)
+    return Record(kind, bare(own["warc-record-id"]), bare(own.get("warc-target-uri", "")), bare(refers_to), size, digest, payload)
 
 
 def dictionary(samples: list[bytes]) -> bytes:
@@ -149,17 +205,21 @@ class Writer:
 def read_archive(source: BinaryIO) -> Iterator[Record]:
     """The records of one archive, a frame at a time."""
     head = source.read(8)
-    if len(head) < 8 or struct.unpack("<I", head[:4])[0] != DICTIONARY_MAGIC:
-        raise WarcError("no dictionary frame at the head")
-    size = struct.unpack("<I", head[4:])[0]
-    trained = source.read(size)
-    if len(trained) != size:
-        raise WarcError("the dictionary is cut")
-    if trained[:4] == struct.pack("<I", FRAME_MAGIC):  # it may be compressed itself
-        trained = zstandard.ZstdDecompressor().decompress(trained)
+    if not head:
+        return
+    magic = struct.unpack("<I", head[:4])[0] if len(head) == 8 else 0
+    if magic not in (DICTIONARY_MAGIC, FRAME_MAGIC):
+        raise WarcError("neither a dictionary nor a frame at the head")
+    trained, held = b"", head
+    if magic == DICTIONARY_MAGIC:
+        size = struct.unpack("<I", head[4:])[0]
+        trained, held = source.read(size), b""
+        if len(trained) != size:
+            raise WarcError("the dictionary is cut")
+        if trained[:4] == struct.pack("<I", FRAME_MAGIC):  # it may be compressed itself
+            trained = zstandard.ZstdDecompressor().decompress(trained)
     given = {"dict_data": zstandard.ZstdCompressionDict(trained)} if trained else {}
     frames = zstandard.ZstdDecompressor(**given)
-    held = b""
     while held or (held := source.read(READ_BYTES)):
         frame, parts = frames.decompressobj(), []
         while not frame.eof:

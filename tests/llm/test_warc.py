@@ -1,3 +1,5 @@
+import base64
+import hashlib
 import io
 import struct
 
@@ -19,8 +21,6 @@ def archive(records, trained=b""):
 
 
 def good(payload=b"x" * 10):
-    import hashlib
-
     return warc.record_bytes("urn:page:1", "http://a/\r\nb", "2024-01-01T00:00:00Z", payload, hashlib.sha256(payload).hexdigest(), None)
 
 
@@ -89,3 +89,47 @@ def test_empty_table_and_null_key(spark, folder):
     df = spark.createDataFrame([(None, "u", PAGE, 1), (1, "u", PAGE, 2)], "page_id long, url string, html string, payload int")
     kinds = {r["record_id"]: r["record_type"] for r in warc.read_archives(warc.archive_pages(df)).collect()}
     assert kinds == {"urn:page:none": "response", "urn:page:1": "response"}
+
+
+def record(kind, block, **fields):
+    lines = [f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", "WARC-Date: 2024-02-29T23:59:59Z"]
+    lines += [f"{k.replace('_', '-')}: {v}" for k, v in fields.items()] + [f"Content-Length: {len(block)}"]
+    return b"WARC/1.0\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_others():
+    """All kinds of records, other digests, repeated and folded fields, chunked bodies, no dictionary frame."""
+    body = b"<p>body"
+    sha1 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nSet-Cookie: a\r\nSet-Cookie: b\r\nX-Long: one\r\n two\r\nTransfer-Encoding: chunked\r\nContent-Length: 99\r\n\r\n"
+    kind = {"WARC_Target_URI": "<http://a/>", "Content_Type": "application/http; msgtype=response"}
+    records = [
+        record("warcinfo", b"software: x\r\n", Content_Type="application/warc-fields"),
+        record("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", WARC_Target_URI="http://a/", Content_Type="application/http; msgtype=request"),
+        record("response", http + body, **kind, WARC_Payload_Digest=f"sha1:{sha1}", WARC_Concurrent_To="<urn:uuid:2>"),
+        record("response", b"HTTP/1.1 204 No\r\n\r\n", **kind, WARC_Payload_Digest="blake3:whatever"),
+        record("metadata", b"fetchTimeMs: 1", WARC_Refers_To="<urn:uuid:1>"),
+        record("resource", body, WARC_Target_URI="http://a/", WARC_Payload_Digest=f"md5:{hashlib.md5(body).hexdigest()}"),
+        record("revisit", http, **kind, WARC_Payload_Digest=f"sha1:{sha1}", WARC_Profile="http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"),
+    ]
+    data = b"".join(zstandard.ZstdCompressor().compress(r) for r in records)
+    found = list(warc.read_archive(io.BytesIO(data)))
+    assert [r.kind for r in found] == ["warcinfo", "request", "response", "response", "metadata", "resource", "revisit"]
+    assert [r.payload for r in found] == [b"software: x\r\n", b"", body, b"", b"fetchTimeMs: 1", body, b""]
+    assert found[2].payload_digest == hashlib.sha256(body).hexdigest() and found[2].uri == "http://a/" and found[6].payload_digest == sha1
+    for bad in (
+        record("response", http + b"other", **kind, WARC_Payload_Digest=f"sha1:{sha1}"),
+        record("response", http + body, **kind, WARC_Payload_Digest="sha1:not base 32"),
+        record("resource", body, WARC_Target_URI="http://a/", WARC_Block_Digest=f"sha1:{base64.b32encode(b'x' * 20).decode()}"),
+        records[2].replace(b"2024-02-29T23", b"2024-02-29T25"),
+        records[2].replace(b"<urn:uuid:1>", b"urn:uuid:1"),
+        records[2].replace(b"WARC-Target-URI", b"X-Target"),
+        record("odd", body),
+    ):
+        with pytest.raises(warc.WarcError):
+            warc.parsed(bad)
+
+
+def test_rows_that_repeat_a_key(spark, folder):
+    at = folder(pages=[(1, "u", PAGE), (1, "u", PAGE), (2, "u", PAGE), (2, "u", PAGE)])
+    assert of_spark(warc.op2_warc(spark, at)) == of_sql(warc.ORACLE, at)
