@@ -3,8 +3,7 @@
 A template is the set of words of a license notice. A text block is a line and,
 as notices are hard-wrapped, the words that follow it in its paragraph, as many
 as the longest template has; so any notice lies in a block, however its lines
-are parted. The query ``op8_license_scan`` and its SQL take single lines only. A
-block meets a template if it holds at least ``THRESHOLD`` of the template's
+are parted. A block meets a template if it holds at least ``THRESHOLD`` of the template's
 words. All words of templates are ordered by their number of blocks in the
 whole corpus, the rarest first. With ``need`` words of a template's ``n``
 wanted, a block must hold one of the template's first ``n - need + 1`` words
@@ -196,8 +195,8 @@ def scan_licenses(
     if wrapped:
         # Only texts that meet a template as a whole can do so in a block.
         two = two.withColumns({"__lines": lines, "__whole": matches(F.array("__flat"), order, ranked)})
-        most = max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in templates)
-        met = F.when(F.size("__whole") > 0, matches(wrapped_blocks(F.col("__lines"), most), order, ranked)).otherwise(F.col("__whole"))
+        blocks = wrapped_blocks(F.col("__lines"), longest(templates))
+        met = F.when(F.size("__whole") > 0, matches(blocks, order, ranked)).otherwise(F.col("__whole"))
     else:
         met = matches(lines, order, ranked)
     three = two.withColumns(
@@ -240,12 +239,12 @@ def scan_licenses(
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), wrapped=False).drop("text")
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
-def op8_license_scan_wrapped(spark, sf_dir: str) -> DataFrame:
-    """The scan of ``op8_license_scan`` with notices found over line ends too."""
-    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+def longest(templates: list[tuple[str, str]]) -> int:
+    """Words of the longest template, repeated ones counted."""
+    return max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in templates)
 
 
 def _oracle() -> str:
@@ -264,9 +263,17 @@ WITH d AS (
 ), base AS (
   SELECT rid, count(*) AS n, min(start) AS a, max(start) AS z, list_sort(list(DISTINCT label)) AS labels FROM place GROUP BY rid
 ), template(label, words, need) AS (VALUES {values}
+), line AS (
+  SELECT rid, i, regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS own
+  FROM (SELECT rid, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM (SELECT rid, string_split(t, chr(10)) AS lines FROM w))
+), numbered AS (
+  SELECT *, count(*) FILTER (len(own) = 0) OVER (PARTITION BY rid ORDER BY i) AS part FROM line
+), started AS (
+  SELECT *, sum(len(own)) OVER (PARTITION BY rid, part ORDER BY i) - len(own) AS before FROM numbered WHERE len(own) > 0
+), part AS (
+  SELECT rid, part, flatten(list(own ORDER BY i)) AS words FROM started GROUP BY rid, part
 ), block AS (
-  SELECT rid, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS own
-  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM w)
+  SELECT rid, list_distinct(words[before + 1 : before + len(own) + {longest(TEMPLATES)}]) AS own FROM started JOIN part USING (rid, part)
 ), met AS (
   SELECT rid, label, len(list_intersect(own, words))::DOUBLE / len(words) AS share
   FROM block, template WHERE len(own) >= need AND len(list_intersect(own, words)) >= need
@@ -281,6 +288,6 @@ FROM w LEFT JOIN base USING (rid) LEFT JOIN method USING (rid)
 """
 
 
-QUERIES = {"op8_license_scan": op8_license_scan, "op8_license_scan_wrapped": op8_license_scan_wrapped}
+QUERIES = {"op8_license_scan": op8_license_scan}
 ORACLE = _oracle()
 ORACLES = {"op8_license_scan": ORACLE}
