@@ -24,38 +24,68 @@ def train_text() -> Column:
 
 
 def normal_fingerprint(log: DataFrame, blocked: list[DataFrame], start: datetime, end: datetime, limit: int | None, interval: str = "30 minutes") -> DataFrame:
-    """Training fingerprints of one day: four overlapping six-hour slots, each with at most ``limit`` rows.
+    """Training fingerprints of one day: those of ``normal_fingerprints`` without the day's number."""
+    return normal_fingerprints(log, blocked, [(start, end)], limit, interval).drop("day")
+
+
+def normal_fingerprints(log: DataFrame, blocked: list[DataFrame], days: list[tuple[datetime, datetime]], limit: int | None, interval: str = "30 minutes") -> DataFrame:
+    """Training fingerprints of days: of each four overlapping six-hour slots, each with at most ``limit`` rows.
 
     A slot keeps both its bounds, so a row on a bound stands in two slots. One
-    scan feeds all slots. Sources blocked within the span are out. The limit
-    takes the first rows by bucket, source and destination.
+    scan feeds all days and slots. Sources blocked within a day are out of it.
+    The limit takes the first rows by bucket, source and destination.
     """
     hours = lambda n: F.expr(f"INTERVAL {n} HOURS")
-    slots = F.array(
-        *[
-            F.when((F.col("logtime") >= ts(start) + hours(6 * k)) & (F.col("logtime") <= ts(end) - hours(18 - 6 * k)), F.lit(k))
-            for k in range(4)
-        ]
+    time = F.col("logtime")
+    spans = [(d, ts(a), ts(z)) for d, (a, z) in enumerate(days)]
+    slots = F.array_compact(
+        F.array(
+            *[
+                F.when((time >= a + hours(6 * k)) & (time <= z - hours(18 - 6 * k)), F.struct(F.lit(d).alias("day"), F.lit(k).alias("slot")))
+                for d, a, z in spans
+                for k in range(4)
+            ]
+        )
     )
     dash = F.lit(True)
     for c in ("http_host", "http_agent", "http_query", "http_path"):
         dash = dash & (F.col(c) == "-")
-    within = (F.col("logtime") >= ts(start)) & (F.col("logtime") <= ts(end))  # reaches the scan
-    kept = log.where(within & ~(dash & (F.col("http_server") == LOAD_BALANCER)))
+    within = (time >= F.least(*[a for _, a, _ in spans], ts(days[0][0]))) & (time <= F.greatest(*[z for _, _, z in spans], ts(days[0][1])))  # reaches the scan
+    rows = log.where(within & ~(dash & (F.col("http_server") == LOAD_BALANCER))).select("*", F.inline(slots))
     for other in blocked:
-        kept = anti(kept, other.where(within), "src_ip")
-    rows = kept.withColumn("slot", F.explode(F.array_compact(slots))).withColumn("text", train_text())
+        own = F.array_compact(F.array(*[F.when((time >= a) & (time <= z), F.lit(d)) for d, a, z in spans]))
+        rows = anti(rows, other.where(within).select(F.explode(own).alias("day"), "src_ip"), "day", "src_ip")
     out = (
-        rows.groupBy("slot", bucket(F.col("logtime") + hours(9), interval).alias("lgtime"), "src_ip", "dst_ip")
+        rows.withColumn("text", train_text())
+        .groupBy("day", "slot", bucket(time + hours(9), interval).alias("lgtime"), "src_ip", "dst_ip")
         .agg(X.distinct_text("text").alias("agnt_qry"))
         .withColumn("label", F.lit("normal"))
     )
     if limit is None:
         return out
-    order = Window.partitionBy("slot").orderBy("lgtime", "src_ip", "dst_ip")
+    order = Window.partitionBy("day", "slot").orderBy("lgtime", "src_ip", "dst_ip")
     return out.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= limit).drop("rn")
 
 
+def exclusions(rows: DataFrame) -> DataFrame:
+    """(selectcolumn, pattern) from exceptions (selectcolumn, keyword): the keywords of a column as alternatives.
+
+    Keywords are regular expressions, as they stand; empty ones exclude nothing.
+    """
+    own = rows.where("selectcolumn IS NOT NULL AND keyword <> ''")
+    return own.groupBy("selectcolumn").agg(F.array_join(F.array_sort(F.collect_set("keyword")), "|").alias("pattern"))
+
+
+#: The columns that exceptions are kept for.
+EXCEPTION_COLUMNS = ["http_query", "http_agent", "http_host", "http_path", "src_ip", "dst_ip"]
+
+
+def exclusion_patterns(rows: DataFrame) -> dict[str, str]:
+    """Patterns by column for ``predict_fingerprint``; a row for each known column comes to the driver."""
+    found = exclusions(rows.where(F.col("selectcolumn").isin(EXCEPTION_COLUMNS))).collect()
+    return {r["selectcolumn"]: r["pattern"] for r in found}
+
+
 def predict_fingerprint(log: DataFrame, blocked: DataFrame, start: datetime, end: datetime, exclude: dict[str, str], interval: str = "30 minutes") -> DataFrame:
     """Prediction fingerprints of ``[start, end)`` in local time, with exclusions.
 

@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fernweave.functions.vectors import argmax_label
 from fernweave.operators.aggregate import most_frequent_pair
 from fernweave.operators.metrics import weighted
 
@@ -33,6 +34,47 @@ def with_features(df: DataFrame, vector: str, fourier: FourierFeatures) -> DataF
     return df.withColumn("features", array_to_vector(fourier.column(vector)))
 
 
+class Margins:
+    """Linear margins as plain numbers, one for each label, which can be kept and applied within the row.
+
+    With one margin the label is the first if it is positive, else ``other``; with
+    several it is that of the largest.
+    """
+
+    def __init__(self, labels: list[str], coefficients: list[list[float]], intercepts: list[float], other: str = "normal"):
+        self.labels, self.coefficients, self.intercepts, self.other = labels, coefficients, intercepts, other
+
+    def margins(self, features: str = "features") -> Column:
+        own = vector_to_array(F.col(features))
+        rows = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in w]).alias("w"), F.lit(float(b)).alias("b")) for w, b in zip(self.coefficients, self.intercepts, strict=True)])
+        return F.transform(rows, lambda r: F.aggregate(F.zip_with(own, r["w"], lambda a, c: a * c), r["b"], lambda s, x: s + x))
+
+    def label(self, features: str = "features") -> Column:
+        if len(self.labels) == 1:
+            return F.when(F.get(self.margins(features), 0) > 0, self.labels[0]).otherwise(self.other)
+        return argmax_label(self.margins(features), self.labels)
+
+    def state(self) -> dict:
+        return {"labels": self.labels, "coefficients": self.coefficients, "intercepts": self.intercepts, "other": self.other}
+
+    @classmethod
+    def of(cls, state: dict) -> Margins:
+        return cls(state["labels"], state["coefficients"], state["intercepts"], state["other"])
+
+
+def rechecked(label: Column, checks: dict[str, Margins], features: str = "features") -> Column:
+    """A label that a class's own model denies becomes what that model says; classes without one stay."""
+    out = label
+    for name, check in checks.items():
+        out = F.when(label == name, check.label(features)).otherwise(out)
+    return out
+
+
+def binary_margins(model, wanted: str, other: str = "normal") -> Margins:
+    """The margin of a fitted ``fit_binary``."""
+    return Margins([wanted], [model.coefficients.toArray().tolist()], [float(model.intercept)], other)
+
+
 def fit_binary(df: DataFrame, label: str, wanted: str, iterations: int = 30):
     """One class against all others; expects ``features``."""
     rows = df.withColumn("y", (F.col(label) == wanted).cast("double"))
@@ -68,6 +110,10 @@ class MultiClass:
     def predict(self, df: DataFrame) -> DataFrame:
         return self._named(self.model.transform(df))
 
+    def margins(self) -> Margins:
+        own = self.model.models
+        return Margins(self.labels, [m.coefficients.toArray().tolist() for m in own], [float(m.intercept) for m in own])
+
 
 def pca_coordinates(df: DataFrame, key: str, vector: str, k: int = 2) -> DataFrame:
     """(key, pca): each row's first ``k`` principal coordinates, for plots."""

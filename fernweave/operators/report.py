@@ -29,7 +29,10 @@ def report(log: DataFrame, xai: DataFrame, start, end) -> DataFrame:
     three key columns are joined as they are; no concatenated key is built.
     """
     nine = F.expr("INTERVAL 9 HOURS")
-    rows = log.withColumn("lgtime", bucket(F.col("logtime") + nine)).where((F.col("lgtime") >= start) & (F.col("lgtime") < end))
+    # The first condition is implied by the second, and reaches the scan.
+    span = (F.col("logtime") >= start - nine) & (F.col("logtime") < end - nine + F.expr("INTERVAL 30 MINUTES"))
+    rows = log.where(span).withColumn("lgtime", bucket(F.col("logtime") + nine)).where((F.col("lgtime") >= start) & (F.col("lgtime") < end))
+    xai = xai.where((F.col("lgtime") >= start) & (F.col("lgtime") < end))
     rows = rows.select(*KEY, *RAW, train_text().alias("str_prep"))
     found = substring_join(rows, explained_terms(xai, ["ai_label", *KEY]), KEY, "str_prep", "features")
     by_row = found.groupBy("ai_label", *KEY, *RAW).agg(F.collect_set("features").alias("keyword"))

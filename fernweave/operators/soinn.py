@@ -313,13 +313,28 @@ def thresholds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _near(df: DataFrame, nodes: DataFrame, edges: DataFrame, key: str, vector: str) -> DataFrame:
-    """Each row with the ids, distances, thresholds, labels and vectors of its two nearest nodes."""
+    """Each row (key, vector) with ``n1`` and ``n2``, its two nearest nodes, and ``normals``, the vectors of its two
+    nearest normal ones.
+
+    The network, a bounded model, is one array with its thresholds and labels, a
+    scalar subquery; rows meet it where they are, so nothing is shuffled or
+    joined and rows with a null key stay.
+    """
     info = nodes.select("node_id", "label", "node_vec").join(thresholds(nodes, edges), "node_id")
-    pairs = nearest(df, nodes, 2, key, vector).join(F.broadcast(info), "node_id")
-    one = pairs.groupBy(key).agg(
-        *[F.max(F.when(F.col("rank") == r, F.struct("node_id", "d2", "threshold", "label", "node_vec"))).alias(f"n{r}") for r in (1, 2)]
+    fields = ["node_id", "threshold", "label", "node_vec"]
+    model = info.agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("model")).scalar()
+    far = F.transform("__model", lambda n: F.struct(squared_distance(F.col(vector), n["node_vec"]).alias("d2"), *[n[f].alias(f) for f in fields]))
+    return (
+        df.select(key, vector, model.alias("__model"))
+        .withColumn("__far", F.array_sort(far))
+        .select(
+            key,
+            vector,
+            F.get("__far", 0).alias("n1"),
+            F.get("__far", 1).alias("n2"),
+            F.transform(F.slice(F.filter("__far", lambda n: n["label"] == "normal"), 1, 2), lambda n: n["node_vec"]).alias("normals"),
+        )
     )
-    return df.select(key, vector).join(one, key)
 
 
 def predict(df: DataFrame, nodes: DataFrame, edges: DataFrame, key: str, vector: str, weight: float = 1.0) -> DataFrame:
@@ -343,15 +358,12 @@ def explain(df: DataFrame, nodes: DataFrame, edges: DataFrame, key: str, vector:
     rows = _near(df, nodes, edges, key, vector).withColumn(
         "outlier", (F.col("n1.d2") > F.col("n1.threshold")) | (F.col("n2.d2") > F.col("n2.threshold"))
     )
-    normal = nodes.where("label = 'normal'")
-    close = nearest(df, normal, 2, key, vector).join(F.broadcast(normal.select("node_id", "node_vec")), "node_id")
-    close = close.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "node_vec"))), lambda x: x["node_vec"]).alias("normals"))
     names = F.array(*[F.lit(f) for f in features])
 
     def diffs(node: Column) -> Column:
         return F.zip_with(vector, node, lambda a, b: F.abs(a.cast("double") - b))
 
-    count = F.size("normals")
+    count = F.nullif(F.size("normals"), F.lit(0))
     mean = F.transform(
         F.aggregate("normals", F.transform(F.col(vector), lambda _: F.lit(0.0)), lambda s, v: F.zip_with(s, diffs(v), lambda a, b: a + b)), lambda x: x / count
     )
@@ -365,14 +377,15 @@ def explain(df: DataFrame, nodes: DataFrame, edges: DataFrame, key: str, vector:
             order = F.array_sort(kept, lambda a, b: F.when(a["key"] != b["key"], F.when(a["key"] < b["key"], -1).otherwise(1)).otherwise(F.when(a["pos"] < b["pos"], -1).otherwise(1)))
         return F.transform(order, lambda x: F.struct(x["feature"].alias("feature"), x["diff"].alias("diff")))
 
-    out = rows.join(close, key, "left")
-    return out.select(key, "outlier", F.when(F.col("outlier"), named(mean, -1)).otherwise(named(diffs(F.col("n1.node_vec")), 1)).alias("terms"))
+    return rows.select(key, "outlier", F.when(F.col("outlier"), named(mean, -1)).otherwise(named(diffs(F.col("n1.node_vec")), 1)).alias("terms"))
 
 
 def close_to(df: DataFrame, nodes: DataFrame, key: str, vector: str, label: str, k: int = 2) -> DataFrame:
-    """(key, close): whether one of the ``k`` nearest nodes has the label."""
-    near = nearest(df, nodes, k, key, vector).join(F.broadcast(nodes.select("node_id", "label")), "node_id")
-    return near.groupBy(key).agg(F.bool_or(F.col("label") == label).alias("close"))
+    """(key, close): whether one of the ``k`` nearest nodes has the label; within the row, as all that meets a model."""
+    model = nodes.agg(F.sort_array(F.collect_list(F.struct("node_id", "label", "node_vec"))).alias("model")).scalar()
+    far = F.transform("__model", lambda n: F.struct(squared_distance(F.col(vector), n["node_vec"]).alias("d2"), n["node_id"].alias("node_id"), n["label"].alias("label")))
+    near = F.slice(F.array_sort(far), 1, k)
+    return df.select(key, vector, model.alias("__model")).select(key, F.exists(near, lambda n: n["label"] == label).alias("close"))
 
 
 def noise_nodes(nodes: DataFrame, edges: DataFrame, c1: float = 0.001, c2: float = 1.0) -> DataFrame:

@@ -51,10 +51,10 @@ def keyword_counts(df: DataFrame, keys: list[str], text: str, vocabulary: list[s
 
 
 def document_frequency(df: DataFrame, text: str) -> DataFrame:
-    """(term, tf, df) over the whole table."""
-    words = df.select(F.explode(tokens(text)).alias("term"))
-    once = df.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
-    return words.groupBy("term").agg(F.count("*").alias("tf")).join(once.groupBy("term").agg(F.count("*").alias("df")), "term")
+    """(term, tf, df) over the whole table, in one pass and one shuffle: of a text's sorted terms each first one counts for df."""
+    ordered = df.select(F.array_sort(tokens(text)).alias("t"))
+    flagged = F.transform("t", lambda x, i: F.struct(x.alias("term"), F.when((i == 0) | (F.get("t", i - 1) != x), 1).otherwise(0).alias("new")))
+    return ordered.select(F.inline(flagged)).groupBy("term").agg(F.count("*").alias("tf"), F.sum("new").alias("df"))
 
 
 def learned_vocabulary(df: DataFrame, text: str, user: list[str], limit: int) -> DataFrame:
@@ -105,11 +105,13 @@ class KeywordTfidf:
         return out
 
     def rows(self, df: DataFrame, keys: list[str], text: str) -> DataFrame:
-        """(keys, term, weight) of the words present."""
-        idf = F.create_map(*[F.lit(x) for w in self.vocabulary for x in (w, self.idf[w])])
-        raw = keyword_counts(df, keys, text, self.vocabulary).withColumn("raw", F.col("tf") * idf[F.col("term")])
-        norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*keys)))
-        return raw.select(*keys, "term", (F.col("raw") / norm).alias("weight"))
+        """(keys, term, weight) of the words present, from the row's own vector: there is no shuffle.
+
+        Rows that repeat their keys have vectors of their own.
+        """
+        vectors = self.arrays(df.select(*keys, F.col(text).alias("__text")), "__text")
+        found = F.filter(F.arrays_zip("feature", "score"), lambda p: p["score"] > 0)
+        return vectors.select(*keys, F.inline(found).alias("term", "weight"))
 
     def arrays(self, df: DataFrame, text: str) -> DataFrame:
         """Append ``feature`` (the vocabulary) and ``score`` (a weight for each word), within the row."""

@@ -114,6 +114,16 @@ def predict_fingerprint(spark, sf_dir):
     return stamped(fingerprint.predict_fingerprint(L.http_log(spark, sf_dir), L.blocked(spark, sf_dir), START, END, EXCLUDE), "lgtime")
 
 
+@query(
+    """SELECT c AS selectcolumn, array_to_string(list_sort(list(DISTINCT k)), '|') AS pattern FROM (SELECT CASE WHEN event_id % 3 = 0 THEN 'http_agent' ELSE 'http_query' END AS c, event_type AS k FROM events) GROUP BY c"""
+)
+def exception_patterns(spark, sf_dir):
+    """A table of exceptions (column, keyword) as one pattern a column."""
+    column = F.when(F.col("event_id") % 3 == 0, "http_agent").otherwise("http_query")
+    rows = read(spark, sf_dir, "events").select(column.alias("selectcolumn"), F.col("event_type").alias("keyword"))
+    return fingerprint.exclusions(rows)
+
+
 @query(
     f"""SELECT lang, {DISTINCT.format(norm("host || ' ' || split_part(url, '?', 2)", lower=False, host_check=False))} AS agnt_qry, 'en' AS label
 FROM (SELECT url, split_part(url, '/', 3) AS host, split_part(url, '/', 4) AS lang FROM pages) WHERE lang = 'en' GROUP BY lang"""
@@ -131,8 +141,7 @@ def corpus_scan(spark, sf_dir):
 
 @query(f"WITH {LOG} SELECT event_id, src_ip, dst_ip FROM log WHERE strftime(logtime, '%Y%m%d') = '20240105' AND http_retcode <> '200'")
 def version_scan(spark, sf_dir):
-    log = L.http_log(spark, sf_dir).withColumn("version", F.date_format("logtime", "yyyyMMdd"))
-    return log.where("version = '20240105' AND http_retcode <> '200'").select("event_id", "src_ip", "dst_ip")
+    return L.of_day(L.http_log(spark, sf_dir), "20240105").where("http_retcode <> '200'").select("event_id", "src_ip", "dst_ip")
 
 
 @query(f"WITH {LOG} SELECT min(event_id) AS first_index, max(event_id) AS last_index FROM log")

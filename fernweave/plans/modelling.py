@@ -150,12 +150,43 @@ def bow_counts(spark, sf_dir):
     return vectorize.bag_of_words(read(spark, sf_dir, "benchmark"), ["item_id"], "text", 50)
 
 
-@query()
+QUANTILES = features.Scaler.QUANTILES
+_MARKS = ", ".join(f"quantile_cont({{c}}, {i / QUANTILES})" for i in range(QUANTILES + 1))
+_SHARE = (
+    "least(1.0, greatest(0.0, (len(list_filter(m_{c}, lambda x: x < {c})) + greatest(len(list_filter(m_{c}, lambda x: x <= {c})), len(list_filter(m_{c}, lambda x: x < {c})) + 1) - 1) / 2.0 / "
+    + f"{QUANTILES}))"
+)
+
+
+@query(
+    f"WITH m AS (SELECT {', '.join(f'[{_MARKS.format(c=c)}] AS m_{c}' for c in NUMBERS)} FROM lineitem) "
+    + f"SELECT l_orderkey, l_linenumber, {', '.join(f'round({_SHARE.format(c=c)}, 6) AS {c}' for c in NUMBERS)}, 0.5 AS five FROM lineitem, m"
+)
 def quantile_scale(spark, sf_dir):
     return _scaled(spark, sf_dir, "quantile")
 
 
-@query()
+def _yeo_johnson_sql(c: str, e: str) -> str:
+    up = f"CASE WHEN abs({e}) < 1e-9 THEN ln(1 + {c}) ELSE (pow({c} + 1, {e}) - 1) / {e} END"
+    down = f"CASE WHEN abs({e} - 2) < 1e-9 THEN -ln(1 - {c}) ELSE -(pow(1 - {c}, 2 - {e}) - 1) / (2 - {e}) END"
+    return f"(CASE WHEN {c} >= 0 THEN {up} ELSE {down} END)"
+
+
+def _power_sql() -> str:
+    """For each column the exponent of the grid with the largest log-likelihood, then the standardised transform."""
+    fits = []
+    for c in NUMBERS:
+        y = _yeo_johnson_sql(c, "e")
+        fits.append(
+            f"""f_{c} AS (SELECT e AS e_{c}, m AS m_{c}, sqrt(v) AS s_{c} FROM (SELECT e, avg({y}) AS m, var_pop({y}) AS v,
+-count(*) / 2.0 * ln(var_pop({y})) + (e - 1) * avg(sign({c}) * ln(1 + abs({c}))) * count(*) AS l FROM lineitem, grid GROUP BY e) ORDER BY l DESC, e LIMIT 1)"""
+        )
+    columns = ", ".join(f"round(({_yeo_johnson_sql(c, f'e_{c}')} - m_{c}) / s_{c}, 6) AS {c}" for c in NUMBERS)
+    grid = ", ".join(f"({e}::DOUBLE)" for e in features.Scaler.GRID)
+    return f"WITH grid(e) AS (VALUES {grid}), {', '.join(fits)} SELECT l_orderkey, l_linenumber, {columns}, 0.0 AS five FROM lineitem, {', '.join(f'f_{c}' for c in NUMBERS)}"
+
+
+@query(_power_sql())
 def power_scale(spark, sf_dir):
     return _scaled(spark, sf_dir, "power")
 
@@ -301,23 +332,27 @@ def head_bypass(spark, sf_dir):
     return _ruled(spark, sf_dir).select("event_id", rules.head_bypassed(F.col("label"), F.col("present")).alias("ai_label"))
 
 
-@query("SELECT vec_id, (['a', 'b', 'c'])[list_position(embedding[1:3], list_max(embedding[1:3]))] AS category FROM embeddings")
+@query("SELECT vec_id, 'c' || (list_position(embedding, list_max(embedding)) - 1)::VARCHAR AS category FROM embeddings")
 def argmax_category(spark, sf_dir):
-    return read(spark, sf_dir, "embeddings").select("vec_id", argmax_label(F.slice("embedding", 1, 3), ["a", "b", "c"]).alias("category"))
+    return read(spark, sf_dir, "embeddings").select("vec_id", argmax_label(F.col("embedding"), [f"c{i}" for i in range(64)]).alias("category"))
 
 
-# --- the clustering network: 20 embeddings as nodes, edges by a rule -----------
-N_NODES = 20
+# --- the clustering network: the means of all embeddings by label and key as nodes, edges by a rule -----------
+N_NODES, WAYS = 20, 2
 
 
 def _network(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings").where(F.col("vec_id") < N_NODES)
-    nodes = e.select(
-        F.col("vec_id").alias("node_id"),
-        F.col("embedding").cast("array<double>").alias("node_vec"),
+    """A node for each label and parity of the key: the mean of its embeddings to 4 places; every row counts."""
+    node = (F.col("label") * WAYS + F.col("vec_id") % WAYS).cast("long").alias("node_id")
+    long = read(spark, sf_dir, "embeddings").select(node, "label", F.posexplode("embedding").alias("pos", "x"))
+    means = long.groupBy("node_id", "label", "pos").agg(F.round(F.avg(F.col("x").cast("decimal(30,15)")).cast("double"), 4).alias("x"))
+    vectors = means.groupBy("node_id", "label").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v"))
+    nodes = vectors.select(
+        "node_id",
+        F.transform("v", lambda p: p["x"]).alias("node_vec"),
         F.when(F.col("label") < 4, "normal").otherwise(F.concat(F.lit("attack"), F.col("label").cast("string"))).alias("label"),
-        (F.col("vec_id") % 3).alias("class"),
-        ((F.col("vec_id") * 7) % 11 / 10).alias("density"),
+        (F.col("node_id") % 3).alias("class"),
+        ((F.col("node_id") * 7) % 11 / 10).alias("density"),
     )
     ids = spark.range(N_NODES)
     pairs = ids.select(F.col("id").alias("src"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(N_NODES - 1).cast("long"))).alias("dst"))
@@ -326,7 +361,8 @@ def _network(spark, sf_dir):
 
 
 SQ = "list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) * (p[1]::DOUBLE - p[2]::DOUBLE)))"
-NET = f"""node AS (SELECT vec_id AS node_id, embedding::DOUBLE[] AS v, CASE WHEN label < 4 THEN 'normal' ELSE 'attack' || label::VARCHAR END AS label, vec_id % 3 AS class, ((vec_id * 7) % 11) / 10 AS density FROM embeddings WHERE vec_id < {N_NODES}),
+NET = f"""mean AS (SELECT label * {WAYS} + vec_id % {WAYS} AS node_id, label, i, round(avg(embedding[i]::DECIMAL(30,15)), 4) AS x FROM embeddings, range(1, 65) AS r(i) GROUP BY ALL),
+node AS (SELECT node_id, list(x ORDER BY i) AS v, CASE WHEN label < 4 THEN 'normal' ELSE 'attack' || label::VARCHAR END AS label, node_id % 3 AS class, ((node_id * 7) % 11) / 10 AS density FROM mean GROUP BY node_id, label),
 edge AS (SELECT a.node_id AS src, b.node_id AS dst FROM node a, node b WHERE a.node_id <> b.node_id AND (a.node_id + b.node_id) % 9 = 0 AND a.node_id % 4 <> 3 AND b.node_id % 4 <> 3),
 th AS (SELECT a.node_id, coalesce(max(CASE WHEN e.src IS NOT NULL THEN {SQ.format(a="a.v", b="b.v")} END), min({SQ.format(a="a.v", b="b.v")})) AS threshold
   FROM node a JOIN node b ON a.node_id <> b.node_id LEFT JOIN edge e ON e.src = a.node_id AND e.dst = b.node_id GROUP BY a.node_id),

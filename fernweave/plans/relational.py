@@ -260,12 +260,12 @@ def top_per_group(spark, sf_dir):
     return sampling.first_per_group(docs, ["lang"], [F.desc("n_chars"), F.col("doc_id")], 7)
 
 
-PAIR = "(SELECT vec_id, i - 1 AS pos, 'f' || (i - 1)::VARCHAR AS term, round(embedding[i]::DOUBLE, 2) + 0.0 AS score FROM embeddings, range(1, 9) AS r(i))"
+PAIR = "(SELECT vec_id, i - 1 AS pos, 'f' || (i - 1)::VARCHAR AS term, round(embedding[i]::DOUBLE, 2) + 0.0 AS score FROM embeddings, range(1, 65) AS r(i))"
 
 
 def _scored(spark, sf_dir):
-    names = F.array(*[F.lit(f"f{i}") for i in range(8)])
-    return read(spark, sf_dir, "embeddings").select("vec_id", names.alias("feature"), F.transform(F.slice("embedding", 1, 8), lambda x: F.round(x.cast("double"), 2) + 0.0).alias("score"))
+    names = F.array(*[F.lit(f"f{i}") for i in range(64)])
+    return read(spark, sf_dir, "embeddings").select("vec_id", names.alias("feature"), F.transform("embedding", lambda x: F.round(x.cast("double"), 2) + 0.0).alias("score"))
 
 
 @query(f"SELECT vec_id, rank, term, score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, pos)::INTEGER AS rank FROM {PAIR}) WHERE rank <= 3")

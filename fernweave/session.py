@@ -31,9 +31,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``; where that is unset (tests), under a temporary folder."""
+    """A new folder name under ``spark.checkpoint.dir``, which all executors share; where that is unset, under a
+    temporary folder if the session is local (tests), else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = _OWN.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="fernweave-"))
     return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
 

@@ -37,6 +37,12 @@ def http_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(*[F.expr(sql).alias(name) for name, sql in COLUMNS.items()])
 
 
+def of_day(log: DataFrame, version: str) -> DataFrame:
+    """Rows of one day's version (YYYYMMDD); the range reaches the scan."""
+    day = F.to_date(F.lit(version), "yyyyMMdd").cast("timestamp_ntz")
+    return log.where((F.col("logtime") >= day) & (F.col("logtime") < day + F.expr("INTERVAL 1 DAY"))).withColumn("version", F.lit(version))
+
+
 def blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocked sources (logtime, src_ip, dev_nm): error events above a value."""
     return http_log(spark, sf_dir).where("http_retcode = '500' AND value > 60").select("logtime", "src_ip", "dev_nm")

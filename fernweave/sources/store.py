@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,21 +42,43 @@ TABLE_TYPES = [("collect_number", "bigint"), ("collect_string", "string"), ("col
 
 
 def versioned(spark: SparkSession, path: str, version: str, columns: list[str] | None = None) -> DataFrame:
-    """Rows of one version; the filter prunes partitions, ``columns`` the scan."""
-    df = spark.read.parquet(path).where(F.col("version") == version)
+    """Rows of one version, which stays a string; only its folder is read, and only ``columns`` of it."""
+    at = f"{path.rstrip('/')}/version={version}"
+    if exists(spark, f"{at}/{COMMITTED}"):
+        df = spark.read.parquet(at)
+    else:
+        df = spark.read.parquet(path).drop("version").where("false")
+    df = df.withColumn("version", F.lit(version))
     return df.select(*columns) if columns else df
 
 
+#: The file that Spark's committer leaves in a folder that is written in full.
+COMMITTED = "_SUCCESS"
+
+
 def insert_version(df: DataFrame, path: str, version: str) -> bool:
-    """Write ``df`` as ``version`` unless the table has it already; whether it was written."""
+    """Write ``df`` as ``version`` unless the table has it already; whether it was written.
+
+    Rows go to a folder of their own, which readers skip, and become the version
+    by one rename once they are committed. So what a writer that died left
+    behind counts for nothing, and of two writers at once one wins.
+    """
     spark = df.sparkSession
-    if exists(spark, path):
-        at = f"{path.rstrip('/')}/version={version}"
-        if exists(spark, at):
-            return False
-    out = df.withColumn("version", F.lit(version))
-    out.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).partitionBy("version").parquet(path)
-    return True
+    root = path.rstrip("/")
+    name = uuid.uuid4().hex
+    at, staged = f"{root}/version={version}", f"{root}/_staged/{name}"
+    if exists(spark, f"{at}/{COMMITTED}"):
+        return False
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(staged)
+    fs, target = _hadoop(spark, at)
+    if fs.exists(target) and not exists(spark, f"{at}/{COMMITTED}"):
+        fs.delete(target, True)  # half-written
+    won = not fs.exists(target) and fs.rename(_hadoop(spark, staged)[1], target)
+    if exists(spark, f"{at}/{name}"):  # another writer was first: the folder went into the version's
+        drop_table(spark, f"{at}/{name}")
+        won = False
+    drop_table(spark, staged)
+    return won
 
 
 def _hadoop(spark: SparkSession, path: str):

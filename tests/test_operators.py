@@ -159,3 +159,53 @@ def test_micro_batches_are_idempotent(spark, tmp_path):
     for _ in range(2):
         micro_batch.predict_batches(stream, lambda df: df.withColumn("l", F.lit("x")), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+def test_versions_stay_strings(spark, tmp_path):
+    at = str(tmp_path / "t")
+    store.insert_version(spark.createDataFrame([(1,)], "a int"), at, "00000000000001")
+    df = store.versioned(spark, at, "00000000000001")
+    assert dict(df.dtypes)["version"] == "string" and df.first()["version"] == "00000000000001"
+    assert store.versioned(spark, at, "x").count() == 0
+
+
+def test_half_written_version_is_written_again(spark, tmp_path):
+    at, df = str(tmp_path / "t"), spark.createDataFrame([(1,), (2,)], "a int")
+    assert store.insert_version(df, at, "v1")
+    (tmp_path / "t" / "version=v2").mkdir()
+    spark.createDataFrame([(9,)], "a int").coalesce(1).write.parquet(str(tmp_path / "dead"))
+    for f in (tmp_path / "dead").glob("*.parquet"):
+        f.rename(tmp_path / "t" / "version=v2" / f.name)  # files of a job that never committed
+    assert store.insert_version(df, at, "v2") and not store.insert_version(df, at, "v2")
+    assert sorted(r["a"] for r in store.versioned(spark, at, "v2").collect()) == [1, 2]
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    at, df = str(tmp_path / "t"), spark.range(100)
+    with ThreadPoolExecutor(4) as pool:
+        won = list(pool.map(lambda _: store.insert_version(df, at, "v1"), range(4)))
+    assert sum(won) == 1 and store.versioned(spark, at, "v1").count() == 100
+
+
+def test_order_statistics_are_exact(spark):
+    draw = np.random.Generator(np.random.PCG64(3))
+    x = draw.normal(size=999).round(2).tolist()
+    df = spark.createDataFrame([(v, 5.0, None) for v in x] + [(None, None, None)], "x double, y double, z double").repartition(5)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    found = features.order_statistics(df, ["x", "y", "z"], shares)
+    assert np.allclose(found["x"], np.quantile(x, shares)) and found["y"] == [5.0] * 6 and found["z"] == [None] * 6
+
+
+def test_null_keys_stay_when_rows_meet_a_network(spark):
+    nodes = spark.createDataFrame([(1, [0.0, 0.0], "normal"), (2, [9.0, 9.0], "attack")], "node_id long, node_vec array<double>, label string")
+    edges = spark.createDataFrame([], "src long, dst long, age long")
+    rows = spark.createDataFrame([(None, [9.0, 9.0]), (1, [0.0, 0.1])], "k long, v array<double>")
+    assert {r["k"]: r["ai_label"] for r in soinn.predict(rows, nodes, edges, "k", "v").collect()} == {None: "attack", 1: "normal"}
+
+
+def test_schema_names_and_jdbc(spark):
+    df = spark.createDataFrame([(1, "x")], "b int, a string")
+    assert store.same_schema(df, {"b": "int", "a": "string"}) and not store.same_schema(df, {"b": "int", "a": "int"})
+    assert store.ordered_columns(df, ["b"]).columns == ["b", "a"]
