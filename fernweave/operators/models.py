@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -30,8 +31,22 @@ class FourierFeatures:
         return F.transform(rows, lambda r: F.cos(dot(r) + r["b"]) * scale)
 
 
+#: Weights up to which the features are one expression; more are a matrix product in Arrow batches.
+EXPRESSION_WEIGHTS = 8192
+
+
 def with_features(df: DataFrame, vector: str, fourier: FourierFeatures) -> DataFrame:
-    return df.withColumn("features", array_to_vector(fourier.column(vector)))
+    """Append ``features``, an ML vector."""
+    if fourier.w.size <= EXPRESSION_WEIGHTS:
+        return df.withColumn("features", array_to_vector(fourier.column(vector)))
+    w, b = fourier.w, fourier.b
+
+    @F.pandas_udf("array<double>")
+    def mapped(v: pd.Series) -> pd.Series:
+        x = np.stack(v.to_numpy()).astype(np.float64) if len(v) else np.zeros((0, w.shape[1]))
+        return pd.Series(list(np.sqrt(2 / len(b)) * np.cos(x @ w.T + b)))
+
+    return df.withColumn("features", array_to_vector(mapped(F.col(vector))))
 
 
 class Margins:
