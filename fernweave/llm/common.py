@@ -25,7 +25,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Bytes of one Arrow batch sent to a Python worker; long texts then come in smaller batches.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 #: What a Python worker keeps from task to task, by operator and parameters.

@@ -13,8 +13,10 @@ bounded size that compare all their members at once and give back a spanning
 forest of the links found, never the pairs:
 
 * buckets of few members are merged by their smallest member;
-* larger ones are cut into tiles; each tile meets the bucket's first tile, then,
-  only where components still differ, the other tiles.
+* larger ones are cut into tiles; each tile meets the bucket's first tile. Then
+  the members outside the bucket's largest component, cut into tiles of their
+  own, meet each other and all of that component: what is in it already is not
+  compared again.
 
 Components of the forests are found by distributed star contraction.
 """
@@ -38,7 +40,7 @@ BANDS, ROWS = 30, 6
 #: Places that shingles are scattered over.
 SLOTS = 1 << 21
 #: Members of a bucket that is merged with others, members of a tile, and shingles of a tile about.
-FEW, TILE, TILE_SHINGLES = 16, 128, 400_000
+FEW, TILE, TILE_SHINGLES = 16, 512, 400_000
 #: Keys (8 bytes each) that are broadcast; more are joined by a shuffle of the texts.
 BROADCAST_IDS = 1_000_000
 #: Buckets (20 bytes each) that are broadcast to find their members; more are joined by a shuffle of the band keys.
@@ -267,31 +269,43 @@ def candidate_links(classes: DataFrame, df: DataFrame, key: str, text: str, widt
     texts = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
     texts = scratch.written(texts.join(few_or_not(ids), "id"))
     edges = scratch.written(verified(units, texts, width, percent))
-    cut = lists.where("tiles > 1").select("h", "tile", "ids")
+    cut = lists.where("tiles > 1")
     if cut.isEmpty():
         return edges
+    # Links are still wanted only from members outside a bucket's largest component, its main one.
     labels = components(edges, scratch)
-    spread = (
-        cut.select("h", "tile", F.explode("ids").alias("id"))
+    members = scratch.written(
+        cut.select("h", "size", "tiles", F.explode("ids").alias("id"))
         .join(labels, "id", "left")
-        .groupBy("h", "tile")
-        .agg(F.min(F.coalesce("root", "id")).alias("low"), F.max(F.coalesce("root", "id")).alias("high"))
+        .select("h", "size", "tiles", "id", F.coalesce("root", "id").alias("root"))
+    )
+    by_root = members.groupBy("h", "root").agg(F.count("*").alias("n"))
+    main = by_root.groupBy("h").agg(F.max_by("root", F.struct("n", -F.col("root"))).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"))
+    main = scratch.written(main.where("n > n_main"))
+    share = lambda n: F.ceil(F.col(n) * F.col("tiles") / F.col("size")).cast("int")  # noqa: E731  tiles for n of the members
+    dealt = (
+        members.join(F.broadcast(main) if main.count() <= BROADCAST_BUCKETS else main, "h")
+        .withColumn("n_out", F.col("n") - F.col("n_main"))
+        .select("h", "id", (F.col("root") != F.col("main")).alias("out"), share("n_out").alias("out_tiles"), share("n_main").alias("main_tiles"))
+    )
+    at = F.pmod(F.xxhash64("id"), F.when(F.col("out"), F.col("out_tiles")).otherwise(F.col("main_tiles"))).cast("int")
+    tiles = scratch.written(
+        dealt.groupBy("h", "out", at.alias("tile")).agg(
+            F.sort_array(F.collect_set("id")).alias("ids"), F.first("out_tiles").alias("out_tiles"), F.first("main_tiles").alias("main_tiles")
+        )
     )
-    spread = scratch.written(spread)
     # Pairs of tiles are listed by number and meet their tiles by (bucket, tile): no key gathers a bucket.
-    tiles = spread.join(lists.where("tile = 0 and tiles > 1").select("h", "tiles"), "h")
-    later = F.explode(F.sequence(F.col("tile") + 1, F.col("tiles") - 1))
-    other = spread.select("h", F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    apart = (
-        tiles.where("tile > 0 and tile < tiles - 1")
-        .withColumn("tile2", later)
-        .join(other, ["h", "tile2"])
-        .where("low <> high or low <> low2 or low2 <> high2")
+    partner = lambda out: lambda i: F.struct(F.lit(out).alias("out2"), i.alias("tile2"))
+    partners = F.concat(
+        F.transform(F.sequence(F.col("tile"), F.col("out_tiles") - 1), partner(True)),
+        F.transform(F.sequence(F.lit(0), F.col("main_tiles") - 1), partner(False)),
     )
+    other = tiles.select("h", F.col("out").alias("out2"), F.col("tile").alias("tile2"), F.col("ids").alias("ids2"))
     rest = (
-        apart.select("h", "tile", "tile2")
-        .join(cut, ["h", "tile"])
-        .join(cut.select("h", F.col("tile").alias("tile2"), F.col("ids").alias("ids2")), ["h", "tile2"])
+        tiles.where("out")
+        .select("h", "ids", F.explode(partners).alias("p"))
+        .select("h", "ids", "p.*")
+        .join(other, ["h", "out2", "tile2"])
         .select(F.sort_array(F.array_union("ids", "ids2")).alias("ids"))
         .distinct()
     )
