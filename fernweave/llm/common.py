@@ -123,9 +123,13 @@ class Scratch:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the bytes of an Arrow batch, so that long texts do not fill a worker's memory."""
+    """Bound the bytes of an Arrow batch, so that long texts do not fill a worker's memory.
+
+    The bound is a setting of the session, as Spark has no other place for it; a smaller one is left as it is.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key) != f"{BATCH_BYTES}b":
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if now > BATCH_BYTES:
         spark.conf.set(key, f"{BATCH_BYTES}b")
 
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from fernweave.llm.common import cleared, components, held, shared_dir, written
+from fernweave.llm.common import BATCH_BYTES, bounded_batches, cleared, components, held, shared_dir, written
 
 
 def test_components(spark):
@@ -52,3 +52,13 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         shared_dir(Cluster)
+
+
+def test_batches_are_bounded_and_smaller_bounds_stay(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    for given, then in (("1m", "1m"), ("64m", f"{BATCH_BYTES}b")):
+        spark.conf.set(key, given)
+        bounded_batches(spark)
+        assert spark.conf.get(key) == then
+    spark.conf.set(key, before)
