@@ -471,7 +471,7 @@ def soinn_transfer(spark, sf_dir):
 
 @query()
 def rff_svm(spark, sf_dir):
-    rows = models.with_features(_labelled(spark, sf_dir), "embedding", models.FourierFeatures(64, 64, 10.0)).cache()
+    rows = models.with_features(_labelled(spark, sf_dir), "embedding", models.FourierFeatures(64, 64, 10.0))
     model = models.fit_binary(rows, "label", "attack", 10)
     return metrics.weighted(model.transform(rows).withColumn("guess", F.when(F.col("p") == 1, "attack").otherwise("normal")), "label", "guess")
 
@@ -479,7 +479,7 @@ def rff_svm(spark, sf_dir):
 @query()
 def cascade(spark, sf_dir):
     """Network over all rows that the classifier calls normal; the final label and its metrics."""
-    rows = models.with_features(_labelled(spark, sf_dir), "embedding", models.FourierFeatures(64, 64, 10.0)).cache()
+    rows = models.with_features(_labelled(spark, sf_dir), "embedding", models.FourierFeatures(64, 64, 10.0))
     multi = models.MultiClass().fit(rows, rows, "label", restarts=1)
     first = multi.predict(rows).select("vec_id", "embedding", "label", "ai_label")
     nodes, edges = soinn.fit(rows, "vec_id", "embedding", "label", 1000)
