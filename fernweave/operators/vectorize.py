@@ -51,10 +51,10 @@ def keyword_counts(df: DataFrame, keys: list[str], text: str, vocabulary: list[s
 
 
 def document_frequency(df: DataFrame, text: str) -> DataFrame:
-    """(term, tf, df) over the whole table, in one pass and one shuffle: of a text's sorted terms each first one counts for df."""
-    ordered = df.select(F.array_sort(tokens(text)).alias("t"))
-    flagged = F.transform("t", lambda x, i: F.struct(x.alias("term"), F.when((i == 0) | (F.get("t", i - 1) != x), 1).otherwise(0).alias("new")))
-    return ordered.select(F.inline(flagged)).groupBy("term").agg(F.count("*").alias("tf"), F.sum("new").alias("df"))
+    """(term, tf, df) over the whole table, in one pass and one shuffle: all terms of a text count for tf, its distinct ones for df."""
+    both = df.select(tokens(text).alias("t")).select(F.posexplode(F.array("t", F.array_distinct("t"))).alias("once", "terms"))
+    rows = both.select("once", F.explode("terms").alias("term"))
+    return rows.groupBy("term").agg(F.count_if(F.col("once") == 0).alias("tf"), F.sum("once").alias("df"))
 
 
 def learned_vocabulary(df: DataFrame, text: str, user: list[str], limit: int) -> DataFrame:
