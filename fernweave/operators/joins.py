@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fernweave.functions.net import ip_number
 from fernweave.functions.vectors import squared_distance
 
-#: Rows of a network list that is broadcast; a longer one is joined on the first octet by a shuffle.
+#: Rows of a network list that is broadcast; a longer one is joined on the first two octets by a shuffle.
 BROADCAST_NETWORKS = 100_000
 
 
@@ -37,8 +37,17 @@ def filled_from(df: DataFrame, other: DataFrame, keys: list[str], column: str, n
     return df.join(right, keys, "left").withColumn(name, F.coalesce("__right", column)).drop("__right")
 
 
+def cut(ranges: DataFrame, name: str, bits: int) -> DataFrame:
+    """Ranges (low, high) cut where the address's first bits change: ``name`` has these, ``bits`` are left behind them."""
+    size = 1 << bits
+    parts = ranges.select(F.explode(F.sequence(F.shiftright("low", bits), F.shiftright("high", bits))).alias(name), "low", "high")
+    start = F.col(name) * size
+    return parts.select(name, F.greatest("low", start).alias("low"), F.least("high", start + (size - 1)).alias("high"))
+
+
 def disjoint(nets: DataFrame) -> DataFrame:
-    """Networks of each first octet merged into ranges that do not overlap."""
+    """Networks merged into ranges (octet1, low, high) that do not overlap; wider ones are cut at each first octet."""
+    nets = cut(nets, "octet1", 24)
     order = Window.partitionBy("octet1").orderBy("low", "high")
     before = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
     begun = nets.withColumn("new", F.when(F.col("low") > F.coalesce(before, F.lit(-1)), 1).otherwise(0))
@@ -50,16 +59,16 @@ def network_flags(df: DataFrame, nets: DataFrame, addresses: list[str]) -> DataF
     """Add ``<address>_flag``: 1 if the address lies in any network, else 0.
 
     Overlapping networks are merged first, so an address meets one range at
-    most: by first octet, then by range. Rows of ``df`` are not shuffled while
-    the list is short enough for a broadcast, which is checked.
+    most: by its first two octets, then by range. Rows of ``df`` are not shuffled
+    while the list is short enough for a broadcast, which is checked.
     """
-    ranges = disjoint(nets)
+    ranges = cut(disjoint(nets), "block", 16)  # 65,536 rows more than networks at most
     side = F.broadcast(ranges) if nets.count() <= BROADCAST_NETWORKS else ranges
     out = df
     for a in addresses:
-        own = side.select(F.col("octet1").alias("__o"), F.col("low").alias("__l"), F.col("high").alias("__h"))
+        own = side.select(F.col("block").alias("__o"), F.col("low").alias("__l"), F.col("high").alias("__h"))
         out = out.withColumn("__n", ip_number(a))
-        met = (F.shiftright("__n", 24) == F.col("__o")) & F.col("__n").between(F.col("__l"), F.col("__h"))
+        met = (F.shiftright("__n", 16) == F.col("__o")) & F.col("__n").between(F.col("__l"), F.col("__h"))
         out = out.join(own, met, "left").withColumn(f"{a}_flag", F.col("__l").isNotNull().cast("int")).drop("__n", "__o", "__l", "__h")
     return out
 

@@ -40,6 +40,16 @@ def test_network_edges_and_overlaps(spark):
     assert out == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_networks_wider_than_an_octet(spark, monkeypatch, most):
+    monkeypatch.setattr(joins, "BROADCAST_NETWORKS", most)
+    nets = net.networks(spark, ["16.0.0.0/4", "17.0.0.0/9", "31.255.0.0/16", "31.255.255.255/32", "200.1.2.3/32", "200.1.2.0/30"])
+    ips = ["15.255.255.255", "16.0.0.0", "17.200.0.1", "31.255.255.255", "32.0.0.0", "200.1.2.3", "200.1.2.4", None]
+    rows = spark.createDataFrame(list(enumerate(ips)), "k int, ip string")
+    out = sorted((r["k"], r["ip_flag"]) for r in joins.network_flags(rows, nets, ["ip"]).collect())
+    assert out == list(enumerate([0, 1, 1, 1, 0, 1, 0, 0]))  # each row once
+
+
 def test_nearest_ties_take_the_lower_node(spark):
     nodes = spark.createDataFrame([(2, [0.0, 1.0]), (1, [0.0, 1.0]), (3, [5.0, 5.0])], "node_id long, node_vec array<double>")
     rows = spark.createDataFrame([(0, [0.0, 0.0])], "k long, v array<double>")
