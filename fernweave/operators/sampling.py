@@ -45,15 +45,15 @@ def attack_sample_size(label: str, limit: int) -> int:
     return int(limit * ATTACK_FACTORS.get(label, 1.0))
 
 
-def class_bootstrap(df: DataFrame, label: str, key: str, limit: int, seed: str) -> DataFrame:
-    """Rows of each class drawn with replacement, exactly ``attack_sample_size`` of it, with their ``draw``.
+def class_bootstrap(df: DataFrame, label: str, key: str, limit: int, seed: str, factors: dict[str, float] = ATTACK_FACTORS) -> DataFrame:
+    """Rows of each class drawn with replacement, exactly ``limit`` times its factor of it, with their ``draw``.
 
     Classes are few; their sizes come from the row numbers in (label, key) order.
     """
     rows = numbered(df.where(F.col(label).isNotNull()).withColumn("__k", F.struct(label, key)), "__k", "__i").drop("__k")
     size = F.lit(limit)
-    for name in ATTACK_FACTORS:
-        size = F.when(F.col(label) == name, F.lit(attack_sample_size(name, limit))).otherwise(size)
+    for name, factor in factors.items():
+        size = F.when(F.col(label) == name, F.lit(int(limit * factor))).otherwise(size)
     classes = rows.groupBy(label).agg(F.min("__i").alias("first"), F.count("*").alias("n")).withColumn("size", size).where("size > 0")
     draws = classes.select(label, "first", "n", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("draw"))
     at = F.col("first") + hash28(F.lit(seed), F.col(label), F.col("draw").cast("string")) % F.col("n")

@@ -52,6 +52,19 @@ def collect_training(log: DataFrame, blocked: list[DataFrame], attacks: DataFram
     return store.versioned(log.sparkSession, config.path("collect"), version)
 
 
+def sampling_data(normal: DataFrame, attacks: DataFrame, classes: list[str], key: list[str], config: Config, version: str, ratio: float) -> tuple[DataFrame, DataFrame]:
+    """Normal rows and exactly ``attack_limit`` draws of each wanted class, numbered by label and ``key`` and split by
+    ``ratio``: the rows to train on and those to predict, each stored as one version."""
+    spark = normal.sparkSession
+    keyed = attacks.where(F.col("label").isin(classes)).withColumn("key", F.struct(*key))
+    drawn = sampling.class_bootstrap(keyed, "label", "key", config.attack_limit, version, {})
+    rows = normal.unionByName(drawn.select(*normal.columns)).withColumn("key", F.struct("label", *key))
+    parts = sampling.split(sampling.numbered(rows, "key").drop("key"), "index", ratio, version)
+    for table, part in (("sample_train", "train"), ("sample_predict", "test")):
+        store.insert_version(parts.where(F.col("part") == part).drop("part"), config.path(table), version)
+    return tuple(store.versioned(spark, config.path(t), version) for t in ("sample_train", "sample_predict"))
+
+
 def collect_prediction(log: DataFrame, blocked: DataFrame, exceptions: DataFrame, start: datetime, end: datetime, config: Config, version: str) -> DataFrame:
     """Fingerprints of a span to predict, without what the table of exceptions names, stored as one version with an index."""
     rows = fingerprint.predict_fingerprint(log, blocked, start, end, fingerprint.exclusion_patterns(exceptions), config.interval)
@@ -205,6 +218,22 @@ def attack_class_bootstrap(spark, sf_dir):
     return sampling.class_bootstrap(docs, "label", "doc_id", 200, "s2").select("label", "draw", "doc_id")
 
 
+@query(
+    f"""WITH d AS (SELECT lang AS label, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM documents WHERE lang IN ('de', 'fr')),
+r AS (SELECT label, n, unnest(range(100)) AS draw FROM (SELECT DISTINCT label, n FROM d)),
+t AS (SELECT 'normal' AS label, doc_id FROM documents WHERE lang = 'en' UNION ALL SELECT r.label, doc_id FROM r JOIN d ON d.label = r.label AND d.i = {HASH28.format("'v1:' || r.label || ':' || draw::VARCHAR")} % r.n),
+x AS (SELECT row_number() OVER (ORDER BY label, doc_id) - 1 AS index, * FROM t)
+SELECT index, label, doc_id, CASE WHEN row_number() OVER (ORDER BY md5('v1:' || index::VARCHAR), index) <= floor((SELECT count(*) FROM x) * 0.95) THEN 'train' ELSE 'predict' END AS part FROM x"""
+)
+def sampled_split(spark, sf_dir):
+    """Normal rows and draws of two classes, stored as what to train on and what to predict."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("lang").alias("label"), "doc_id")
+    normal = docs.where("label = 'en'").withColumn("label", F.lit("normal"))
+    parts = sampling_data(normal, docs, ["de", "fr"], ["doc_id"], Config(shared_dir(spark), [], attack_limit=100), "v1", 0.95)
+    train_, rest = (p.drop("version").withColumn("part", F.lit(name)) for p, name in zip(parts, ("train", "predict"), strict=True))
+    return train_.unionByName(rest)
+
+
 @query(
     """WITH e AS (SELECT event_id, CASE WHEN event_id % 5 > 0 THEN user_id ELSE -1 END AS a, CASE WHEN event_id % 7 > 0 THEN event_id ELSE -1 END AS b, CASE WHEN event_id % 11 > 0 THEN event_type ELSE 'empty' END AS c FROM events),
 s AS (SELECT min(a) AS a0, max(a) AS a1, min(b) AS b0, max(b) AS b1, list_sort(list(DISTINCT c)) AS cs FROM e)
