@@ -91,3 +91,13 @@ def nearest(df: DataFrame, nodes: DataFrame, k: int, key: str, vector: str, node
         .select(key, F.posexplode(F.slice(F.array_sort("near"), 1, k)).alias("rank", "n"))
         .select(key, (F.col("rank") + 1).cast("int").alias("rank"), F.col("n.node").alias(node), F.col("n.d2").alias("d2"))
     )
+
+
+def with_clusters(raw: DataFrame, found: DataFrame, keys: list[str], one_model: bool = False, label: str = "ai_label") -> DataFrame:
+    """Raw rows with the label that clustering gave them, for a second model.
+
+    Anomalies are out, and normal rows too unless one model is to see all.
+    """
+    out = ["anomaly"] if one_model else ["anomaly", "normal"]
+    own = found.where(~F.col(label).isin(out)).select(*keys, F.col(label).alias("esoinn_label"))
+    return raw.join(own, keys)

@@ -69,6 +69,26 @@ def split(df: DataFrame, key: str, ratio: float, seed: str) -> DataFrame:
     return ranked.withColumn("part", F.when(F.col("__i") < n.scalar(), "train").otherwise("test")).drop("__h", "__o", "__i")
 
 
+def refreshed(valid: DataFrame, new: DataFrame, key: str, label: str, seed: str, normal: str = "normal") -> tuple[DataFrame, DataFrame]:
+    """The validation set for training that goes on, and the rows of ``new`` left to train on.
+
+    Attacks stay, of the normal rows a half by hash; as many of ``new``, whose rows all count as normal, join them.
+    Rows without a label stay like attacks.
+    """
+
+    def hashed(df: DataFrame) -> DataFrame:
+        order = F.struct(F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))), F.col(key))
+        return numbered(df.withColumn("__o", order), "__o", "__i").drop("__o")
+
+    old = valid.where(F.col(label).eqNullSafe(normal))
+    half = old.agg(F.floor(F.count("*") / 2).cast("long").alias("n")).first()["n"]
+    own, fresh = hashed(old), hashed(new.withColumn(label, F.lit(normal)))
+    kept = valid.where(~F.col(label).eqNullSafe(normal))
+    for part in (own, fresh):
+        kept = kept.unionByName(part.where(F.col("__i") < half).drop("__i"))
+    return kept, fresh.where(F.col("__i") >= half).drop("__i")
+
+
 def slices(df: DataFrame, index: str, tasks: int) -> DataFrame:
     """(task, first, last): equal index ranges, the last taking the remainder."""
     span = df.agg(F.min(index).alias("lo"), F.max(index).alias("hi")).withColumn("bat", F.floor((F.col("hi") - F.col("lo") + 1) / tasks).cast("long"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fernweave.functions.vectors import squared_distance, total
 from fernweave.operators.joins import nearest
+from fernweave.session import shared_dir
 
 
 @dataclass
@@ -264,6 +265,11 @@ EDGES = "src long, dst long, age long"
 ROWS = 400_000
 
 
+def held_out(key: str, share: float = 0.05) -> Column:
+    """Whether ``fit`` holds a row out for validation: by hash of its key."""
+    return F.pmod(F.xxhash64(key), F.lit(1000)) < share * 1000
+
+
 def fit(
     df: DataFrame,
     key: str,
@@ -274,20 +280,21 @@ def fit(
     holdout: float = 0.05,
     trained: tuple[DataFrame, DataFrame] | None = None,
     most: int = ROWS,
+    valid: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of a network trained on ``df`` in one task.
 
     Of more than ``most`` rows, those with the smallest seeded hashes of the key
     are taken, wherever they stand. Rows are taken in key order; a share by hash of the key is held out for the
-    choice of the best period. With ``trained`` (nodes and edges, a bounded
-    model) training goes on from there.
+    choice of the best period, unless ``valid`` has the rows for it. With ``trained`` (nodes and edges, a bounded
+    model) training goes on from there. The network is written once and read back.
     """
     settings = settings or Settings()
     before = tuple([tuple(r) for r in part.collect()] for part in trained) if trained else None
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("k", ignore_index=True)
-        out = pdf["h"] < holdout * 1000
+        out = pdf["o"]
         x, y = np.stack(pdf["v"].to_numpy()), pdf["l"].tolist()
         train, test = np.flatnonzero(~out), np.flatnonzero(out)
         if not len(train):
@@ -297,9 +304,17 @@ def fit(
         nodes, edges, _ = net.fit(x[train], [y[i] for i in train], budget, (x[test], [y[i] for i in test]) if len(test) else None, known)
         return pd.DataFrame({"nodes": [nodes], "edges": [edges]})
 
-    rows = df.select(F.lit(0).alias("g"), F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.col(label).cast("string").alias("l"), F.pmod(F.xxhash64(key), F.lit(1000)).alias("h"))
+    def shaped(part: DataFrame, out: Column) -> DataFrame:
+        return part.select(F.lit(0).alias("g"), F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v"), F.col(label).cast("string").alias("l"), out.alias("o"))
+
+    rows = shaped(df, held_out(key, holdout) if valid is None else F.lit(False))
+    if valid is not None:
+        rows = rows.unionByName(shaped(valid, F.lit(True)))
     rows = rows.orderBy(F.xxhash64(F.lit(settings.seed), "k"), "k").limit(most)
-    both = rows.groupBy("g").applyInPandas(run, f"nodes array<struct<{NODES.replace(' ', ':').replace(',:', ',')}>>, edges array<struct<{EDGES.replace(' ', ':').replace(',:', ',')}>>").cache()
+    both = rows.groupBy("g").applyInPandas(run, f"nodes array<struct<{NODES.replace(' ', ':').replace(',:', ',')}>>, edges array<struct<{EDGES.replace(' ', ':').replace(',:', ',')}>>")
+    at = shared_dir(df.sparkSession)
+    both.write.parquet(at)
+    both = df.sparkSession.read.schema(both.schema).parquet(at)
     return both.select(F.inline("nodes")), both.select(F.inline("edges"))
 
 

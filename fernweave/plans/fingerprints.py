@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fernweave.functions import text as X
 from fernweave.functions.net import bucket
 from fernweave.operators import aggregate, fingerprint, report, sampling
-from fernweave.operators.joins import anti
+from fernweave.operators.joins import anti, with_clusters
 from fernweave.plans.registry import query, read
 from fernweave.sources import http_log as L
 
@@ -253,6 +253,18 @@ def attack_results(spark, sf_dir):
     return stamped(xai_rows(spark, sf_dir).where((F.col("ai_label") != "normal") & day).select("ai_label", "lgtime", "src_ip", "dst_ip"), "lgtime")
 
 
+@query(
+    f"""WITH {LOG}, x AS (SELECT *, regexp_extract(http_agent, 'Agent/([a-z]+)', 1) AS event_type FROM log)
+SELECT event_id, src_ip, dst_ip, http_path, CASE event_type WHEN 'error' THEN 'anomaly' WHEN 'view' THEN 'normal' ELSE event_type END AS esoinn_label FROM x WHERE event_type NOT IN ('error', 'view')"""
+)
+def cluster_labels_to_raw(spark, sf_dir):
+    """Raw rows that clustering gave a class, for a second model."""
+    log = L.http_log(spark, sf_dir)
+    kind = F.regexp_extract("http_agent", "Agent/([a-z]+)", 1)
+    found = log.select("event_id", "src_ip", "dst_ip", F.when(kind == "error", "anomaly").when(kind == "view", "normal").otherwise(kind).alias("ai_label"))
+    return with_clusters(log, found, ["event_id", "src_ip", "dst_ip"]).select("event_id", "src_ip", "dst_ip", "http_path", "esoinn_label")
+
+
 SEVERITY = [("click", 2.0), ("error", 9.0), ("view", 1.0), ("signup", 4.0)]
 
 

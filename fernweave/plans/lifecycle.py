@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fernweave.functions.net import bucket, networks
 from fernweave.functions.text import distinct_text
 from fernweave.operators import features, fingerprint, models, report, rules, sampling, soinn, vectorize
-from fernweave.operators.joins import filled_from, network_flags
+from fernweave.operators.joins import filled_from, network_flags, with_clusters
 from fernweave.plans.registry import query
 from fernweave.session import shared_dir
 from fernweave.sources import http_log, store
@@ -107,12 +107,31 @@ def fourier(config: Config) -> models.FourierFeatures:
     return models.FourierFeatures(len(config.keywords), config.fourier, 10.0)
 
 
+def network_settings(config: Config) -> soinn.Settings:
+    return soinn.Settings(weight=config.weight, patience=50)
+
+
+def store_network(config: Config, version: str, network: tuple[DataFrame, DataFrame], valid: DataFrame) -> None:
+    """A network's nodes and edges, and the rows that validated it."""
+    for table, rows in zip(("nodes", "edges", "valid"), (*network, valid), strict=True):
+        store.insert_version(rows, config.path(table), version)
+
+
+def transfer(spark: SparkSession, config: Config, version: str, before: str) -> None:
+    """The network of the version ``before`` trained on with this version's normal rows; half the normal rows that
+    validate it are new ones."""
+    rows = store.versioned(spark, config.path("prep_collect"), version).where(F.col("label") == rules.NORMAL)
+    old = store.versioned(spark, config.path("valid"), before, ["index", "vector", "label"])
+    valid, rest = sampling.refreshed(old, rows.select("index", black(config).alias("vector"), "label"), "index", "label", version)
+    trained = tuple(store.versioned(spark, config.path(t), before).drop("version") for t in ("nodes", "edges"))
+    store_network(config, version, soinn.fit(rest, "index", "vector", "label", config.signals, network_settings(config), trained=trained, valid=valid), valid)
+
+
 def train(spark: SparkSession, config: Config, version: str) -> None:
     """The clustering network, the classifier and a binary model for each class of attacks, all stored under the version."""
     rows = store.versioned(spark, config.path("prep_collect"), version).withColumn("vector", black(config))
-    nodes, edges = soinn.fit(rows, "index", "vector", "label", config.signals, soinn.Settings(weight=config.weight, patience=50))
-    store.insert_version(nodes, config.path("nodes"), version)
-    store.insert_version(edges, config.path("edges"), version)
+    held = rows.where(soinn.held_out("index")).select("index", "vector", "label")
+    store_network(config, version, soinn.fit(rows, "index", "vector", "label", config.signals, network_settings(config)), held)
     parts = sampling.split(models.with_features(rows, "vector", fourier(config)), "index", 0.95, version)
     train_, test = parts.where("part = 'train'"), parts.where("part = 'test'")
     multi = models.MultiClass().fit(train_, test, "label", config.iterations, config.restarts)
@@ -150,6 +169,25 @@ def predict(spark: SparkSession, config: Config, version: str, trained: str, sou
     return store.versioned(spark, config.path("result"), version)
 
 
+def second_training(log: DataFrame, blocked: list[DataFrame], attacks: DataFrame, classes: list[str], start: datetime, end: datetime, config: Config, version: str) -> DataFrame:
+    """What a second model trains on: normal fingerprints of one day and the attacks of the wanted classes as they
+    stand, stored as one version with an index."""
+    normal = fingerprint.normal_fingerprint(log, blocked, start, end, config.limit, config.interval).drop("slot")
+    rows = normal.unionByName(attacks.where(F.col("label").isin(classes)).select(*normal.columns))
+    keyed = rows.withColumn("key", F.struct("lgtime", "src_ip", "dst_ip", "label", "agnt_qry"))
+    store.insert_version(sampling.numbered(keyed, "key").drop("key"), config.path("second_collect"), version)
+    return store.versioned(log.sparkSession, config.path("second_collect"), version)
+
+
+def second_prediction(spark: SparkSession, config: Config, version: str, one_model: bool = False) -> DataFrame:
+    """What a second model predicts: a version's rows with the classes that the first run gave them, stored."""
+    keys = ["index", "lgtime", "src_ip", "dst_ip"]
+    found = store.versioned(spark, config.path("result"), version, [*keys, "ai_label"])
+    rows = with_clusters(store.versioned(spark, config.path("predict"), version).drop("version"), found, keys, one_model)
+    store.insert_version(rows, config.path("second_predict"), version)
+    return store.versioned(spark, config.path("second_predict"), version)
+
+
 def check_blocked(spark: SparkSession, config: Config, version: str, nets: DataFrame) -> DataFrame:
     """Detections of a version with flags of whether source and destination stand in the networks."""
     rows = store.versioned(spark, config.path("result"), version, ["index", "lgtime", "src_ip", "dst_ip", "ai_label"])

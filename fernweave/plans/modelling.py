@@ -461,14 +461,37 @@ def soinn_fit(spark, sf_dir):
 
 @query()
 def soinn_transfer(spark, sf_dir):
-    """Training that goes on from a trained network: its labels stay, newer nodes are normal."""
-    rows = _labelled(spark, sf_dir)
-    half = sampling.hash28(F.lit("transfer"), F.col("vec_id").cast("string")) % 2  # every row trains one of the two
-    first = soinn.fit(rows.where(half == 0), "vec_id", "embedding", "label", 800)
-    nodes, _ = soinn.fit(rows.where(half == 1), "vec_id", "embedding", "label", 800, trained=first)
+    """Training that goes on from a trained network: its labels stay, newer nodes are normal; half the normal
+    validation rows are new ones."""
+    before, new = _halves(spark, sf_dir)
+    first = soinn.fit(before, "vec_id", "embedding", "label", 800)
+    valid, rest = sampling.refreshed(before.where(soinn.held_out("vec_id")), new, "vec_id", "label", "transfer")
+    nodes, _ = soinn.fit(rest, "vec_id", "embedding", "label", 800, trained=first, valid=valid)
     return nodes.select("node_id", "label", "class", "wins")
 
 
+def _halves(spark, sf_dir):
+    """All embeddings in two halves by hash, for a first and a second training."""
+    rows = _labelled(spark, sf_dir)
+    half = sampling.hash28(F.lit("transfer"), F.col("vec_id").cast("string")) % 2
+    return rows.where(half == 0), rows.where(half == 1)
+
+
+@query(
+    """WITH e AS (SELECT vec_id, CASE WHEN label < 5 THEN 'normal' ELSE 'attack' END AS label, ('0x' || substr(md5('transfer:' || vec_id::VARCHAR), 1, 7))::BIGINT % 2 AS half FROM embeddings),
+old AS (SELECT vec_id, row_number() OVER (ORDER BY md5('v2:' || vec_id::VARCHAR), vec_id) AS i FROM e WHERE half = 0 AND label = 'normal'),
+fresh AS (SELECT vec_id, row_number() OVER (ORDER BY md5('v2:' || vec_id::VARCHAR), vec_id) AS i FROM e WHERE half = 1), n AS (SELECT count(*) // 2 AS n FROM old)
+SELECT vec_id, label, 'valid' AS part FROM e WHERE half = 0 AND label <> 'normal'
+UNION ALL SELECT vec_id, 'normal', 'valid' FROM old, n WHERE i <= n
+UNION ALL SELECT vec_id, 'normal', CASE WHEN i <= n THEN 'valid' ELSE 'train' END FROM fresh, n"""
+)
+def validation_refresh(spark, sf_dir):
+    """The rows that validate and train a network that goes on: attacks stay, normal rows are half renewed."""
+    valid, rest = sampling.refreshed(*_halves(spark, sf_dir), "vec_id", "label", "v2")
+    both = valid.withColumn("part", F.lit("valid")).unionByName(rest.withColumn("part", F.lit("train")))
+    return both.select("vec_id", "label", "part")
+
+
 @query()
 def rff_svm(spark, sf_dir):
     rows = models.with_features(_labelled(spark, sf_dir), "embedding", models.FourierFeatures(64, 64, 10.0))

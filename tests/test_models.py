@@ -2,6 +2,7 @@
 
 import json
 from collections import Counter
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fernweave.operators import models, rules, soinn
 from fernweave.plans import lifecycle, modelling
-from fernweave.sources import store
+from fernweave.sources import http_log, store
 
 
 def embeddings():
@@ -247,6 +248,31 @@ def test_run_equals_plain_steps(spark):
             beyond = any(sq(v, nodes[i][0]) > limits[i] for i in near)
             label = "anomaly" if beyond and all(nodes[i][1] != "normal" for i in near) else "normal"
         assert got[r["index"]] == label, r
+    again = lifecycle.second_prediction(spark, config, lifecycle.VERSION, one_model=True).collect()
+    assert {r["index"]: r["esoinn_label"] for r in again} == {k: v for k, v in got.items() if v != "anomaly"}
+    log, day = http_log.http_log(spark, DATA), lifecycle.TRAIN_END - timedelta(days=1)
+    attacks = lifecycle._attacks(log)
+    found = lifecycle.second_training(log, [], attacks, ["SQL_Injection"], day, lifecycle.TRAIN_END, config, lifecycle.VERSION).collect()
+    assert sorted(r["index"] for r in found) == list(range(len(found)))
+    counts = Counter(r["label"] for r in found)
+    assert set(counts) == {"normal", "SQL_Injection"} and counts["SQL_Injection"] == attacks.where("label = 'SQL_Injection'").count()
+
+
+def test_network_of_a_version_goes_on_with_the_next(spark, tmp_path):
+    draw = np.random.Generator(np.random.PCG64(5))
+    config = lifecycle.Config(str(tmp_path), ["a", "b"], signals=600, iterations=5, restarts=1, fourier=8)
+    for version, far in (("v1", 4.0), ("v2", 8.0)):
+        rows = [(i, (draw.normal(size=2) + far * (i % 2)).tolist(), "normal" if far > 4 or i % 2 == 0 else "SQL_Injection") for i in range(400)]
+        store.insert_version(spark.createDataFrame(rows, "index long, score array<double>, label string"), config.path("prep_collect"), version)
+    lifecycle.train(spark, config, "v1")
+    lifecycle.transfer(spark, config, "v2", "v1")
+    read = lambda t, v: store.versioned(spark, config.path(t), v).collect()
+    old, new = (Counter(r["label"] for r in read("valid", v)) for v in ("v1", "v2"))
+    assert old["normal"] > 1 and new == {"normal": old["normal"] // 2 * 2, "SQL_Injection": old["SQL_Injection"]}
+    first, second = ({r["node_id"]: r["label"] for r in read("nodes", v)} for v in ("v1", "v2"))
+    assert set(second.values()) <= {"normal", "SQL_Injection"} and max(second) > max(first)
+    assert all(second[i] == first[i] for i in set(first) & set(second))
+    assert all(second[i] == "normal" for i in set(second) - set(first) if i > max(first))
 
 
 def test_flags_of_detections(spark):

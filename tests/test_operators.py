@@ -219,3 +219,28 @@ def test_schema_names_and_jdbc(spark):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
     assert store.same_schema(df, {"b": "int", "a": "string"}) and not store.same_schema(df, {"b": "int", "a": "int"})
     assert store.ordered_columns(df, ["b"]).columns == ["b", "a"]
+
+
+def test_jdbc_reads_a_query(spark, tmp_path):
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    spark.range(5).write.format("jdbc").options(url=url, driver=driver, dbtable="T").save()
+    got = store.read_jdbc(spark, url, 'SELECT "id" FROM T WHERE "id" > 2', driver=driver)
+    assert sorted(r[0] for r in got.collect()) == [3, 4]
+
+
+def test_networks_of_a_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("network\n10.0.0.7/30\n192.168.1.1\nnone\n")
+    nets = net.network_ranges(store.read_csv(spark, str(tmp_path / "*.csv"), "network string"))
+    assert sorted((r["low"], r["high"]) for r in nets.collect()) == [(167772164, 167772167), (3232235777, 3232235777)]
+
+
+def test_refreshed_validation(spark):
+    valid = spark.createDataFrame([(i, "normal") for i in range(7)] + [(9, "attack"), (10, None)], "k int, label string")
+    new = spark.createDataFrame([(i, "x") for i in range(100, 105)], "k int, label string")
+    kept, rest = (sorted(map(tuple, p.collect()), key=repr) for p in sampling.refreshed(valid, new, "k", "label", "s"))
+    old = [r for r in kept if r[0] < 9]
+    assert len(old) == 3 and (9, "attack") in kept and (10, None) in kept and len(kept) == 8
+    assert {r[0] for r in kept + rest} - {r[0] for r in old} == {9, 10, *range(100, 105)} and len(rest) == 2
+    assert all(label == "normal" for k, label in kept + rest if k >= 100)
+    kept, rest = sampling.refreshed(valid, new.limit(0), "k", "label", "s")
+    assert kept.count() == 5 and rest.count() == 0
