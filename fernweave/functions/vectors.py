@@ -21,6 +21,14 @@ def total(a: Column | str) -> Column:
     return F.aggregate(column(a), F.lit(0.0), lambda s, x: s + x.cast("double"))
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """A double rounded as SQL does it: scaled as a double, halves away from zero, scaled back.
+
+    ``F.round`` takes the shortest decimal form instead, and so parts from it near halves.
+    """
+    return F.round(x * 10.0**digits) / 10.0**digits
+
+
 def argmax_label(scores: Column | str, labels: list[str]) -> Column:
     """The label of the largest score, the first of equals."""
     at = F.array_position(column(scores), F.array_max(column(scores)))

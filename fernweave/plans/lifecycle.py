@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fernweave.functions.net import bucket, networks
 from fernweave.functions.text import distinct_text
+from fernweave.functions.vectors import rounded
 from fernweave.operators import features, fingerprint, models, report, rules, sampling, soinn, vectorize
 from fernweave.operators.joins import filled_from, network_flags, with_clusters
 from fernweave.plans.registry import query
@@ -286,7 +287,7 @@ def prepared_columns(spark, sf_dir):
     for name, fit in zip(("scaler", "hot"), fit_columns(e, kinds), strict=True):
         store.save_model(spark, at, name, "v1", fit.state())
     fits = features.Scaler.of(store.load_model(spark, at, "scaler", "v1")), features.OneHot.of(store.load_model(spark, at, "hot", "v1"))
-    return prepare_columns(e, "event_id", kinds, fits).withColumn("vector", F.transform("vector", lambda x: F.round(x, 6)))
+    return prepare_columns(e, "event_id", kinds, fits).withColumn("vector", F.transform("vector", lambda x: rounded(x, 6)))
 
 
 @query(
