@@ -30,11 +30,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, decoded again for the digests of ``op1``."""
-    return bpe.digests(docs, ["doc_id", "lang", "source", "n_chars"], ids=True)
+    return bpe.digests(docs, ["doc_id", "lang", "source", "n_chars"], ids=True, part=CACHES)
 
 
 #: Percent of a link, bands and rows of ``near_dedup``: a pair at 0.8 is missed with a probability below 1e-6.
 NEAR = (80, 35, 5)
+#: Part of the encoder's caches that ``encode`` takes: its executors' JVMs have grown in the stages before.
+CACHES = 0.5
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]
 

@@ -54,10 +54,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Encodes bytes by the ranks of a byte-level BPE vocabulary, which holds all 256 single bytes."""
+    """Encodes bytes by the ranks of a byte-level BPE vocabulary, which holds all 256 single bytes.
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    ``part`` of the bounds is what its tables may hold.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], part: float = 1.0):
+        self.ranks, self.part = ranks, part
         self.bytes_of = {r: t for t, r in ranks.items()}
         size = max(ranks.values()) + 1
         self.length = [0] * size
@@ -105,7 +108,7 @@ class Transducer:
     def _state(self, open_: tuple[int, ...]) -> int:
         at = self.states.get(open_)
         if at is None:
-            if len(self.open) >= MAX_STATES or len(self.delta) >= MAX_STEPS:
+            if len(self.open) >= MAX_STATES * self.part or len(self.delta) >= MAX_STEPS * self.part:
                 self._clear()  # whatever is being encoded goes on from the new state
             at = self.states[open_] = len(self.open)
             self.open.append(open_)
@@ -166,7 +169,7 @@ class Transducer:
                 else:
                     fits = pairs.get(key := last << SHIFT | token)
                     if fits is None:
-                        if len(pairs) >= MAX_PAIRS:
+                        if len(pairs) >= MAX_PAIRS * self.part:
                             pairs.clear()
                         fits = pairs[key] = self.fits(last, token)
                     if fits:
@@ -312,12 +315,12 @@ STEPS = Utf8Stream.machine()
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary and split pattern, with a worker's caches."""
+    """Encoder and decoder of one vocabulary and split pattern, with a worker's caches, ``part`` of their bounds."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, part: float = 1.0):
         self.find = regex.compile(pattern).findall
-        self.transducer = Transducer(ranks)
-        self.pieces = Remembered(lambda p: array("i", self.transducer.encode(p.encode())).tobytes(), MAX_PIECES)
+        self.transducer = Transducer(ranks, part)
+        self.pieces = Remembered(lambda p: array("i", self.transducer.encode(p.encode())).tobytes(), int(MAX_PIECES * part))
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
@@ -337,18 +340,20 @@ class Codec:
         return "".join(self.decode(ids[i : i + DECODE_TOKENS] for i in range(0, len(ids), DECODE_TOKENS)))
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, part: float = 1.0) -> Codec:
     """One codec a worker process; the file at ``path`` must be on every machine."""
-    return held(("bpe", path, pattern), lambda: Codec(read_ranks(path), pattern))
+    return held((f"bpe {part}", path, pattern), lambda: Codec(read_ranks(path), pattern, part))
 
 
 IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
 DECODED = T.StructField("decoded", T.StringType())
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None, decode_too: bool = False) -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None, decode_too: bool = False, part: float = 1.0) -> DataFrame:
     """Append ``ids``, the tokens of each whole text; with ``decode_too`` also ``decoded``, the text read back from them.
 
+    ``part`` bounds the workers' caches: less of it is less memory and more time, with the same result.
+
     Null and empty texts have no ids and decode to the empty text. Special
     tokens are not looked for. Batches are bounded in bytes, so very long texts
     come alone; repeated rows are encoded alike; an empty table gives an empty
@@ -357,7 +362,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: lis
     """
 
     def run(texts: list[str | None]) -> list[pa.Array]:
-        own = codec(path, pattern)
+        own = codec(path, pattern, part)
         each = [own.encode(t) for t in texts]
         ids = np.frombuffer(b"".join(each), "<i4")
         ends = np.cumsum([0, *(len(e) // 4 for e in each)])
@@ -379,11 +384,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", keep: list[
     return mapped(df, [ids], run, T.StructType([DECODED]), keep)
 
 
-def digests(df: DataFrame, keep: list[str], ids: bool = False, text: str = "text") -> DataFrame:
+def digests(df: DataFrame, keep: list[str], ids: bool = False, text: str = "text", part: float = 1.0) -> DataFrame:
     """``keep`` with n_tokens and the digests of ids and decoded bytes; ``ids`` keeps the tokens too."""
     import public_tokenizers
 
-    out = encode(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, text, keep, decode_too=True)
+    out = encode(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, text, keep, decode_too=True, part=part)
     return out.select(
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),

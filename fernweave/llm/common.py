@@ -75,6 +75,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
 
 
+#: For writes to ``file://``: Hadoop's usual class writes a checksum file beside each file, and starts a ``chmod`` for both and
+#: for the attempt's folder; this one has no checksum files. Other file systems do not read these settings.
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def written(df: DataFrame, at: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -82,7 +87,7 @@ def written(df: DataFrame, at: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     at = at or shared_dir(spark)
-    df.write.mode("overwrite").parquet(at)
+    df.write.mode("overwrite").options(**PLAIN_FILES).parquet(at)
     _LEFT.setdefault(spark.sparkContext.applicationId, set()).add(at)
     return spark.read.schema(df.schema).parquet(at)
 

@@ -48,6 +48,16 @@ def test_tables_are_bounded_inside_a_pre_token(reference, monkeypatch):
     assert ids[:1000] == reference._core_bpe.encode_single_piece(piece[:8000])[:1000]
 
 
+def test_smaller_caches_give_the_same_ids(reference, monkeypatch):
+    for name, most in (("MAX_STATES", 3000), ("MAX_STEPS", 6000), ("MAX_PAIRS", 300), ("MAX_PIECES", 400)):
+        monkeypatch.setattr(bpe, name, most)
+    own, draw = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN, 0.5), random.Random(6)
+    text = " ".join("".join(draw.choice("aeinotrsé한") for _ in range(draw.randint(1, 12))) for _ in range(20_000))
+    assert list(memoryview(own.encode(text)).cast("i")) == reference.encode_ordinary(text)
+    assert len(own.pieces) <= 200 and len(own.pieces.old) <= 200
+    assert len(own.transducer.open) <= 1500 and len(own.transducer.delta) <= 3000 and len(own.transducer._pairs) <= 150
+
+
 def test_stream_joins_cut_characters():
     data = "aé한😀z".encode() + b"\xff\xc3(\xed\xa0\x80" + "é".encode()[:1]
     for step in (1, 2, 3, 5):

@@ -41,6 +41,12 @@ def test_left_tables_are_removed(spark, tmp_path):
     assert cleared(spark) >= 1 and not (tmp_path / "t").exists()
 
 
+def test_written_files_have_no_checksum_files(spark, tmp_path):
+    """Hadoop's usual class for local files starts ``chmod`` for each checksum file too; without these there are fewer."""
+    assert written(spark.range(100).repartition(5), f"file://{tmp_path}/t").count() == 100
+    assert len(list((tmp_path / "t").glob("*.parquet"))) == 5 and not list((tmp_path / "t").glob(".*.crc"))
+
+
 def test_a_cluster_needs_a_shared_folder():
     class Cluster:
         class conf:  # noqa: N801
