@@ -16,6 +16,7 @@ MODULES = [
     "license_scan",
     "mixing",
     "minhash_dedup",
+    "quality_classifier",
 ]
 
 

@@ -4,6 +4,8 @@ SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "pages": "page_id long, url string, html string",
     "embeddings": "vec_id long, embedding array<float>, label int",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
 }
 
 
