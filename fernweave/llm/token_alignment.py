@@ -25,14 +25,15 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import regex
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,8 +44,12 @@ from fernweave.llm.token_counts import ByteLevel
 SPACE = r"\t-\r \x85\xa0  -     　"
 #: Characters and distinct segments of a block (a document is never divided).
 BLOCK_CHARS, BLOCK_SEGMENTS = 24 << 20, 1 << 19
-#: Rows of an Arrow batch that hands out a dictionary, and segments tokenised at a time.
-ROWS = 1 << 15
+#: Rows of an Arrow batch that hands out a dictionary, and segments of a document that are composed at a time.
+ROWS, STEP = 1 << 15, 1 << 20
+#: Segments and pairs of ids, the most frequent ones, that are broadcast at most.
+HOT_SEGMENTS, HOT_PAIRS = 1 << 18, 1 << 17
+#: Settings of the tables in between: the files are small, and shuffles that made a table go when it is written.
+COMPRESSION, CLEANUP = "spark.sql.parquet.compression.codec", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Vocabularies:
@@ -79,17 +84,18 @@ class Vocabularies:
             raise ValueError("an entry holds U+0000, which keeps segments apart")
         #: What stands before a segment that does not begin with the space that the library adds.
         self.guard = self.b.encode("\0")
-        self.segments = regex.compile(self.pattern(merged)).findall
+        self.segments = re.compile(self.pattern(merged)).findall
 
     @staticmethod
     def pattern(entries: list[str]) -> str:
         """Runs of white space with what follows, up to the next run that no entry reaches over."""
         across: dict[str, set] = {}
         for entry in entries:
-            for before, space in regex.findall(f"([^{SPACE}])([{SPACE}])", entry, overlapped=True):
-                across.setdefault(space, set()).add(before)
-        joined = "|".join(f"(?<=[{''.join(map(regex.escape, sorted(c)))}])(?={regex.escape(s)})" for s, c in sorted(across.items()))
-        run = f"[{SPACE}]+[^{SPACE}]*+"
+            for before, space in pairwise(entry):
+                if re.match(f"[^{SPACE}][{SPACE}]", before + space):
+                    across.setdefault(space, set()).add(before)
+        joined = "|".join(f"(?<=[{''.join(map(re.escape, sorted(c)))}])(?={re.escape(s)})" for s, c in sorted(across.items()))
+        run = f"[{SPACE}]++[^{SPACE}]*+"
         return f"{run}(?:(?:{joined}){run})*" if joined else run
 
     def plain(self, text: str) -> bool:
@@ -118,6 +124,19 @@ class Vocabularies:
         return a, b, at_a, at_b, both, np.searchsorted(cuts, ends) + 1
 
 
+def stored(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """``df`` as a written table; the session's settings are as before afterwards."""
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k) for k in (COMPRESSION, CLEANUP)}
+    conf.set(COMPRESSION, "zstd")
+    conf.set(CLEANUP, "true")
+    try:
+        return scratch.written(df)
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+
+
 def vocabularies(a_path: str, b_path: str) -> Vocabularies:
     return held(("token_alignment", a_path, b_path), lambda: Vocabularies(a_path, b_path))
 
@@ -127,27 +146,35 @@ class Block:
 
     def __init__(self, number: int):
         self.number, self.chars, self.counts = number, 0, np.zeros(0, np.int64)
-        self.index: dict[str, int] = {}
+        self.index = Index()
 
     def full(self) -> bool:
         return self.chars >= BLOCK_CHARS or len(self.index) >= BLOCK_SEGMENTS
 
     def codes(self, segments: list[str]) -> np.ndarray:
-        index, put = self.index, self.index.setdefault
-        codes = np.array([put(s, len(index)) for s in segments], np.uint32)
-        if len(index) > len(self.counts):
-            self.counts = np.concatenate([self.counts, np.zeros(max(len(index), ROWS), np.int64)])
-        self.counts += np.bincount(codes, minlength=len(self.counts))
+        codes = np.fromiter(map(self.index.__getitem__, segments), np.uint32, len(segments))
+        if len(self.index) > len(self.counts):
+            self.counts = np.concatenate([self.counts, np.zeros(max(len(self.index), ROWS), np.int64)])
+        n = np.bincount(codes)
+        self.counts[: len(n)] += n
         return codes
 
 
+class Index(dict):
+    """Numbers in the order of first look-up."""
+
+    def __missing__(self, segment: str) -> int:
+        n = self[segment] = len(self)
+        return n
+
+
 def packed(codes: np.ndarray) -> bytes:
-    """Numbers as four planes of bytes, low ones first: the upper ones are nearly all zero and compress away."""
-    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Numbers as four compressed planes of bytes, low ones first: the upper ones are nearly all zero."""
+    return zstandard.compress(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 _ENTRY = [T.StructField("idx", T.IntegerType()), T.StructField("seg", T.StringType()), T.StructField("n", T.LongType())]
@@ -195,8 +222,8 @@ def indexed(df: DataFrame, a_path: str, b_path: str, text: str, keep: list[str])
 
 
 def aligned_segments(segments: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Both tokenisations of each distinct segment (``seg``, ``n``): numbers, groups as text, and linked pairs (A << 32 | B)."""
-    schema = "seg string, n long, n_a long, n_b long, n_groups long, groups string, pairs array<long>"
+    """Both tokenisations of each distinct segment (``seg``, ``n``): numbers of tokens, groups as text, and linked pairs (A << 32 | B)."""
+    schema = "seg string, n long, n_a int, n_b int, groups string, pairs array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabularies(a_path, b_path)
@@ -213,9 +240,9 @@ def aligned_segments(segments: DataFrame, a_path: str, b_path: str) -> DataFrame
             n_a, n_b = at_a[stops - 1] + 1, at_b[stops - 1] + 1
             texts = [";".join(parts[i:j]) for i, j in pairwise([0, *groups.tolist()])]
             pairs = pa.ListArray.from_arrays(pa.array([0, *stops.tolist()], pa.int32()), pa.array(a[at_a] << 32 | b[at_b], pa.int64()))
-            numbers = [pa.array(np.diff(x, prepend=0), pa.int64()) for x in (n_a, n_b, groups)]
+            numbers = [pa.array(np.diff(x, prepend=0), pa.int32()) for x in (n_a, n_b)]
             arrays = [batch.column("seg"), batch.column("n"), *numbers, pa.array(texts, pa.string()), pairs]
-            yield pa.RecordBatch.from_arrays(arrays, names=["seg", "n", "n_a", "n_b", "n_groups", "groups", "pairs"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["seg", "n", "n_a", "n_b", "groups", "pairs"])
         returned()
 
     return segments.mapInArrow(run, schema)
@@ -228,35 +255,73 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     return pairs.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("b")))
 
 
+def frequent(df: DataFrame, by: str, most: int) -> Column:
+    """A condition that at most ``most`` rows meet: ``by`` is at least a bound, taken from a histogram of its logarithm."""
+    step = F.floor(F.log2(by) * 8)
+    steps = sorted(df.groupBy(step.alias("step")).count().collect(), reverse=True)
+    total, bound = 0, None
+    for r in steps:
+        total += r["count"]
+        if total > most:
+            break
+        bound = r["step"]
+    return F.lit(False) if bound is None else step >= bound
+
+
+def sums(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``n_best`` and ``count_sum`` of each segment.
+
+    Links of the most frequent pairs, a bounded number of these, meet them in
+    place, which spares the shuffle the hot keys too; only links of others go by pair.
+    """
+    hot = frequent(pairs, "count", HOT_PAIRS)
+    links, told = found.select("seg", F.explode("pairs").alias("pair")), pairs.select("pair", "count", "best")
+    met = links.join(F.broadcast(told.where(hot)), "pair", "left")
+    rest = met.where("count is null").select("seg", "pair").join(told.where(~hot), "pair")
+    columns = ["seg", "count", "best"]
+    both = met.where("count is not null").select(columns).unionByName(rest.select(columns))
+    return both.groupBy("seg").agg(F.sum(F.col("best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
+
+
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+#: Columns of a segment's alignment.
+ALIGNMENT = ["n_a", "n_b", "n_best", "count_sum", "groups"]
+
+
+def table_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers (as ``NUMBERS``) and groups of segments' alignments, row by row."""
+    texts = np.empty(rows.num_rows, object)
+    texts[:] = rows.column("groups").to_pylist()
+    numbers = np.zeros((rows.num_rows, len(NUMBERS)), np.int64)
+    numbers[:, 2] = [t.count("|") for t in texts]
+    for i, c in ((0, "n_a"), (1, "n_b"), (4, "n_best"), (5, "count_sum")):
+        numbers[:, i] = rows.column(c).to_numpy()
+    numbers[:, 3] = numbers[:, 0] + numbers[:, 1] - numbers[:, 2]
+    return numbers, texts
 
 
-def composer(kept: list[str], digest: bool):
-    """A block's documents and dictionary as the documents' alignments."""
+def composer(kept: list[str], digest: bool, hot):
+    """A block's documents and dictionary as the documents' alignments; ``hot`` has those of the most frequent segments."""
 
     def compose(docs: pa.Table, entries: pa.Table) -> pa.Table:
-        at = entries.column("idx").to_numpy()
-        numbers = np.zeros((len(at), len(NUMBERS)), np.int64)
-        for i, c in enumerate(NUMBERS):
-            numbers[at, i] = entries.column(c).to_numpy()
-        texts = np.empty(len(at), object)
-        texts[at] = entries.column("groups").to_pylist()
-        sums, groups = np.zeros((docs.num_rows, len(NUMBERS)), np.int64), []
+        at, rank = entries.column("idx").to_numpy(), entries.column("rank").to_numpy()
+        numbers, texts = np.zeros((len(at), len(NUMBERS)), np.int64), np.empty(len(at), object)
+        numbers[at[rank >= 0]], texts[at[rank >= 0]] = (x[rank[rank >= 0]] for x in hot.value)
+        rest = entries.filter(pa.array(rank < 0))
+        numbers[at[rank < 0]], texts[at[rank < 0]] = table_of(rest)
+        totals, groups = np.zeros((docs.num_rows, len(NUMBERS)), np.int64), []
         for row, data in enumerate(docs.column("codes")):
             if not data.is_valid:
                 groups.append("")
                 continue
-            codes = unpacked(data.as_py())
-            for i in range(0, len(codes), 1 << 20):  # long documents in steps of bounded memory
-                sums[row] += numbers[codes[i : i + (1 << 20)]].sum(axis=0)
-            if digest:
-                sha = hashlib.sha256()
-                for i in range(0, len(codes), 1 << 20):
-                    sha.update((";" * (i > 0) + ";".join(texts[codes[i : i + (1 << 20)]].tolist())).encode())
-                groups.append(sha.hexdigest())
-            else:
-                groups.append(";".join(texts[codes].tolist()))
-        columns = [docs.column(c) for c in kept] + [pa.array(sums[:, i], pa.int64()) for i in range(len(NUMBERS))]
+            codes, sha = unpacked(data.as_py()), hashlib.sha256()
+            for i in range(0, len(codes), STEP):  # long documents in steps of bounded memory
+                part = codes[i : i + STEP]
+                totals[row] += numbers[part].sum(axis=0)
+                if digest:
+                    sha.update((";" * (i > 0) + ";".join(texts[part].tolist())).encode())
+            groups.append(sha.hexdigest() if digest else ";".join(texts[codes].tolist()))
+        columns = [docs.column(c) for c in kept] + [pa.array(totals[:, i], pa.int64()) for i in range(len(NUMBERS))]
         return pa.table([*columns, pa.array(groups, pa.string())], [*kept, *NUMBERS, "groups"])
 
     return compose
@@ -278,27 +343,30 @@ def aligned(df: DataFrame, a_path: str, b_path: str, text: str = "text", keep: l
     normaliser alters them), have no tokens: numbers are 0, ``groups`` is empty,
     and they count for no pair. Repeated rows all count and all come out. An
     empty table gives empty ones. Columns named as an added one give way. Very
-    long texts are blocks of their own. Both results read two written tables.
+    long texts are blocks of their own. Both results read written tables.
     """
     spark, names = df.sparkSession, {*NUMBERS, "groups"}
     bounded_batches(spark)
     keep = [c for c in (keep if keep is not None else [c for c in df.columns if c != text]) if c.lower() not in names]
     scratch = Scratch(spark)
-    rows = scratch.written(indexed(df, a_path, b_path, text, keep))
+    rows = stored(indexed(df, a_path, b_path, text, keep), scratch)
     entries = rows.where("seg is not null").select("block", "idx", "seg", "n")
-    found = scratch.written(aligned_segments(entries.groupBy("seg").agg(F.sum("n").alias("n")), a_path, b_path))
-    pairs = pair_counts(found)
-    sums = (
-        found.select("seg", F.explode("pairs").alias("pair"))
-        .join(pairs, "pair").groupBy("seg")
-        .agg(F.sum(F.col("best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
-    )
-    segments = found.select("seg", "n_a", "n_b", "n_groups", F.size("pairs").cast("long").alias("n_links"), "groups").join(sums, "seg")
-    dictionaries = entries.select("block", "idx", "seg").join(segments, "seg").drop("seg")
+    found = stored(aligned_segments(entries.groupBy("seg").agg(F.sum("n").alias("n")), a_path, b_path), scratch)
+    pairs = stored(pair_counts(found), scratch)
+    told = stored(found.select("seg", "n", "n_a", "n_b", "groups").join(sums(found, pairs), "seg"), scratch)
+    is_hot = frequent(told, "n", HOT_SEGMENTS)
+    hot = told.where(is_hot).select("seg", *ALIGNMENT).toArrow()
+    ranks = spark.createDataFrame(pa.table({"seg": hot.column("seg"), "rank": pa.array(range(hot.num_rows), pa.int32())}))
+    sent = spark.sparkContext.broadcast(table_of(hot))
+    met = entries.select("block", "idx", "seg").join(F.broadcast(ranks), "seg", "left")
+    rest = met.where("rank is null").select("block", "idx", "seg").join(told.where(~is_hot).select("seg", *ALIGNMENT), "seg")
+    dictionaries = met.where("rank is not null").select("block", "idx", "rank").unionByName(
+        rest.drop("seg").withColumn("rank", F.lit(-1)), allowMissingColumns=True
+    )
     kept = [f"keep_{i}" for i in range(len(keep))]
     docs = rows.where("seg is null").select(F.col("block").alias("home"), *kept, "codes")
     schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(c, T.LongType()) for c in NUMBERS] + [T.StructField("groups", T.StringType())])
-    out = docs.groupBy("home").cogroup(dictionaries.groupBy("block")).applyInArrow(composer(kept, digest), schema)
+    out = docs.groupBy("home").cogroup(dictionaries.groupBy("block")).applyInArrow(composer(kept, digest, sent), schema)
     return out.select(*[F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)], *NUMBERS, "groups"), pairs
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import public_tokenizers
@@ -94,6 +95,8 @@ ODD = [
 
 def test_whole_results_equal_brute_force(spark, libraries, odd_documents, monkeypatch):
     monkeypatch.setattr(L, "BLOCK_CHARS", 2000)  # several blocks a partition
+    monkeypatch.setattr(L, "HOT_SEGMENTS", 20)  # most segments and pairs are joined by a shuffle
+    monkeypatch.setattr(L, "HOT_PAIRS", 30)
     rows = [(r[0], r[1]) for r in odd_documents] + [(100 + i, t) for i, t in enumerate(ODD)] + [(100 + i, t) for i, t in enumerate(ODD[:5])]
     found, pairs = L.aligned(spark.createDataFrame(rows, "k long, text string"), A, B)
     assert found.columns == ["k", *L.NUMBERS, "groups"]
@@ -122,9 +125,7 @@ def test_query_equals_brute_force(spark, libraries):
 def test_splits_stand_only_where_no_entry_reaches():
     segments = L.vocabularies(A, B).segments
     assert segments(" a;\r\n b\r\n") == [" a;\r\n b", "\r\n"] and "".join(segments(" x\t\ty ")) == " x\t\ty "
-    import regex
-
-    split = regex.compile(L.Vocabularies.pattern([" a", "a b", ";\r"])).findall
+    split = re.compile(L.Vocabularies.pattern([" a", "a b", ";\r"])).findall
     assert split(" a b;\rc d") == [" a b;\rc", " d"]
 
 
