@@ -26,6 +26,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,7 +80,7 @@ def blocks(text: str) -> Iterator[str]:
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Places (ascending) and values of a whole text's features; none for null, empty and blank texts."""
+    """Places (ascending) and counts of a whole text's features; none for null, empty and blank texts."""
     look, last, found = held(("quality_classifier", "hashes"), Hashes).__getitem__, None, []
     for block in blocks(text or ""):
         tokens = TOKEN.findall(block)
@@ -97,10 +98,24 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         if len(found) > 8:
             found = [np.concatenate(found)]
     if not found:
-        return np.empty(0, np.int32), np.empty(0, np.float32)
+        return np.empty(0, np.int32), np.empty(0, np.int32)
     at, n = np.unique((np.concatenate(found) * _MIX >> np.uint64(64 - BITS)).astype(np.int32), return_counts=True)
-    value = np.sqrt(n)
-    return at, (value / np.linalg.norm(value)).astype(np.float32)
+    return at, n.astype(np.int32)
+
+
+def values(n: np.ndarray) -> np.ndarray:
+    """What features with these counts weigh."""
+    return np.sqrt(n) / np.sqrt(max(n.sum(), 1))
+
+
+def packed(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Places as differences, and counts, in few bytes."""
+    return zstandard.compress(np.concatenate([np.diff(at, prepend=np.int32(0)), n]).astype("<i4").tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    step, n = np.frombuffer(zstandard.decompress(data), "<i4").reshape(2, -1)
+    return np.cumsum(step, dtype=np.int32), n
 
 
 class Learner:
@@ -116,7 +131,7 @@ class Learner:
         return np.where(np.abs(z) <= L1, 0.0, w)
 
     def learn(self, at: np.ndarray, value: np.ndarray, label: int) -> None:
-        at, value = np.append(at, 1 << BITS), np.append(value.astype(float), 1.0)
+        at, value = np.append(at, 1 << BITS), np.append(value, 1.0)
         w = self.weights(at)
         g = (logistic(float(w @ value)) - label) * value
         n = self.n[at]
@@ -131,8 +146,9 @@ def one_round(sent):
     def learn(group: pa.Table) -> pa.Table:
         learner = Learner(*(sent.value or ()))
         group = group.sort_by([("h", "ascending"), ("key", "ascending")])
-        for y, at, value in zip(*(group.column(c).to_pylist() for c in ("label", "at", "value")), strict=True):
-            learner.learn(np.frombuffer(at, np.int32), np.frombuffer(value, np.float32), y)
+        for y, data in zip(group.column("label").to_pylist(), group.column("features"), strict=True):
+            at, n = unpacked(data.as_py())
+            learner.learn(at, values(n), y)
         at = np.flatnonzero(learner.n).astype(np.int32)
         out = [[group.column("shard")[0].as_py()], *([x.tobytes()] for x in (at, learner.z[at], learner.n[at]))]
         return pa.table(out, ["shard", "at", "z", "n"])
@@ -161,7 +177,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str, key: str, label
     return found.select("shard", "h", "key", "label", "text")
 
 
-_FEATURES = T.StructType([T.StructField("at", T.BinaryType()), T.StructField("value", T.BinaryType())])
+_FEATURES = T.StructType([T.StructField("features", T.BinaryType())])
+#: With this setting the files of a round's shuffle go when the round is over.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def mixed(sample: DataFrame, state: tuple | None) -> tuple | None:
+    """One round: the mean of the shards' states after their texts; None without a sample."""
+    sent = sample.sparkSession.sparkContext.broadcast(state)
+    found = sample.groupBy("shard").applyInArrow(one_round(sent), "shard long, at binary, z binary, n binary").collect()
+    sent.unpersist()
+    mean = Learner()
+    for r in sorted(found, key=lambda r: r["shard"]):
+        at = np.frombuffer(r["at"], np.int32)
+        mean.z[at] += np.frombuffer(r["z"]) / len(found)
+        mean.n[at] += np.frombuffer(r["n"]) / len(found)
+    return (mean.z, mean.n) if found else None
 
 
 def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", rows: int = TRAIN_ROWS) -> np.ndarray:
@@ -173,24 +204,20 @@ def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "
     scratch = Scratch(docs.sparkSession)
 
     def run(texts: list[str | None]) -> list[pa.Array]:
-        both = [features(t) for t in texts]
-        return [pa.array([x[i].tobytes() for x in both], pa.binary()) for i in (0, 1)]
+        return [pa.array([packed(*features(t)) for t in texts], pa.binary())]
 
     sample = training_rows(docs, labels, text, key, label, rows)
-    sample = scratch.written(mapped(sample, ["text"], run, _FEATURES, ["shard", "h", "key", "label"]))
-    sc, state = docs.sparkSession.sparkContext, None
-    for _ in range(ROUNDS):
-        sent = sc.broadcast(state)
-        found = sample.groupBy("shard").applyInArrow(one_round(sent), "shard long, at binary, z binary, n binary").collect()
-        sent.unpersist()
-        if not found:
-            break
-        mean = Learner()
-        for r in sorted(found, key=lambda r: r["shard"]):
-            at = np.frombuffer(r["at"], np.int32)
-            mean.z[at] += np.frombuffer(r["z"]) / len(found)
-            mean.n[at] += np.frombuffer(r["n"]) / len(found)
-        state = mean.z, mean.n
+    conf, state = docs.sparkSession.conf, None
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        sample = scratch.written(mapped(sample, ["text"], run, _FEATURES, ["shard", "h", "key", "label"]))
+        for _ in range(ROUNDS):
+            state = mixed(sample, state)
+            if state is None:
+                break
+    finally:
+        conf.set(CLEANUP, before)
     scratch.drop()
     return Learner(*(state or ())).weights()
 
@@ -208,7 +235,7 @@ def scored(df: DataFrame, weights: np.ndarray, text: str = "text", keep: list[st
     def run(texts: list[str | None]) -> list[pa.Array]:
         w = sent.value
         found = (features(t) for t in texts)
-        return [pa.array([logistic(float(w[at] @ value) + float(w[-1])) for at, value in found], pa.float64())]
+        return [pa.array([logistic(float(w[at] @ values(n)) + float(w[-1])) for at, n in found], pa.float64())]
 
     return mapped(df, [text], run, T.StructType([T.StructField("score", T.DoubleType())]), keep)
 

@@ -30,7 +30,9 @@ def plain_features(text):
 @pytest.mark.parametrize("block", [4, 1 << 20])
 def test_features_equal_plain_ones(text, block, monkeypatch):
     monkeypatch.setattr(Q, "BLOCK", block)
-    at, value = Q.features(text)
+    at, n = Q.features(text)
+    value, again = Q.values(n), Q.unpacked(Q.packed(at, n))
+    assert np.array_equal(again[0], at) and np.array_equal(again[1], n)
     expected = plain_features(text)
     assert list(at) == sorted(expected) and np.allclose(value, [expected[i] for i in at], atol=1e-6)
 
