@@ -17,6 +17,7 @@ MODULES = [
     "mixing",
     "minhash_dedup",
     "quality_classifier",
+    "conversation_repair",
     "token_alignment",
 ]
 
