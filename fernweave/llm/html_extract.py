@@ -8,7 +8,14 @@ classes, digits stripped) is the page's vote, as a 64-bit number: each element's
 is a hash of its parent's and its own step, however long the path is. Votes are
 summed per host in Spark, and the host's winning path says which containers each
 of its pages is extracted from; a page without such a container falls back to
-its own best.
+its own best. So does a page whose own best container has ``OWN`` times the
+score, unless the host rejects that one's path: pages also tell which other
+paths they hold (``CANDIDATES`` at most), and one that is on several pages but
+best on less than half of them is rejected.
+
+The text of a container is that of the article it belongs to: siblings of its
+kind (the same tag, and a common class or id or none at all) come with it, and
+so do headings before it and lead paragraphs right before it.
 
 All work on a page is linear in its length, however it is malformed: the scanner
 only goes forward, elements that are open are found by their tags, and scores
@@ -57,7 +64,7 @@ ENDS = {
 }
 #: Elements that hold no part of an article.
 ASIDE = set(
-    "nav header footer aside form script style head title noscript template iframe button select textarea input dialog menu "
+    "nav header footer aside script style head title noscript template iframe button select textarea input dialog menu "
     "svg canvas object audio video map datalist search xmp noembed noframes math".split()
 )
 #: Words of a class, id or role that mark what is no part of an article.
@@ -69,6 +76,14 @@ MARKS = set(
     "toc toolbar widget widgets".split()
 )
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Elements of running text, and words that stand beside a mark in the name of an aside.
+PROSE = set("p li dt dd td th blockquote pre figcaption caption".split())
+LAYOUT = set(
+    "area bar block body box btn button buttons container content form group icon icons inner item items label link links list "
+    "message module msg outer panel section text title top bottom left right wrap wrapper".split()
+)
+#: Elements in which a class is the part of speech of a program's text.
+CODE = {"pre", "code", "samp", "kbd"}
 #: Elements and words that mark an article, and the factor of their score.
 ARTICLE, ARTICLE_WORDS, FACTOR = {"article", "main"}, {"article", "articlebody", "main", "post", "entry", "story", "content"}, 1.25
 
@@ -90,13 +105,14 @@ LOOSE = re.compile(r"<[a-zA-Z][^<>]*(?:>|\Z)")
 QUOTE = re.compile(r"[>\"']")
 #: First and last parts of a name that only tells of what stands elsewhere, as ``has-sidebar`` or ``comments-open``.
 BEFORE, BEHIND = set("has no not with without".split()), {"open", "closed"}
-ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 PART = re.compile(r"[a-z]+")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 @dataclass
 class Page:
-    """Elements as (parent, tag, step, hash of the path, aside, article-like, mark) and text blocks as (element, text, characters in links)."""
+    """Elements as (parent, tag, step, hash of the path, aside, article-like, mark, kind) and text blocks as (element, text, characters in links)."""
 
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: [""])
@@ -106,36 +122,54 @@ class Page:
     article: list[bool] = field(default_factory=lambda: [False])
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
     marked: list[int] = field(default_factory=lambda: [0])
+    kind: list[frozenset] = field(default_factory=lambda: [frozenset()])
+    #: Inline elements whose own text does not count, wherever they stand.
+    cut: list[bool] = field(default_factory=lambda: [False])
 
 
-def marks(rest: str) -> tuple[str, set[str], set[str], bool]:
-    """Class names with digits stripped, the names of class, id, role and itemprop, their words, and whether it is hidden."""
-    classes, names, hidden = "", set(), False
+def marks(rest: str) -> tuple[str, set[str], set[str], bool, frozenset]:
+    """Class names with digits stripped, the names of class, id, role and itemprop, their words, whether it is hidden, and its kind.
+
+    The kind of an element is its classes and id with digits stripped.
+    """
+    classes, names, hidden, kind = "", set(), False, set()
     if rest and not rest.isspace():
         for name, value in ATTRIBUTE.findall(rest):
             value = unescape(value.strip("\"'")).lower()
             if name.lower() == "hidden":
-                hidden = value != "until-found"
+                hidden = hidden or value != "until-found"
+                continue
+            if name.lower() == "style":
+                hidden = hidden or bool(UNSEEN.search(value))
                 continue
             names.update(value.split())
-            if name.lower() == "class":
-                classes = ".".join(sorted({re.sub(r"\d+", "#", c) for c in value.split()}))
-    return classes, names, {w for n in names for w in PART.findall(n)}, hidden
+            if name.lower() in ("class", "id"):
+                own = {re.sub(r"\d+", "#", c) for c in value.split()}
+                kind |= own
+                if name.lower() == "class":
+                    classes = ".".join(sorted(own))
+    return classes, names, {w for n in names for w in PART.findall(n)}, hidden, frozenset(kind)
+
 
+def marked(names: set[str], prose: bool = False) -> tuple[set[str], bool]:
+    """Words of ``MARKS`` in the names but for modifiers, and whether one is a whole name.
 
-def marked(names: set[str]) -> tuple[set[str], bool]:
-    """Words of ``MARKS`` in the names but for modifiers, and whether one is a whole name."""
+    In the names of ``prose`` (paragraphs, cells, inline elements) every other
+    word must be one of ``LAYOUT``: ``share-price`` tells of what the text is about.
+    """
     found, whole = set(), False
     for parts in map(PART.findall, names):
         if parts and parts[0] not in BEFORE and parts[-1] not in BEHIND:
             own = MARKS.intersection(parts)
+            if prose and not LAYOUT.union(own).issuperset(parts):
+                continue
             found |= own
             whole |= bool(own) and len(parts) == 1
     return found, whole
 
 
 #: What marks say of an element: nothing, a part of a name, a part of a name beside an article's, a whole name.
-NONE, PARTLY, NAMED, WHOLLY = range(4)
+NONE, PARTLY, NAMED, WHOLLY, FORM = range(5)
 
 
 def settle(page: Page) -> None:
@@ -144,13 +178,15 @@ def settle(page: Page) -> None:
     A whole name holds but for what holds ``main``. A part of a name does not
     hold for ``main``, for an article that has an article's name too, for what
     holds ``main`` or the page's only article, or for what holds most of the
-    unlinked text and one article, or all text of articles. If marks leave no
-    text, only whole names count, then none.
+    unlinked text and one article, or all text of articles. A form is an aside
+    but where a page is wrapped in it: it holds ``main`` or an article, or most
+    of the page's unlinked text, most of that in paragraphs. If marks leave no
+    text, only whole names and forms count, then only forms.
     """
     if not any(page.marked):
         return
     n = len(page.tag)
-    mains, heads, size, own = [0] * n, [0] * n, [0] * n, [0] * n
+    mains, heads, size, own, prose = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n
     out = page.aside[:]
     for at in range(1, n):
         out[at] = out[at] or out[page.parent[at]] or page.marked[at] == WHOLLY
@@ -158,27 +194,35 @@ def settle(page: Page) -> None:
         if not out[at]:
             size[at] += max(0, len(text) - in_link)
             own[at] += size[at] > 0 and page.article[at]
+            if page.tag[at] in PROSE or page.tag[at] in HEADINGS:
+                prose[at] += max(0, len(text) - in_link)
     within = [False] * n
     for at in range(1, n):
         within[at] = within[page.parent[at]] or page.tag[page.parent[at]] == "article"
         mains[at] = int(page.tag[at] == "main" and not page.aside[at])
         heads[at] = int(page.tag[at] == "article" and not within[at] and not out[at])
     for at in range(n - 1, 0, -1):
-        for counts in (mains, heads, size, own):
+        for counts in (mains, heads, size, own, prose):
             counts[page.parent[at]] += counts[at]
     bare, page.aside = page.aside, page.aside[:]
     whole = bare[:]
     for at in range(1, n):
+        bare[at] = bare[at] or bare[page.parent[at]]
+        whole[at] = whole[at] or bare[at]
         mark = page.marked[at]
         if mark == WHOLLY:
             holds = mains[at] == 0
+        elif mark == FORM:
+            holds = not (mains[at] or heads[at] or (2 * size[at] > size[0] and 2 * prose[at] > size[at]))
+            if holds:
+                bare[at] = True
         elif mark:
             most = 2 * size[at] > size[0] and (heads[at] == 1 or own[at] == own[0])
             holds = not (mains[at] or (mark == NAMED and page.tag[at] == "article") or heads[at] == heads[0] == 1 or most)
         else:
             holds = False
         page.aside[at] = page.aside[at] or page.aside[page.parent[at]] or holds
-        whole[at] = whole[at] or whole[page.parent[at]] or (holds and mark == WHOLLY)
+        whole[at] = whole[at] or bare[at] or whole[page.parent[at]] or (holds and mark == WHOLLY)
     for fewer in (whole, bare):
         if all(page.aside[at] for at, _, _ in page.blocks):
             page.aside = fewer
@@ -304,7 +348,7 @@ def parse(html: str) -> Page:
 
     at = 0
     for start, end, closing, tag, rest in tokens(html):
-        if start > at:
+        if start > at and not page.cut[stack.ids[-1]]:
             piece = unescape(html[at:start])
             text.append(piece)
             if stack.links:
@@ -332,16 +376,18 @@ def parse(html: str) -> Page:
             stack.close_last(P, P_BOUNDS)
         if tag in ENDS:
             stack.close_last(*ENDS[tag])
-        classes, names, words, hidden = marks(rest)
+        classes, names, words, hidden, kind = marks(rest)
         up = stack.ids[-1]
         in_article = page.article[up]
         like = tag in ARTICLE or bool(words & ARTICLE_WORDS)
         aside = page.aside[up] or hidden or (tag in ASIDE and not (tag == "header" and in_article))
-        mark = NONE
-        if not aside and tag not in ("html", "body", *HEADINGS) and words & MARKS:
-            found, whole = marked(names)
+        mark, inline = NONE, tag not in BLOCK
+        if not aside and tag not in ("html", "body", *HEADINGS) and words & MARKS and not (inline and stack.last(CODE)):
+            found, whole = marked(names, inline or tag in PROSE)
             if found and not (in_article and found <= {"header", "byline"}):
                 mark = WHOLLY if whole else NAMED if names & ARTICLE_WORDS else PARTLY
+        if tag == "form" and not aside:
+            mark = FORM
         step = (f"{tag}.{classes}" if classes else tag) if tag in BLOCK else ""
         page.parent.append(up)
         page.tag.append(tag)
@@ -350,9 +396,12 @@ def parse(html: str) -> Page:
         page.aside.append(aside)
         page.marked.append(mark)
         page.article.append(in_article or like)
+        page.kind.append(kind)
+        # Text in an inline aside goes at once; that of block elements inside one by the element.
+        page.cut.append(inline and (page.cut[up] or bool(mark) or hidden or tag in ASIDE))
         if not rest.endswith("/") or tag not in ("svg", "path", "g", "circle", "rect", "use"):
             stack.push(len(page.tag) - 1)
-    if at < len(html):
+    if at < len(html) and not page.cut[stack.ids[-1]]:
         text.append(unescape(html[at:]))
     flush()
     settle(page)
@@ -404,6 +453,59 @@ def best(page: Page) -> int | None:
     return min(found, key=lambda at: (-found[at], at)) if found else None
 
 
+def families(page: Page) -> dict[int, list[int]]:
+    """Children of each element that has a container among them, for ``together``."""
+    out: dict[int, list[int]] = {}
+    for at in range(1, len(page.tag)):
+        out.setdefault(page.parent[at], []).append(at)
+    return out
+
+
+def akin(page: Page, one: int, two: int) -> bool:
+    """Whether two siblings are parts of one thing: the same tag (no articles), and a common class or id or none at all."""
+    kinds = page.kind[one], page.kind[two]
+    return page.tag[one] == page.tag[two] != "article" and bool(kinds[0] & kinds[1] or not (kinds[0] or kinds[1]))
+
+
+def together(page: Page, containers: set[int]) -> set[int]:
+    """The containers with what else belongs to their article.
+
+    Siblings of their kind, first headings before them or before what holds
+    them, and paragraphs that stand right before them with hardly any links.
+    """
+    told = scores(page)
+    children = families(page)
+    linked: dict[int, list[int]] = {}
+    for at, text, in_link in page.blocks:
+        linked.setdefault(at, []).append(2 * in_link < len(text))
+    out, seen = set(containers), set()
+    for top in sorted(containers):
+        if page.tag[top] in ("", "html", "body"):
+            continue
+        at = top
+        while at > 0 and at not in seen:
+            seen.add(at)
+            up = page.parent[at]
+            lead: list[int] = []
+            for other in children[up]:
+                if other == at:
+                    out.update(lead)
+                    lead = []
+                elif page.aside[other]:
+                    continue
+                elif at == top and akin(page, top, other) and told.get(other, 0) > 0:
+                    out.add(other)
+                    lead = []
+                elif other < at and page.tag[other] in HEADINGS and (at == top or page.tag[other] == "h1"):
+                    lead.append(other)
+                elif other < at and at == top and page.tag[other] == "p" and all(linked.get(other, [False])):
+                    lead.append(other)
+                elif told.get(other, 0) > 0:
+                    lead = [x for x in lead if page.tag[x] == "h1"]
+            at = up
+    return out
+
+
 def text_of(page: Page, containers: set[int]) -> str:
     """Blocks inside the containers that are no asides, in page order."""
     inside = [False] * len(page.tag)
@@ -412,65 +514,105 @@ def text_of(page: Page, containers: set[int]) -> str:
     return "\n\n".join(text for at, text, _ in page.blocks if inside[at] and not page.aside[at])
 
 
-def extract(html: str | None, path: int | None) -> str:
-    """The text of the containers with the hashed path, else of the page's best one; null html is empty."""
+#: A page's own best container stands against its host's if it has so many times the score and the host does not reject it.
+OWN = 2.0
+#: Container paths of a page that its host hears of, from this part of the best score on, and how many pages of 100 must hold one that is rejected.
+CANDIDATES, CANDIDATE_PART, REJECT_PERCENT = 8, 0.25, 1
+
+
+def extract(html: str | None, path: int | None, rejected: list[int] | None = None) -> str:
+    """The text of the containers with the hashed path, else of the page's best one; null html is empty.
+
+    The best one also stands where it has ``OWN`` times the score of the others and its path is not ``rejected``.
+    """
     if not html:
         return ""
     page = parse(html)
-    text = ""
+    top, text = best(page), ""
+    if top is None:
+        return ""
     if path is not None:
         own = {at for at in range(1, len(page.tag)) if page.path[at] == path and page.step[at] and not page.aside[at]}
-        text = text_of(page, own) if own else ""
-    if not text:
-        top = best(page)
-        text = text_of(page, {top}) if top is not None else ""
-    return text
+        told = scores(page)
+        reached = max((told.get(at, 0.0) for at in own), default=0.0)
+        if own and (told[top] <= OWN * reached or page.path[top] in (rejected or ())):
+            text = text_of(page, together(page, own))
+    return text or text_of(page, together(page, {top}))
+
+
+def votes(html: str | None) -> list[int]:
+    """Hashed paths of the page's container with the best score and of the next ones, each once; none without text or container."""
+    page = parse(html or "")
+    found, top = scores(page), best(page)
+    if not top:
+        return []
+    paths = {page.path[top]: None}
+    for at in sorted(found, key=lambda at: (-found[at], at)):
+        if found[at] < CANDIDATE_PART * found[top] or len(paths) == CANDIDATES:
+            break
+        if page.step[at]:
+            paths[page.path[at]] = None
+    return list(paths)
 
 
 def vote(html: str | None) -> int | None:
     """The hashed path of the page's best container; none without text or container."""
-    page = parse(html or "")
-    top = best(page)
-    return page.path[top] if top else None
+    return next(iter(votes(html)), None)
 
 
-#: Hosts whose winning paths (two 64-bit numbers each) are broadcast; more are joined by a shuffle.
+#: Winning and rejected paths of hosts that are broadcast; more are joined by a shuffle.
 BROADCAST_HOSTS = 1_000_000
 
-VOTE = T.StructType([T.StructField("path", T.LongType())])
+VOTE = T.StructType([T.StructField("paths", T.ArrayType(T.LongType()))])
 TEXT = T.StructType([T.StructField("text", T.StringType())])
 
 
 def winning_paths(df: DataFrame, url: str, html: str) -> DataFrame:
-    """host and path, both hashed: for each host, the path with the most votes of all its pages; ties go to the smaller hash."""
+    """host (hashed), path and rejected paths of each host.
+
+    The path is that with the most votes of all pages, ties go to the smaller
+    hash. Rejected are paths that at least two pages hold, and one in a hundred,
+    but for less than half of which they are the best; at most ``CANDIDATES``
+    times a hundred a host.
+    """
 
     def run(pages: list) -> Iterator[pa.Array]:
-        yield pa.array(map(vote, pages), pa.int64())
+        yield pa.array(map(votes, pages), pa.list_(pa.int64()))
 
     hosts = df.select(F.xxhash64(canonical_host(F.col(f"`{url}`"))).alias("host"), F.col(f"`{html}`").alias("html"))
-    counted = mapped(hosts, ["html"], run, VOTE, ["host"]).where("path is not null").groupBy("host", "path").agg(F.count("*").alias("votes"))
-    return counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"))
+    told = mapped(hosts, ["html"], run, VOTE, ["host"]).select("host", F.posexplode("paths").alias("place", "path"))
+    counted = told.groupBy("host", "path").agg(F.count_if(F.col("place") == 0).alias("votes"), F.count("*").alias("pages"))
+    of_host = counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"), F.sum("votes").alias("all"))
+    few = (F.col("pages") >= 2) & (F.col("pages") * 100 >= F.col("all") * REJECT_PERCENT) & (2 * F.col("votes") < F.col("pages"))
+    lost = counted.join(of_host.select("host", "all"), "host").where(few).groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("rejected"))
+    return of_host.join(lost, "host", "left").select("host", "path", F.coalesce("rejected", F.array().cast("array<long>")).alias("rejected"))
 
 
 def extract_text(df: DataFrame, url: str = "url", html: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """Append ``text``, the main text of each page's whole html, by the winning path of its host.
+    """Append ``text``, the main text of each page's whole html, by the paths of its host.
 
     Null and empty pages have an empty text; pages without a host vote and are
     extracted as one host. A page that repeats votes as often as it stands.
     Pages are never cut, and the work on one is linear in its length. An empty
-    table gives an empty one; a column named ``text`` gives way. Pages are not
-    shuffled while the hosts are few enough for a broadcast, which is checked.
+    table gives an empty one; columns named ``text`` give way, other names may
+    clash with none. Pages are not shuffled while the hosts' paths are few
+    enough for a broadcast, which is checked.
     """
-    winners = written(winning_paths(df, url, html).select(F.col("host").alias("__h"), F.col("path").alias("__path")))
-    host = F.xxhash64(canonical_host(F.col(f"`{url}`")))
-    side = F.broadcast(winners) if winners.count() <= BROADCAST_HOSTS else winners
-    joined = df.withColumn("__host", host).join(side, F.col("__host") == F.col("__h"), "left").drop("__h", "__host")
-    names = [c for c in (df.columns if keep is None else keep) if c != "text"]
+    found = winning_paths(df, url, html).select(F.col("host").alias("__h"), F.struct("path", "rejected").alias("__paths"))
+    winners = written(found)
+    size = winners.agg(F.sum(F.size("__paths.rejected") + 1)).first()[0] or 0
+    side = F.broadcast(winners) if size <= BROADCAST_HOSTS else winners
+    names = [c for c in (df.columns if keep is None else keep) if c.lower() != "text"]
+    kept = [F.col(f"`{c}`").alias(f"__keep{i}") for i, c in enumerate(names)]
+    pages = df.select(*kept, F.col(f"`{html}`").alias("__page"), F.xxhash64(canonical_host(F.col(f"`{url}`"))).alias("__host"))
+    joined = pages.join(side, F.col("__host") == F.col("__h"), "left")
 
     def run(pages: list, paths: list) -> list[pa.Array]:
-        return [pa.array([extract(h, p) for h, p in zip(pages, paths, strict=True)], pa.string())]
+        told = ((p or {}) for p in paths)
+        return [pa.array([extract(h, p.get("path"), p.get("rejected")) for h, p in zip(pages, told, strict=True)], pa.string())]
 
-    return mapped(joined, [html, "__path"], run, TEXT, names)
+    out = mapped(joined, ["__page", "__paths"], run, TEXT, [f"__keep{i}" for i in range(len(names))])
+    return out.select(*[F.col(f"__keep{i}").alias(c) for i, c in enumerate(names)], "text")
 
 
 def canonical_host(url: Column) -> Column:

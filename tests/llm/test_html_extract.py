@@ -216,3 +216,52 @@ def test_marks_do_not_leave_a_page_without_text():
     assert H.extract("<body><nav>Menu</nav><div class=search><p>All there is</p></div></body>", None) == "All there is"
     longer = "<p>" + "A reader says much. " * 20 + "</p>"
     assert H.extract(f"<article><p>Short article</p></article><div class=comment-list>{longer}</div>", None) == "Short article"
+
+
+LONG = "A paragraph of the article that goes on for a while, with commas, and ends. "
+#: Hand-written layouts: html of the body, blocks that must come out (the rest must not).
+LAYOUTS = {
+    "siblings that share a class": (f"<div class='part one'><p>{LONG * 3}</p></div><div class='part two'><p>{LONG}two</p></div><div class=related><p>{LONG}no</p></div>", [LONG * 3, LONG + "two"]),
+    "siblings without a class": (f"<div><p>{LONG * 2}</p></div><div><p>{LONG}b</p></div><div class=sidebar>{LONG}</div>", [LONG * 2, LONG + "b"]),
+    "headline beside the content": (f"<nav>Menu</nav><h1>The headline</h1><div class=content><p>{LONG}</p><p>{LONG}2</p></div><footer>f</footer>", ["The headline", LONG, LONG + "2"]),
+    "headline above what holds it": (f"<h1>The headline</h1><div class=row><div class=col><p>{LONG}</p><p>{LONG}2</p></div><div class=rail>{LONG}</div></div>", ["The headline", LONG, LONG + "2"]),
+    "lead beside the content": (f"<h1>Head</h1><p>A lead tells it all.</p><div class=content><p>{LONG}</p><p>{LONG}2</p></div>", ["Head", "A lead tells it all.", LONG, LONG + "2"]),
+    "links before the content": (f"<p><a href=x>Home</a> <a href=y>News</a></p><div class=content><p>{LONG * 2}</p></div>", [LONG * 2]),
+    "a page in a form": (f"<form id=aspnetForm><div id=top><a href=x>Home</a></div><div class=content><h1>Head</h1><p>{LONG}</p></div><input><select><option>x</select></form>", ["Head", LONG]),
+    "a search form and a sign-up": (f"<form><p>Search the site</p></form><div class=content><p>{LONG}</p><form><p>Sign up for our letters</p></form></div>", [LONG]),
+    "marks in names of prose": (f"<article><p>{LONG}</p><p class=share-price>The price rose to 10.</p><p class='ad-label'>Advert</p><p class=share>Share this</p></article>", [LONG, "The price rose to 10."]),
+    "inline asides": ("<article><p>One <span class=advert>BUY NOW</span>two <span hidden>unseen</span><button>Press</button>three <a class='share-link' href=x>Share</a>four.</p></article>", ["One two three four."]),
+    "inline asides in code": ("<article><p>Some words on this program here.</p><pre>x = 1 <span class=comment># one</span></pre></article>", ["Some words on this program here.", "x = 1 # one"]),
+    "styles that hide": (f"<article><p>{LONG}</p><p style='color:red; display: none'>Unseen</p><p>a <b style=visibility:hidden>no</b>b</p></article>", [LONG, "a b"]),
+    "comments of readers": (f"<article><p>{LONG}</p></article><div id=comments><h2>Comments</h2><div class=comment><p>{LONG * 5}</p></div></div>", [LONG]),
+    "boxes and bylines": (f"<div class=wrapper><div class='newsletter-box'>Letters</div><div class=post-body><p>{LONG}</p><div class=promo>{LONG}</div><p>{LONG}2</p></div></div>", [LONG, LONG + "2"]),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_hand_written_layouts(name):
+    body, expected = LAYOUTS[name]
+    page = f"<html><head><title>No</title></head><body>{body}</body></html>"
+    assert H.extract(page, None).split("\n\n") == [" ".join(t.split()) for t in expected]
+    assert H.extract(page, H.vote(page)).split("\n\n") == [" ".join(t.split()) for t in expected]
+
+
+def test_a_teaser_does_not_replace_a_page_s_own_article(spark, folder):
+    teaser = "<html><body><div class=teaser><p>Teaser only.</p></div>{}</body></html>"
+    article = f"<div class=story-text><p>{LONG * 10}</p></div>"
+    rows = [(i, "http://h/", teaser.format("")) for i in range(6)] + [(9, "http://h/long", teaser.format(article))]
+    out = {r["page_id"]: r["text"] for r in H.op4_html_extract(spark, folder(pages=rows)).collect()}
+    assert out[1] == "Teaser only." and out[9] == (LONG * 10).strip()
+
+
+def test_rejected_paths(spark, folder):
+    rows = [(i, "http://h/a", other("main")) for i in range(3)] + [(4, "http://h/b", "<div><p>alone</p></div>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = H.winning_paths(df, "url", "html").collect()
+    assert [(r["path"], r["rejected"]) for r in found] == [(hashed("/html/body/div.main"), sorted([hashed("/html/body"), hashed("/html"), hashed("/html/body/div.list")]))]
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([("http://h/", PAGE, 1, "x", "y", "z")], "url string, html string, `__host` int, `__h` string, TEXT string, `__paths` string")
+    out = H.extract_text(df)
+    assert out.columns == ["url", "html", "__host", "__h", "__paths", "text"] and out.first()["text"] == TEXT
