@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fernweave.session import shared_dir
+from fernweave.session import left, shared_dir
 
 #: How many times the limit each class is drawn.
 ATTACK_FACTORS = {"SQL_Injection": 1.5, "Cross_Site_Scripting": 1.2, "Path_Traversal": 1.2}
@@ -27,6 +27,7 @@ def numbered(df: DataFrame, key: str, name: str = "index") -> DataFrame:
     at = shared_dir(spark)
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.repartitionByRange(ranges, key).withColumn("__p", F.spark_partition_id()).write.parquet(at)
+    left(spark, at)
     dealt = spark.read.parquet(at)
     sizes = dealt.groupBy("__p").count()  # a row a range
     before = sizes.withColumn("__b", F.coalesce(F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fernweave.functions import net, vectors
 from fernweave.functions import text as X
 from fernweave.operators import aggregate, joins, report, rules, sampling
 from fernweave.plans.registry import query, read
-from fernweave.sources import store
+from fernweave.sources import bucketed, store
 
 NETWORKS = ["10.0.0.0/26", "10.0.0.16/28", "10.0.2.0/24", "192.168.1.1/32"]
 NETWORK_ROWS = "(VALUES {}) AS n(low, high)".format(", ".join(f"({lo}, {hi})" for lo, hi in [(167772160, 167772223), (167772176, 167772191), (167772672, 167772927), (3232235777, 3232235777)]))
@@ -109,11 +111,22 @@ JOIN (SELECT l_orderkey AS k1, l_linenumber AS k2, l_returnflag AS cat FROM line
 JOIN (SELECT l_orderkey AS k1, l_linenumber AS k2, l_linestatus AS str FROM lineitem WHERE l_tax > 0.02) s USING (k1, k2)"""
 )
 def join_three_frames(spark, sf_dir):
+    """Number, category and string features, stored as bucketed tables and joined from these without an exchange."""
+    return bucketed.joined(spark, three_tables(spark, sf_dir))
+
+
+def three_tables(spark, sf_dir) -> list[str]:
+    """The names of the three stored tables, new for each call."""
     li = read(spark, sf_dir, "lineitem").withColumnsRenamed({"l_orderkey": "k1", "l_linenumber": "k2"})
-    n = li.select("k1", "k2", F.col("l_quantity").alias("num"))
-    c = li.where("l_discount > 0.02").select("k1", "k2", F.col("l_returnflag").alias("cat"))
-    s = li.where("l_tax > 0.02").select("k1", "k2", F.col("l_linestatus").alias("str"))
-    return joins.inner(["k1", "k2"], n, c, s)
+    frames = {
+        "number": li.select("k1", "k2", F.col("l_quantity").alias("num")),
+        "category": li.where("l_discount > 0.02").select("k1", "k2", F.col("l_returnflag").alias("cat")),
+        "string": li.where("l_tax > 0.02").select("k1", "k2", F.col("l_linestatus").alias("str")),
+    }
+    run = uuid.uuid4().hex
+    for kind, frame in frames.items():
+        bucketed.save(frame, f"prep_{kind}_{run}", ["k1", "k2"])
+    return [f"prep_{kind}_{run}" for kind in frames]
 
 
 @query("SELECT doc_id, lang, coalesce(l.label, d.source) AS label FROM (SELECT doc_id, lang, source FROM documents) d LEFT JOIN (SELECT doc_id, 'q' || quality::VARCHAR AS label FROM labels) l USING (doc_id)")

@@ -41,6 +41,26 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/fernweave-{uuid.uuid4().hex}"
 
 
+#: Folders, and tables of the catalog that lie in them, that operators left, by application.
+_LEFT: dict[str, dict[str, str | None]] = {}
+
+
+def left(spark: SparkSession, at: str, table: str | None = None) -> None:
+    """Remember a folder that a result may still read."""
+    _LEFT.setdefault(spark.sparkContext.applicationId, {})[at] = table
+
+
+def cleared(spark: SparkSession) -> int:
+    """Remove what operators of this session left, once no result is read any more; how many folders."""
+    found = _LEFT.pop(spark.sparkContext.applicationId, {})
+    for at, table in found.items():
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(found)
+
+
 ROOT = Path(__file__).resolve().parent.parent
 #: Applications whose executors have the package.
 _SHIPPED: set[str] = set()
