@@ -15,8 +15,8 @@ from fernweave.sources.store import drop_table, same_schema, valid_name
 
 #: Settings of a table that a reader checks.
 KEYS, BUCKETS, EVEN = "fernweave.keys", "fernweave.buckets", "fernweave.even"
-#: Times a mean bucket's rows that one key may have, and rows that are never too many.
-HOT, FEW = 2, 100_000
+#: Rows of one key that are never too many.
+FEW = 100_000
 
 
 def buckets_of(spark: SparkSession) -> int:
@@ -66,7 +66,7 @@ def save(df: DataFrame, name: str, keys: list[str], buckets: int | None = None)
     dealt.write.format("parquet").option("path", at).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
     left(spark, at, name)
     sizes = spark.table(name).groupBy(*keys).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
-    even = (sizes["most"] or 0) <= max(FEW, HOT * (sizes["all"] or 0) / buckets)
+    even = (sizes["most"] or 0) <= max(FEW, (sizes["all"] or 0) / buckets)
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{KEYS}' = '{','.join(keys)}', '{BUCKETS}' = '{buckets}', '{EVEN}' = '{str(even).lower()}')")
     return True
 
