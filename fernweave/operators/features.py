@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fernweave.operators.aggregate import distinct_counts
-from fernweave.session import shared_dir
-from fernweave.sources.store import drop_table
+from fernweave.operators.selection import order_statistics
 
 #: Distinct values of a category column.
 CATEGORY = (2, 10)
@@ -40,48 +39,10 @@ def null_filled(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(FILLS[k])) for c, k in kinds.items()})
 
 
-def order_statistics(df: DataFrame, columns: list[str], shares: list[float]) -> dict[str, list[float]]:
-    """For each column the values at the given shares of its sorted numbers, exact, interpolated between neighbours.
-
-    Equal values are counted first; the distinct ones are dealt by range and
-    counted on from range to range, so that no task holds a column. A row for
-    each range and the wanted values come to the driver.
-    """
-    spark = df.sparkSession
-    every = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)])
-    counts = df.select(F.inline(every)).where("x IS NOT NULL").groupBy("c", "x").agg(F.count("*").alias("n"))
-    at = shared_dir(spark)
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts.repartitionByRange(ranges, "c", "x").withColumn("p", F.spark_partition_id()).write.parquet(at)
-    dealt = spark.read.parquet(at)
-    before: dict[tuple[int, int], int] = {}
-    sizes = dict.fromkeys(range(len(columns)), 0)
-    for r in sorted(dealt.groupBy("c", "p").agg(F.sum("n").alias("n")).collect(), key=lambda r: (r["c"], r["p"])):
-        before[r["c"], r["p"]] = sizes[r["c"]]
-        sizes[r["c"]] += r["n"]
-    places = {c: [s * (n - 1) for s in shares] for c, n in sizes.items() if n}
-    wanted = sorted({(c, int(q)) for c, own in places.items() for x in own for q in (math.floor(x), math.ceil(x))})
-    out: dict[str, list[float]] = {c: [None] * len(shares) for c in columns}
-    if not wanted:
-        return out
-    starts = spark.createDataFrame([(c, p, b) for (c, p), b in before.items()], "c int, p int, b long")
-    ranks = spark.createDataFrame(wanted, "c2 int, q long")
-    run = F.sum("n").over(Window.partitionBy("c", "p").orderBy("x"))
-    rows = dealt.join(F.broadcast(starts), ["c", "p"]).withColumn("z", F.col("b") + run).withColumn("a", F.col("z") - F.col("n"))
-    found = rows.join(F.broadcast(ranks), (F.col("c") == F.col("c2")) & (F.col("a") <= F.col("q")) & (F.col("q") < F.col("z"))).select("c", "q", "x").collect()
-    drop_table(spark, at)
-    value = {(r["c"], r["q"]): r["x"] for r in found}
-    for c, own in places.items():
-        for k, x in enumerate(own):
-            low, high = value[c, math.floor(x)], value[c, math.ceil(x)]
-            out[columns[c]][k] = low + (high - low) * (x - math.floor(x))
-    return out
-
-
 class Scaler:
     """``min_max``, ``standard``, ``max_abs``, ``robust``, ``quantile`` or ``power`` scaling of numeric columns.
 
-    ``fit`` takes one pass for all columns, ``robust`` and ``quantile`` a sort by ranges. A constant column scales to 0; null
+    ``fit`` takes one pass for all columns, ``robust`` and ``quantile`` a few histograms. A constant column scales to 0; null
     stays null. ``standard`` uses the population deviation, ``robust`` centres
     at the median, ``quantile`` is the share of fitted quantiles below,
     ``power`` the Yeo-Johnson transform of the best of a grid of exponents.

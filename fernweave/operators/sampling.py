@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fernweave.operators.selection import first_by_hash
 from fernweave.session import left, shared_dir
 
 #: How many times the limit each class is drawn.
@@ -62,12 +63,14 @@ def class_bootstrap(df: DataFrame, label: str, key: str, limit: int, seed: str,
 
 
 def split(df: DataFrame, key: str, ratio: float, seed: str) -> DataFrame:
-    """Add ``part``: the ``floor(n * ratio)`` rows first by hash are ``train``, the others ``test``; ties by key."""
+    """Add ``part``: the ``floor(n * ratio)`` rows first by hash are ``train``, the others ``test``; ties by key.
+
+    Nothing is sorted, shuffled or written: the bound is found by histograms.
+    Rows that repeat a key are in one part, so there the first may be fewer.
+    """
     hashed = df.withColumn("__h", F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))))
-    both = hashed.withColumn("__o", F.struct("__h", key))
-    ranked = numbered(both, "__o", "__i")
-    n = df.agg(F.floor(F.count("*") * ratio).cast("long").alias("n"))
-    return ranked.withColumn("part", F.when(F.col("__i") < n.scalar(), "train").otherwise("test")).drop("__h", "__o", "__i")
+    first = first_by_hash(hashed, "__h", key, share=ratio)
+    return hashed.withColumn("part", F.when(first, "train").otherwise("test")).drop("__h")
 
 
 def refreshed(valid: DataFrame, new: DataFrame, key: str, label: str, seed: str, normal: str = "normal") -> tuple[DataFrame, DataFrame]:
@@ -78,16 +81,16 @@ def refreshed(valid: DataFrame, new: DataFrame, key: str, label: str, seed: str,
     """
 
     def hashed(df: DataFrame) -> DataFrame:
-        order = F.struct(F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))), F.col(key))
-        return numbered(df.withColumn("__o", order), "__o", "__i").drop("__o")
+        return df.withColumn("__h", F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string"))))
 
     old = valid.where(F.col(label).eqNullSafe(normal))
     half = old.agg(F.floor(F.count("*") / 2).cast("long").alias("n")).first()["n"]
     own, fresh = hashed(old), hashed(new.withColumn(label, F.lit(normal)))
+    taken = first_by_hash(fresh, "__h", key, n=half)
     kept = valid.where(~F.col(label).eqNullSafe(normal))
-    for part in (own, fresh):
-        kept = kept.unionByName(part.where(F.col("__i") < half).drop("__i"))
-    return kept, fresh.where(F.col("__i") >= half).drop("__i")
+    for part in (own.where(first_by_hash(own, "__h", key, n=half)), fresh.where(taken)):
+        kept = kept.unionByName(part.drop("__h"))
+    return kept, fresh.where(~taken).drop("__h")
 
 
 def slices(df: DataFrame, index: str, tasks: int) -> DataFrame:
