@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import zlib
+from collections.abc import Callable, Iterable
+from itertools import count as numbers
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,9 +47,82 @@ def terms(vocabulary: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in vocabulary])
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` refers to it."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def constants(values: Iterable[str], kind: str) -> Column:
+    """An array literal of many values in few expressions: one text that is split and cast when the plan is optimised."""
+    return F.split(F.lit("\0".join(values)), "\0", -1).cast(f"array<{kind}>")
+
+
+class Places:
+    """The place of a word in a vocabulary, found in constant time: a perfect hash in two steps.
+
+    A word's checksum names a bucket; the bucket's displacement, chosen so that no
+    two words of the vocabulary meet, gives its slot. The slot holds one word,
+    which is compared. Both tables are literals, as large as the vocabulary.
+    """
+
+    def __init__(self, vocabulary: list[str]):
+        self.words = list(dict.fromkeys(vocabulary))
+        n = len(self.words)
+        prime = (k for k in numbers(max(2, n * 5 // 4 + 1)) if all(k % d for d in range(2, math.isqrt(k) + 1)))
+        self.buckets, self.size = max(1, n // 4), next(prime)
+        self.salt = next(s for s in (str(i) if i else "" for i in numbers()) if self.placed(s))
+
+    def placed(self, salt: str) -> bool:
+        """Whether each bucket finds a displacement with this salt; the largest buckets are placed first."""
+        self.moves, self.slots = [0] * self.buckets, [None] * self.size
+        own: list[list[tuple[int, int]]] = [[] for _ in range(self.buckets)]
+        for place, w in enumerate(self.words):
+            c = self.checksum(w, salt)
+            own[c % self.buckets].append((c, place))
+        for b in sorted(range(self.buckets), key=lambda b: -len(own[b])):
+            for move in range(self.size):
+                at = [self.slot(c, move) for c, _ in own[b]]
+                if len(set(at)) == len(at) and all(self.slots[i] is None for i in at):
+                    break
+            else:
+                return False
+            self.moves[b] = move
+            for i, (_, place) in zip(at, own[b], strict=True):
+                self.slots[i] = place
+        return True
+
+    @staticmethod
+    def checksum(word: str, salt: str) -> int:
+        return zlib.crc32((salt + word).encode())
+
+    def slot(self, c: int, move: int) -> int:
+        return (c // self.buckets + move * (1 + c % 65521)) % self.size
+
+    def of(self, word: Column) -> Column:
+        """The place (from 0) of a word, null for one outside the vocabulary."""
+        moves, places = constants(map(str, self.moves), "bigint"), constants((str(-1 if p is None else p) for p in self.slots), "int")
+        words = constants(("" if p is None else self.words[p] for p in self.slots), "string")
+        move = lambda c: F.get(moves, (c % self.buckets).cast("int"))
+        slot = lambda c: ((F.floor(c / self.buckets) + move(c) * (1 + c % 65521)) % self.size).cast("int")
+        at = F.crc32(F.concat(F.lit(self.salt), word).cast("binary"))
+        return bound(bound(at, slot), lambda i: F.when((F.get(words, i) == word) & (F.get(places, i) >= 0), F.get(places, i)))
+
+    def counts(self, words: Column) -> Column:
+        """How often each word of the vocabulary stands in an array, in one pass and one sort of the places found.
+
+        Every place is added once and all are sorted; a place's count is the
+        distance of its last one from that before, less the one added. Null if the array is.
+        """
+        every = F.sequence(F.lit(0), F.lit(len(self.words) - 1))
+        hits = F.filter(F.transform(words, self.of), lambda p: p.isNotNull())
+        last = lambda a: F.filter(F.transform(a, lambda x, i: F.when(F.get(a, i + 1).eqNullSafe(x), None).otherwise(i)), lambda i: i.isNotNull())
+        steps = lambda e: F.transform(e, lambda x, i: x - F.coalesce(F.get(e, i - 1), F.lit(-1)) - 1)
+        return F.when(words.isNotNull(), bound(bound(F.array_sort(F.concat(hits, every)), last), steps))
+
+
 def keyword_counts(df: DataFrame, keys: list[str], text: str, vocabulary: list[str]) -> DataFrame:
     """(keys, term, tf): how often each word of the vocabulary stands in a text; absent words have no row."""
-    found = df.select(*keys, F.explode(F.filter(tokens(text), lambda t: F.array_contains(terms(vocabulary), t))).alias("term"))
+    found = df.select(*keys, F.explode(F.filter(tokens(text), lambda t: t.isin(list(vocabulary)))).alias("term"))
     return found.groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
@@ -114,14 +190,20 @@ class KeywordTfidf:
         return vectors.select(*keys, F.inline(found).alias("term", "weight"))
 
     def arrays(self, df: DataFrame, text: str) -> DataFrame:
-        """Append ``feature`` (the vocabulary) and ``score`` (a weight for each word), within the row."""
-        count = lambda w: (F.size("__t") - F.size(F.array_remove("__t", w))).cast("double")
-        idf = F.array(*[F.lit(self.idf[w]) for w in self.vocabulary])
-        raw = F.zip_with(F.array(*[count(w) for w in self.vocabulary]), idf, lambda a, b: a * b)
-        out = df.withColumn("__t", F.filter(tokens(text), lambda t: F.array_contains(terms(self.vocabulary), t))).withColumn("__r", raw)
+        """Append ``feature`` (the vocabulary) and ``score`` (a weight for each word), within the row.
+
+        The work is linear in the tokens and the vocabulary together, not in their product.
+        """
+        places = Places(self.vocabulary)
+        idf = constants((repr(float(self.idf[w])) for w in places.words), "double")
+        out = df.withColumn("__r", F.zip_with(places.counts(tokens(text)), idf, lambda a, b: a.cast("double") * b))
         norm = F.sqrt(F.aggregate("__r", F.lit(0.0), lambda s, x: s + x * x))
         out = out.withColumn("__n", norm).withColumn("feature", terms(self.vocabulary))
-        return out.withColumn("score", F.transform("__r", lambda x: F.when(F.col("__n") > 0, x / F.col("__n")).otherwise(0.0))).drop("__t", "__r", "__n")
+        score = F.transform("__r", lambda x: F.when(F.col("__n") > 0, x / F.col("__n")).otherwise(0.0))
+        if len(places.words) < len(self.vocabulary):  # words that stand there twice have two places
+            at = F.array(*[F.lit(places.words.index(w)) for w in self.vocabulary])
+            score = bound(score, lambda own: F.transform(at, lambda i: F.get(own, i)))
+        return out.withColumn("score", score).drop("__r", "__n")
 
 
 def keyword_hits(df: DataFrame, text: str, label: str, vocabulary: list[str], class_words: dict[str, list[str]] = CLASS_WORDS) -> DataFrame:
