@@ -23,28 +23,19 @@ class FourierFeatures:
         self.w = draw.normal(size=(n, dim)) / scale
         self.b = draw.uniform(0, 2 * np.pi, n)
 
-    def column(self, vector: str) -> Column:
-        w = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in self.w])
-        rows = F.arrays_zip(w.alias("w"), F.array(*[F.lit(float(x)) for x in self.b]).alias("b"))
-        dot = lambda r: F.aggregate(F.zip_with(F.col(vector), r["w"], lambda a, c: a.cast("double") * c), F.lit(0.0), lambda s, x: s + x)
-        scale = float(np.sqrt(2 / len(self.b)))
-        return F.transform(rows, lambda r: F.cos(dot(r) + r["b"]) * scale)
-
-
-#: Weights up to which the features are one expression; more are a matrix product in Arrow batches.
-EXPRESSION_WEIGHTS = 8192
-
 
 def with_features(df: DataFrame, vector: str, fourier: FourierFeatures) -> DataFrame:
-    """Append ``features``, an ML vector."""
-    if fourier.w.size <= EXPRESSION_WEIGHTS:
-        return df.withColumn("features", array_to_vector(fourier.column(vector)))
+    """Append ``features``, an ML vector: a product in Arrow batches, whatever the number of weights.
+
+    Each row's sums are taken in one order, so they do not depend on the batch it comes in.
+    """
     w, b = fourier.w, fourier.b
 
     @F.pandas_udf("array<double>")
     def mapped(v: pd.Series) -> pd.Series:
         x = np.stack(v.to_numpy()).astype(np.float64) if len(v) else np.zeros((0, w.shape[1]))
-        return pd.Series(list(np.sqrt(2 / len(b)) * np.cos(x @ w.T + b)))
+        dot = np.einsum("ij,kj->ik", x, w, optimize=False)
+        return pd.Series(list(np.sqrt(2 / len(b)) * np.cos(dot + b)))
 
     return df.withColumn("features", array_to_vector(mapped(F.col(vector))))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fernweave.functions import text as X
 from fernweave.functions.net import bucket
+from fernweave.functions.vectors import rounded
 from fernweave.operators import aggregate, fingerprint, report, sampling
 from fernweave.operators.joins import anti, with_clusters
 from fernweave.plans.registry import query, read
@@ -204,7 +205,7 @@ round(avg(CASE WHEN http_retcode = '-' THEN 1.0 ELSE 0.0 END), 6) AS oth_st FROM
 )
 def scan_status_ratios(spark, sf_dir):
     out = aggregate.status_ratios(L.http_log(spark, sf_dir), [bucket("logtime").alias("lgtime"), "src_ip"], "http_retcode")
-    return stamped(out, "lgtime").withColumns({c: F.round(c, 6) for c in out.columns if c.endswith("_st")})
+    return stamped(out, "lgtime").withColumns({c: rounded(F.col(c), 6) for c in out.columns if c.endswith("_st")})
 
 
 # Explanations for the report: every source's first buckets, with terms that occur as substrings and some that do not.
@@ -283,4 +284,4 @@ def threat_score(spark, sf_dir):
     rows = L.http_log(spark, sf_dir).select("src_ip", label.alias("ai_label")).where("ai_label <> ''")
     severity = spark.createDataFrame(SEVERITY, "ai_label string, score double")
     out = report.threat_scores(rows, rows.where("ai_label = 'error'"), severity)
-    return out.withColumns({c: F.round(c, 6) for c in ("sum_score", "threat_score")})
+    return out.withColumns({c: rounded(F.col(c), 6) for c in ("sum_score", "threat_score")})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fernweave.functions.vectors import argmax_label
+from fernweave.functions.vectors import argmax_label, rounded
 from fernweave.operators import aggregate, features, joins, metrics, models, rules, sampling, soinn, vectorize
 from fernweave.plans.registry import query, read
 from fernweave.session import shared_dir
@@ -29,7 +29,7 @@ def keyword_tf(spark, sf_dir):
 @query(f"WITH {TF} SELECT doc_id, term, round(tf / sqrt(sum(tf * tf) OVER (PARTITION BY doc_id)), 6) AS weight FROM tf")
 def keyword_tfidf_stored(spark, sf_dir):
     model = vectorize.KeywordTfidf(ALL).fit(docs(spark, sf_dir), "text")
-    return model.rows(docs(spark, sf_dir), ["doc_id"], "text").withColumn("weight", F.round("weight", 6))
+    return model.rows(docs(spark, sf_dir), ["doc_id"], "text").withColumn("weight", rounded(F.col("weight"), 6))
 
 
 @query(
@@ -38,7 +38,7 @@ SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id))
 )
 def keyword_tfidf_true(spark, sf_dir):
     model = vectorize.KeywordTfidf(ALL, "true").fit(docs(spark, sf_dir), "text")
-    return model.rows(docs(spark, sf_dir), ["doc_id"], "text").withColumn("weight", F.round("weight", 6))
+    return model.rows(docs(spark, sf_dir), ["doc_id"], "text").withColumn("weight", rounded(F.col("weight"), 6))
 
 
 @query(
@@ -49,7 +49,7 @@ FROM documents CROSS JOIN (SELECT unnest({ALL}) AS term, unnest(range(1, {len(AL
 def keyword_arrays(spark, sf_dir):
     out = vectorize.KeywordTfidf(ALL).arrays(docs(spark, sf_dir), "text")
     black = F.aggregate(F.slice("score", 1, len(KEYWORDS)), F.lit(0.0), lambda s, x: s + x)
-    return out.select("doc_id", F.transform("score", lambda x: F.round(x, 6)).alias("score"), F.round(black, 5).alias("black_sum"))
+    return out.select("doc_id", F.transform("score", lambda x: rounded(x, 6)).alias("score"), rounded(black, 5).alias("black_sum"))
 
 
 HIT_WORDS = {"en": ["bot", "thing"], "de": ["die", "of"]}
@@ -90,7 +90,7 @@ r AS (SELECT item_id, term, tf * (ln((1 + (SELECT count(*) FROM benchmark)) / (1
 SELECT item_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY item_id)), 6) AS weight FROM r"""
 )
 def plain_tfidf(spark, sf_dir):
-    return vectorize.plain_tfidf(read(spark, sf_dir, "benchmark"), ["item_id"], "text", 2, ["the", "of"], 100).withColumn("weight", F.round("weight", 6))
+    return vectorize.plain_tfidf(read(spark, sf_dir, "benchmark"), ["item_id"], "text", 2, ["the", "of"], 100).withColumn("weight", rounded(F.col("weight"), 6))
 
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -99,7 +99,7 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def _scaled(spark, sf_dir, kind):
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *NUMBERS, F.lit(5.0).alias("five"))
     out = features.Scaler(kind, [*NUMBERS, "five"]).fit(li).transform(li)
-    return out.withColumns({c: F.round(c, 6) for c in [*NUMBERS, "five"]})
+    return out.withColumns({c: rounded(F.col(c), 6) for c in [*NUMBERS, "five"]})
 
 
 def _scale_sql(term):
@@ -133,7 +133,7 @@ def saved_scaler(spark, sf_dir):
     at = shared_dir(spark)
     store.save_model(spark, at, "numbers", "v1", features.Scaler("min_max", [*NUMBERS, "five"]).fit(li).state())
     out = features.Scaler.of(store.load_model(spark, at, "numbers", "v1")).transform(li)
-    return out.withColumns({c: F.round(c, 6) for c in [*NUMBERS, "five"]})
+    return out.withColumns({c: rounded(F.col(c), 6) for c in [*NUMBERS, "five"]})
 
 
 @query("SELECT l_orderkey, l_tax, l_quantity FROM lineitem")
@@ -239,7 +239,7 @@ RATES = ["l_discount", "l_tax", "l_linenumber"]
 
 @query("SELECT feature, round(rate, 6) AS rate FROM (SELECT unnest(['l_discount', 'l_tax', 'l_linenumber']) AS feature, unnest([avg(CASE WHEN l_discount = 0 THEN 0.0 ELSE 1.0 END), avg(CASE WHEN l_tax = 0 THEN 0.0 ELSE 1.0 END), avg(CASE WHEN l_linenumber = 0 THEN 0.0 ELSE 1.0 END)]) AS rate FROM lineitem)")
 def nonzero_rate(spark, sf_dir):
-    return aggregate.nonzero_rates(read(spark, sf_dir, "lineitem"), RATES).withColumn("rate", F.round("rate", 6))
+    return aggregate.nonzero_rates(read(spark, sf_dir, "lineitem"), RATES).withColumn("rate", rounded(F.col("rate"), 6))
 
 
 @query(
@@ -249,7 +249,7 @@ SELECT feature, round(max(rate), 6) AS rate FROM r GROUP BY feature ORDER BY max
 )
 def most_wanted(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem").withColumn("label", F.when(F.col("l_returnflag") == "N", "normal").otherwise(F.col("l_returnflag")))
-    return aggregate.most_wanted(li, RATES, "label", 2).withColumn("rate", F.round("rate", 6))
+    return aggregate.most_wanted(li, RATES, "label", 2).withColumn("rate", rounded(F.col("rate"), 6))
 
 
 def _labels(spark, sf_dir):
@@ -279,7 +279,7 @@ round(sum(CASE WHEN prec + recall > 0 THEN 2 * prec * recall / (prec + recall) E
 )
 def weighted_prf(spark, sf_dir):
     out = metrics.weighted(_labels(spark, sf_dir), "truth", "guess")
-    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+    return out.select(*[rounded(F.col(c), 6).alias(c) for c in out.columns])
 
 
 @query("SELECT event_id, CASE WHEN event_type <> 'normal' AND event_type <> 'view' THEN 'attack' ELSE 'normal' END AS two, CASE WHEN event_type IN ('click', 'error') THEN 'normal' ELSE event_type END AS some FROM events")
@@ -345,7 +345,7 @@ def _network(spark, sf_dir):
     """A node for each label and parity of the key: the mean of its embeddings to 4 places; every row counts."""
     node = (F.col("label") * WAYS + F.col("vec_id") % WAYS).cast("long").alias("node_id")
     long = read(spark, sf_dir, "embeddings").select(node, "label", F.posexplode("embedding").alias("pos", "x"))
-    means = long.groupBy("node_id", "label", "pos").agg(F.round(F.avg(F.col("x").cast("decimal(30,15)")).cast("double"), 4).alias("x"))
+    means = long.groupBy("node_id", "label", "pos").agg(rounded(F.avg(F.col("x").cast("decimal(30,15)")).cast("double"), 4).alias("x"))
     vectors = means.groupBy("node_id", "label").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v"))
     nodes = vectors.select(
         "node_id",
@@ -380,12 +380,12 @@ def _signals(spark, sf_dir):
 
 @query(f"WITH {NET} SELECT vec_id, rank::INTEGER AS rank, node_id, round(d2, 6) AS d2 FROM knn")
 def knn2(spark, sf_dir):
-    return joins.nearest(_signals(spark, sf_dir), _network(spark, sf_dir)[0], 2, "vec_id", "x").withColumn("d2", F.round("d2", 6))
+    return joins.nearest(_signals(spark, sf_dir), _network(spark, sf_dir)[0], 2, "vec_id", "x").withColumn("d2", rounded(F.col("d2"), 6))
 
 
 @query(f"WITH {NET} SELECT node_id, round(threshold, 6) AS threshold FROM th")
 def node_threshold(spark, sf_dir):
-    return soinn.thresholds(*_network(spark, sf_dir)).withColumn("threshold", F.round("threshold", 6))
+    return soinn.thresholds(*_network(spark, sf_dir)).withColumn("threshold", rounded(F.col("threshold"), 6))
 
 
 @query(
@@ -424,7 +424,7 @@ def soinn_noise_nodes(spark, sf_dir):
 SELECT class, round(a, 6) AS mean_density, m AS max_density, CASE WHEN m > 3 * a THEN 1.0 WHEN m > 2 * a THEN 0.5 ELSE 0.0 END AS alpha FROM c"""
 )
 def class_density(spark, sf_dir):
-    return soinn.class_density(_network(spark, sf_dir)[0]).withColumn("mean_density", F.round("mean_density", 6))
+    return soinn.class_density(_network(spark, sf_dir)[0]).withColumn("mean_density", rounded(F.col("mean_density"), 6))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fernweave.functions import net, vectors
 from fernweave.functions import text as X
+from fernweave.functions.vectors import rounded
 from fernweave.operators import aggregate, joins, report, rules, sampling
 from fernweave.plans.registry import query, read
 from fernweave.sources import bucketed, store
@@ -92,9 +93,9 @@ def scalar_array(spark, sf_dir):
         F.get(v, 0).alias("head"),
         (F.size(F.filter(v, lambda x: x > 2)) == 0).alias("no_large"),
         vectors.argmax_label(F.slice("embedding", 1, 4), ["l0", "l1", "l2", "l3"]).alias("argmax"),
-        F.round(vectors.squared_distance("embedding", zero), 6).alias("sum_sq"),
-        F.round(F.array_max(F.transform(v, lambda x: F.abs(x))), 6).alias("max_abs"),
-        F.round(F.sqrt(vectors.squared_distance("embedding", zero)), 6).alias("norm"),
+        rounded(vectors.squared_distance("embedding", zero), 6).alias("sum_sq"),
+        rounded(F.array_max(F.transform(v, lambda x: F.abs(x))), 6).alias("max_abs"),
+        rounded(F.sqrt(vectors.squared_distance("embedding", zero)), 6).alias("norm"),
     )
 
 
@@ -278,7 +279,7 @@ PAIR = "(SELECT vec_id, i - 1 AS pos, 'f' || (i - 1)::VARCHAR AS term, round(emb
 
 def _scored(spark, sf_dir):
     names = F.array(*[F.lit(f"f{i}") for i in range(64)])
-    return read(spark, sf_dir, "embeddings").select("vec_id", names.alias("feature"), F.transform("embedding", lambda x: F.round(x.cast("double"), 2) + 0.0).alias("score"))
+    return read(spark, sf_dir, "embeddings").select("vec_id", names.alias("feature"), F.transform("embedding", lambda x: rounded(x.cast("double"), 2) + 0.0).alias("score"))
 
 
 @query(f"SELECT vec_id, rank, term, score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, pos)::INTEGER AS rank FROM {PAIR}) WHERE rank <= 3")
@@ -296,7 +297,7 @@ def mean_per_feature(spark, sf_dir):
     from pyspark.sql import Window
 
     rows = _scored(spark, sf_dir).select(F.explode(vectors.pairs("feature", "score")).alias("p")).groupBy(F.col("p.term").alias("feature")).agg(F.avg("p.score").alias("m"))
-    return rows.select("feature", F.round("m", 6).alias("diff"), F.row_number().over(Window.orderBy(F.desc("m"), F.desc("feature"))).alias("rank"))
+    return rows.select("feature", rounded(F.col("m"), 6).alias("diff"), F.row_number().over(Window.orderBy(F.desc("m"), F.desc("feature"))).alias("rank"))
 
 
 @query(

@@ -34,12 +34,16 @@ def scores(truth, guess):
     return sum(t == g for t, g in zip(truth, guess, strict=True)) / len(truth), f1
 
 
-@pytest.mark.parametrize("bound", [0, 10**9])
-def test_fourier_features(spark, monkeypatch, bound):
-    monkeypatch.setattr(models, "EXPRESSION_WEIGHTS", bound)
-    f = models.FourierFeatures(64, 8, 10.0)
-    rows = models.with_features(modelling._labelled(spark, DATA), "embedding", f).orderBy("vec_id").collect()
-    assert np.allclose([r["features"].toArray() for r in rows], fourier(embeddings()[1], f))
+@pytest.mark.parametrize("n", [8, 300])
+def test_fourier_features(spark, n):
+    """Features are the plain ones, bit for bit the same in batches of any size."""
+    f, key, found = models.FourierFeatures(64, n, 10.0), "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    for rows in ("3", "10000"):
+        spark.conf.set(key, rows)
+        found.append([r["features"].toArray().tolist() for r in models.with_features(modelling._labelled(spark, DATA), "embedding", f).orderBy("vec_id").collect()])
+    spark.conf.set(key, before)
+    assert found[0] == found[1] and np.allclose(found[0], fourier(embeddings()[1], f))
 
 
 def test_margins_are_the_library_s(spark):
