@@ -114,10 +114,10 @@ class Places:
         distance of its last one from that before, less the one added. Null if the array is.
         """
         every = F.sequence(F.lit(0), F.lit(len(self.words) - 1))
-        hits = F.filter(F.transform(words, self.of), lambda p: p.isNotNull())
+        hits = F.transform(F.filter(words, lambda w: w.isin(self.words)), self.of)  # a hash set keeps other words from the places
         last = lambda a: F.filter(F.transform(a, lambda x, i: F.when(F.get(a, i + 1).eqNullSafe(x), None).otherwise(i)), lambda i: i.isNotNull())
         steps = lambda e: F.transform(e, lambda x, i: x - F.coalesce(F.get(e, i - 1), F.lit(-1)) - 1)
-        return F.when(words.isNotNull(), bound(bound(F.array_sort(F.concat(hits, every)), last), steps))
+        return F.when(words.isNotNull(), bound(bound(F.sort_array(F.concat(hits, every)), last), steps))
 
 
 def keyword_counts(df: DataFrame, keys: list[str], text: str, vocabulary: list[str]) -> DataFrame:
