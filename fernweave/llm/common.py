@@ -88,14 +88,19 @@ def written(df: DataFrame, at: str | None = None) -> DataFrame:
     spark = df.sparkSession
     at = at or shared_dir(spark)
     df.write.mode("overwrite").options(**PLAIN_FILES).parquet(at)
-    _LEFT.setdefault(spark.sparkContext.applicationId, set()).add(at)
+    left(spark, at)
     return spark.read.schema(df.schema).parquet(at)
 
 
-#: Tables that ``written`` left, by application.
+#: Folders that operators left, by application.
 _LEFT: dict[str, set[str]] = {}
 
 
+def left(spark: SparkSession, at: str) -> None:
+    """Remember a folder that a result may still read, for ``cleared``."""
+    _LEFT.setdefault(spark.sparkContext.applicationId, set()).add(at)
+
+
 def cleared(spark: SparkSession) -> int:
     """Remove all tables that operators of this session left, once no result is read any more; how many."""
     left = _LEFT.pop(spark.sparkContext.applicationId, set())

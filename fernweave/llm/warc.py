@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fernweave.llm.common import Scratch, bounded_batches, shared_dir, table, written
+from fernweave.llm.common import Scratch, bounded_batches, left, shared_dir, table, written
 
 #: The skippable frame that holds the dictionary, and the magic of a data frame (fixed by the formats).
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -353,7 +353,10 @@ def archive_pages(df: DataFrame, key: str = "page_id", url: str = "url", html: s
         "digest",
         F.when(F.col("first") < F.col("key"), name("first")).alias("refers_to"),
     )
-    archives = write_archives(records, at or shared_dir(spark))
+    if at is None:
+        at = shared_dir(spark)
+        left(spark, at)
+    archives = write_archives(records, at)
     scratch.drop()
     return archives
 

@@ -133,3 +133,19 @@ def test_archives_of_others():
 def test_rows_that_repeat_a_key(spark, folder):
     at = folder(pages=[(1, "u", PAGE), (1, "u", PAGE), (2, "u", PAGE), (2, "u", PAGE)])
     assert of_spark(warc.op2_warc(spark, at)) == of_sql(warc.ORACLE, at)
+
+
+def test_archives_are_removed_when_cleared(spark, tmp_path):
+    """What the operator wrote under a name of its own goes; a folder that was asked for stays."""
+    from pathlib import Path
+
+    from fernweave.llm.common import cleared
+
+    df = spark.createDataFrame([(1, "http://h/", PAGE)], "page_id long, url string, html string")
+    cleared(spark)
+    listed = [r["path"] for r in warc.archive_pages(df).select("path").collect()]
+    at = [Path(p.removeprefix("file:")) for p in listed]
+    assert at and all(p.exists() for p in at)
+    kept = warc.archive_pages(df, at=f"file://{tmp_path}/kept")
+    assert kept.count() and cleared(spark) >= 2
+    assert not any(p.exists() for p in at) and list((tmp_path / "kept").iterdir())
