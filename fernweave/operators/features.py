@@ -134,9 +134,18 @@ class OneHot:
     def __init__(self, columns: list[str]):
         self.columns, self.categories = columns, {}
 
+    #: Categories of a column at most; a column with more is none of categories, and an error.
+    MOST = 1000
+
     def fit(self, df: DataFrame) -> OneHot:
-        row = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c) for c in self.columns]).first()
-        self.categories = {c: list(row[c]) for c in self.columns}
+        """Distinct values are told apart before they are counted, and come to the driver only if they are few."""
+        every = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("string").alias("v")) for i, c in enumerate(self.columns)])
+        rows = df.select(F.inline(every)).where("v IS NOT NULL").distinct()
+        found = rows.limit(self.MOST * len(self.columns) + 1).collect()
+        self.categories = {c: sorted(r["v"] for r in found if r["c"] == i) for i, c in enumerate(self.columns)}
+        many = [c for c, own in self.categories.items() if len(own) > self.MOST]
+        if many or len(found) > self.MOST * len(self.columns):
+            raise ValueError(f"more than {self.MOST} categories in {many or self.columns}")
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

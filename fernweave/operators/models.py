@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fernweave.functions.vectors import argmax_label
 from fernweave.operators.aggregate import most_frequent_pair
 from fernweave.operators.metrics import weighted
+from fernweave.session import left, shared_dir
 
 
 class FourierFeatures:
@@ -92,10 +93,19 @@ class MultiClass:
 
     #: The stopping target and the most restarts.
     TARGET, RESTARTS = 0.925, 30
+    #: Labels at most.
+    LABELS = 1000
 
     def fit(self, train: DataFrame, valid: DataFrame, label: str, iterations: int = 5, restarts: int | None = None) -> MultiClass:
-        self.labels = [r[0] for r in train.select(label).distinct().orderBy(label).collect()]
-        rows = self._indexed(train, label).cache()
+        found = train.select(label).distinct().limit(self.LABELS + 1).collect()
+        if len(found) > self.LABELS:
+            raise ValueError(f"more than {self.LABELS} labels")
+        self.labels = sorted((r[0] for r in found), key=lambda x: (x is not None, x))
+        # Written once: features of a lost executor are read again, not computed again for each of the fits.
+        at = shared_dir(train.sparkSession)
+        self._indexed(train, label).select("y", "features").write.parquet(at)
+        left(train.sparkSession, at)
+        rows = train.sparkSession.read.parquet(at)
         best = -1.0
         for k in range(restarts or self.RESTARTS):
             model = OneVsRest(classifier=LinearSVC(maxIter=iterations + 5 * k), featuresCol="features", labelCol="y", predictionCol="p").fit(rows)
@@ -104,7 +114,6 @@ class MultiClass:
                 best, self.model = f1, model
             if f1 > self.TARGET:
                 break
-        rows.unpersist()
         return self
 
     def _indexed(self, df: DataFrame, label: str) -> DataFrame:

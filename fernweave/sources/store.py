@@ -179,6 +179,38 @@ def read_csv(spark: SparkSession, path: str, schema: str, column: str | None = N
     return df.where(F.col(column).isin(wanted)) if column else df
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """A query's result from a database; the driver's jar must be on the class path."""
-    return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+#: Connections that one partitioned read opens at most.
+CONNECTIONS = 32
+
+
+def read_jdbc(spark: SparkSession, url: str, query: str, key: str | None = None, partitions: int | None = None, **options: str) -> DataFrame:
+    """A query's result from a database; the driver's jar must be on the class path.
+
+    With a numeric ``key`` the result is read in as many tasks as ``partitions``
+    says (by default a shuffle's, at most ``CONNECTIONS``): the database is asked
+    for the key's least and largest value, and each task for an equal range of
+    these; rows with a null key come with the first. Without one, or where the
+    key has a single value, one task reads all.
+    """
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if key is None:
+        return reader.option("query", query).load()
+    quoted = key if key[0] in '"`' else f'"{key}"'
+    low, high = reader.option("query", f"SELECT MIN({quoted}) AS low_key, MAX({quoted}) AS high_key FROM ({query}) bounds").load().first()
+    n = min(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), CONNECTIONS)
+    if low is None or low == high or n < 2:
+        return reader.option("query", query).load()
+    told = [f"{quoted} {c.format(quoted)}" for c in ranges(low, high, n)]
+    predicates = [f"({told[0]} OR {quoted} IS NULL)", *told[1:]]
+    return spark.read.jdbc(url, f"({query}) part", predicates=predicates, properties=options)
+
+
+def ranges(low, high, n: int) -> list[str]:
+    """Conditions of at most ``n`` disjoint ranges that cover all values from ``low`` to ``high``: equal parts, the last takes the remainder."""
+    whole = isinstance(low, int) and isinstance(high, int)
+    step = (high - low + 1) // n or 1 if whole else (high - low) / n
+    cuts = [low + i * step for i in range(1, n) if low + i * step <= high]
+    if not cuts:
+        return ["IS NOT NULL"]
+    between = [f">= {a} AND {{}} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"< {cuts[0]}", *between, f">= {cuts[-1]}"]

@@ -228,6 +228,42 @@ def test_jdbc_reads_a_query(spark, tmp_path):
     assert sorted(r[0] for r in got.collect()) == [3, 4]
 
 
+def test_jdbc_reads_by_ranges_of_a_key(spark, tmp_path, monkeypatch):
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = [(i * 7 - 50, f"r{i}") for i in range(40)] + [(None, "none"), (None, "none"), (-50, "again")]
+    spark.createDataFrame(rows, "k long, s string").write.format("jdbc").options(url=url, driver=driver, dbtable="T").save()
+    whole = sorted(rows, key=repr)
+    for n, parts in ((1, 1), (4, 4), (7, 7), (1000, 5)):
+        monkeypatch.setattr(store, "CONNECTIONS", 5 if n == 1000 else 32)
+        got = store.read_jdbc(spark, url, "SELECT * FROM T", "k", n, driver=driver)
+        assert got.rdd.getNumPartitions() == parts and sorted(map(tuple, got.collect()), key=repr) == whole
+    doubles = store.read_jdbc(spark, url, 'SELECT CAST("k" AS DOUBLE) / 3 AS "x", "s" FROM T', "x", 3, driver=driver)
+    assert doubles.rdd.getNumPartitions() == 3 and sorted(r["s"] for r in doubles.collect()) == sorted(s for _, s in rows)
+    one = store.read_jdbc(spark, url, 'SELECT * FROM T WHERE "k" = -50', "k", 4, driver=driver)
+    assert one.rdd.getNumPartitions() == 1 and one.count() == 2
+    assert store.read_jdbc(spark, url, 'SELECT * FROM T WHERE "k" > 10000', "k", 4, driver=driver).count() == 0
+
+
+@pytest.mark.parametrize("low, high, n", [(0, 9, 3), (-5, 5, 4), (1, 2, 8), (0, 1, 2), (3, 1000, 7)])
+def test_ranges_cover_each_value_once(low, high, n):
+    told = [c.format("x") for c in store.ranges(low, high, n)]
+    for x in range(low, high + 1):
+        assert sum(eval(f"x {c.replace('AND', 'and')}", {"x": x}) for c in told if "IS" not in c) == 1
+
+
+def test_many_categories_and_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(features.OneHot, "MOST", 3)
+    df = spark.createDataFrame([(str(i % 4), "a") for i in range(20)] + [(None, "b")], "c string, d string")
+    with pytest.raises(ValueError):
+        features.OneHot(["c", "d"]).fit(df)
+    assert features.OneHot(["d"]).fit(df).categories == {"d": ["a", "b"]}
+    from fernweave.operators import models
+
+    monkeypatch.setattr(models.MultiClass, "LABELS", 3)
+    with pytest.raises(ValueError):
+        models.MultiClass().fit(df, df, "c")
+
+
 def test_networks_of_a_csv(spark, tmp_path):
     (tmp_path / "a.csv").write_text("network\n10.0.0.7/30\n192.168.1.1\nnone\n")
     nets = net.network_ranges(store.read_csv(spark, str(tmp_path / "*.csv"), "network string"))
