@@ -348,12 +348,13 @@ def aligned(df: DataFrame, a_path: str, b_path: str, text: str = "text", keep: l
     spark, names = df.sparkSession, {*NUMBERS, "groups"}
     bounded_batches(spark)
     keep = [c for c in (keep if keep is not None else [c for c in df.columns if c != text]) if c.lower() not in names]
-    scratch = Scratch(spark)
+    scratch, own = Scratch(spark), Scratch(spark)
     rows = stored(indexed(df, a_path, b_path, text, keep), scratch)
     entries = rows.where("seg is not null").select("block", "idx", "seg", "n")
-    found = stored(aligned_segments(entries.groupBy("seg").agg(F.sum("n").alias("n")), a_path, b_path), scratch)
+    found = stored(aligned_segments(entries.groupBy("seg").agg(F.sum("n").alias("n")), a_path, b_path), own)
     pairs = stored(pair_counts(found), scratch)
     told = stored(found.select("seg", "n", "n_a", "n_b", "groups").join(sums(found, pairs), "seg"), scratch)
+    own.drop()  # links are summed up
     is_hot = frequent(told, "n", HOT_SEGMENTS)
     hot = told.where(is_hot).select("seg", *ALIGNMENT).toArrow()
     ranks = spark.createDataFrame(pa.table({"seg": hot.column("seg"), "rank": pa.array(range(hot.num_rows), pa.int32())}))
