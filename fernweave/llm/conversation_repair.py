@@ -402,5 +402,59 @@ def op12_conversation_repair(spark, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("repaired", "repaired_sha256")
 
 
+#: The same by shortest paths over (rows read, state), rows of one turn by role and text.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, coalesce('=' || conv_id::VARCHAR, '') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+           lambda acc, c: list_reduce(list_prepend(xor(acc, c), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, (a & 1) * 3988292384)))) % 20 AS h
+  FROM conversations
+), e AS (
+  SELECT k, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM d
+), n AS (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM e
+), f AS (
+  SELECT *, left(role, 1) AS initial, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last, row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 AS again,
+         lag(left(role, 1)) OVER (PARTITION BY k ORDER BY i) AS before
+  FROM n
+), r AS (
+  SELECT *, last = '' AS blank, last <> '' AND again AS duplicate, last <> '' AND NOT again AND last NOT IN ('.', '!', '?') AS truncated FROM f
+), counts AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (truncated) AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY k
+), inserts(p, q, ins, cost) AS (
+  VALUES (0, 0, '', 0), (1, 1, '', 0), (2, 2, '', 0), (3, 3, '', 0), (0, 2, 'I', 3), (1, 2, 'I', 3), (3, 2, 'I', 3), (2, 3, 'I', 3), (0, 3, 'II', 6), (1, 3, 'II', 6), (3, 3, 'II', 6), (2, 2, 'II', 6)
+), moves(q, initial, t, edit, cost) AS (
+  VALUES (0, 's', 1, 'K', 0), (0, 'u', 2, 'K', 0), (1, 'u', 2, 'K', 0), (3, 'u', 2, 'K', 0), (2, 'a', 3, 'K', 0), (0, NULL, 2, 'R', 3), (1, NULL, 2, 'R', 3), (3, NULL, 2, 'R', 3), (2, NULL, 3, 'R', 3),
+         (0, NULL, 0, 'D', 4), (1, NULL, 1, 'D', 4), (2, NULL, 2, 'D', 4), (3, NULL, 3, 'D', 4)
+), steps AS (
+  SELECT a.p, b.initial, b.t, a.ins || b.edit AS audit, b.edit, a.cost + b.cost AS cost FROM inserts a JOIN moves b USING (q)
+), walk(k, i, q, best) AS (
+  SELECT k, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': ''} FROM counts
+  UNION ALL
+  SELECT w.k, w.i + 1, s.t, min({'cost': (w.best.cost + s.cost + CASE WHEN r.truncated AND s.edit <> 'D' THEN 3 ELSE 0 END)::BIGINT, 'audit': w.best.audit || s.audit})
+  FROM walk w JOIN r ON r.k = w.k AND r.i = w.i + 1 JOIN steps s ON s.p = w.q AND (s.initial IS NULL OR s.initial = r.initial) AND (s.edit = 'D' OR NOT (r.blank OR r.duplicate))
+  GROUP BY w.k, w.i, s.t
+), done AS (
+  SELECT w.k, min({'cost': (w.best.cost + s.cost)::BIGINT, 'audit': w.best.audit || s.ins}) AS best
+  FROM walk w JOIN counts c ON c.k = w.k AND c.n = w.i JOIN inserts s ON s.p = w.q WHERE (w.q = 0 AND s.ins = '') OR s.q = 3 GROUP BY w.k
+), edits AS (
+  SELECT k, unnest(range(1, length(best.audit) + 1)) AS j, best.audit AS audit FROM done
+), placed AS (
+  SELECT k, j, audit[j] AS edit, j - length(replace(replace(replace(left(audit, j), 'K', ''), 'R', ''), 'D', '')) AS i FROM edits
+), said AS (
+  SELECT p.*, r.role, r.text, coalesce(sum(CASE WHEN edit IN ('R', 'I') OR (edit = 'K' AND r.initial <> 's') THEN 1 ELSE 0 END) OVER (PARTITION BY p.k ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
+  FROM placed p LEFT JOIN r ON r.k = p.k AND r.i = p.i AND p.edit <> 'I'
+), texts AS (
+  SELECT k, string_agg(CASE WHEN edit = 'K' THEN role WHEN so_far % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY j) AS text FROM said WHERE edit <> 'D' GROUP BY k
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, k FROM d) c LEFT JOIN counts USING (k) LEFT JOIN done USING (k) LEFT JOIN texts USING (k)
+"""
+
 QUERIES = {"op12_conversation_repair": op12_conversation_repair}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op12_conversation_repair": ORACLE}

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import pytest
+from compare import of_spark, of_sql
 
 from fernweave.llm import conversation_repair as R
 
@@ -150,6 +151,17 @@ def test_query_equals_brute_force(spark):
     assert sort(tuple(r) for r in got.collect()) == sort(plain(rows))
 
 
+@pytest.mark.parametrize("data", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_query_equals_sql(spark, data):
+    assert of_spark(R.op12_conversation_repair(spark, data)) == of_sql(R.ORACLE, data)
+
+
+def test_sql_on_odd_rows(spark, folder):
+    rows = [r for r in ODD if r[:2] != (5, 7)]  # rows of one turn stand by role and text there
+    at = folder(conversations=rows)
+    assert of_spark(R.op12_conversation_repair(spark, at)) == of_sql(R.ORACLE, at)
+
+
 def test_a_conversation_over_many_partitions(spark, monkeypatch):
     """One conversation with most rows is cut into pieces, over partitions and inside these."""
     monkeypatch.setattr(R, "PIECE", 16)
