@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernweave.llm.common import mapped, table, written
+from fernweave.llm.common import Scratch, mapped, table, written
 
 #: Elements without content (fixed by HTML).
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -567,21 +567,25 @@ VOTE = T.StructType([T.StructField("paths", T.ArrayType(T.LongType()))])
 TEXT = T.StructType([T.StructField("text", T.StringType())])
 
 
-def winning_paths(df: DataFrame, url: str, html: str) -> DataFrame:
-    """host (hashed), path and rejected paths of each host.
-
-    The path is that with the most votes of all pages, ties go to the smaller
-    hash. Rejected are paths that at least two pages hold, and one in a hundred,
-    but for less than half of which they are the best; at most ``CANDIDATES``
-    times a hundred a host.
-    """
+def path_counts(df: DataFrame, url: str, html: str) -> DataFrame:
+    """host and path, both hashed, with the ``votes`` for the path and the ``pages`` that hold it."""
 
     def run(pages: list) -> Iterator[pa.Array]:
         yield pa.array(map(votes, pages), pa.list_(pa.int64()))
 
     hosts = df.select(F.xxhash64(canonical_host(F.col(f"`{url}`"))).alias("host"), F.col(f"`{html}`").alias("html"))
     told = mapped(hosts, ["html"], run, VOTE, ["host"]).select("host", F.posexplode("paths").alias("place", "path"))
-    counted = told.groupBy("host", "path").agg(F.count_if(F.col("place") == 0).alias("votes"), F.count("*").alias("pages"))
+    return told.groupBy("host", "path").agg(F.count_if(F.col("place") == 0).alias("votes"), F.count("*").alias("pages"))
+
+
+def winning_paths(counted: DataFrame) -> DataFrame:
+    """host (hashed), path and rejected paths of each host, from the counts of its paths.
+
+    The path is that with the most votes of all pages, ties go to the smaller
+    hash. Rejected are paths that at least two pages hold, and one in a hundred,
+    but for less than half of which they are the best; at most ``CANDIDATES``
+    times a hundred a host.
+    """
     of_host = counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), "path")).alias("path"), F.sum("votes").alias("all"))
     few = (F.col("pages") >= 2) & (F.col("pages") * 100 >= F.col("all") * REJECT_PERCENT) & (2 * F.col("votes") < F.col("pages"))
     lost = counted.join(of_host.select("host", "all"), "host").where(few).groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("rejected"))
@@ -598,8 +602,10 @@ def extract_text(df: DataFrame, url: str = "url", html: str = "html", keep: list
     clash with none. Pages are not shuffled while the hosts' paths are few
     enough for a broadcast, which is checked.
     """
-    found = winning_paths(df, url, html).select(F.col("host").alias("__h"), F.struct("path", "rejected").alias("__paths"))
-    winners = written(found)
+    scratch = Scratch(df.sparkSession)
+    counted = scratch.written(path_counts(df, url, html))  # read twice
+    winners = written(winning_paths(counted).select(F.col("host").alias("__h"), F.struct("path", "rejected").alias("__paths")))
+    scratch.drop()
     size = winners.agg(F.sum(F.size("__paths.rejected") + 1)).first()[0] or 0
     side = F.broadcast(winners) if size <= BROADCAST_HOSTS else winners
     names = [c for c in (df.columns if keep is None else keep) if c.lower() != "text"]

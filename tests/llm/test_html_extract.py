@@ -257,7 +257,7 @@ def test_a_teaser_does_not_replace_a_page_s_own_article(spark, folder):
 def test_rejected_paths(spark, folder):
     rows = [(i, "http://h/a", other("main")) for i in range(3)] + [(4, "http://h/b", "<div><p>alone</p></div>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    found = H.winning_paths(df, "url", "html").collect()
+    found = H.winning_paths(H.path_counts(df, "url", "html")).collect()
     assert [(r["path"], r["rejected"]) for r in found] == [(hashed("/html/body/div.main"), sorted([hashed("/html/body"), hashed("/html"), hashed("/html/body/div.list")]))]
 
 
