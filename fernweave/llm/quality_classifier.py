@@ -12,9 +12,9 @@ bounded sample of the labelled texts: the ``TRAIN_ROWS`` labels that come first
 by a hash of their id, at any size of the tables. Each ``SHARD_ROWS`` of these
 labels in turn are a shard; each of ``ROUNDS`` jobs lets every shard go through
 its texts once, in the order of that hash, and starts the next from the mean of
-the shards' states, summed in their order. The state of a shard is two numbers a
-place, so what reaches the driver is bounded by the parameters. Reruns give the
-same weights.
+the shards' states, summed in their order by executors, one range of places a
+group. The mean is two numbers a place: that alone reaches the driver, whatever
+the number of shards. Reruns give the same weights.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ from fernweave.llm.common import Scratch, bounded_batches, held, mapped, table
 TRAIN_ROWS = 16_384
 #: Places of the features (as a power of two), labels of a shard and rounds of the training.
 BITS, SHARD_ROWS, ROUNDS = 18, 2048, 8
+#: Ranges of places whose means are taken apart (as a power of two).
+RANGE_BITS = 4
 #: Step size, its offset, and the weights of the absolute and squared penalties.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.1
 #: Words and symbols of a text.
@@ -141,7 +143,7 @@ class Learner:
 
 
 def one_round(sent):
-    """A shard's part of a round: from the state that was sent, once through its texts."""
+    """A shard's part of a round: from the state that was sent, once through its texts; one row a range of places, empty ones too."""
 
     def learn(group: pa.Table) -> pa.Table:
         learner = Learner(*(sent.value or ()))
@@ -150,12 +152,27 @@ def one_round(sent):
             at, n = unpacked(data.as_py())
             learner.learn(at, values(n), y)
         at = np.flatnonzero(learner.n).astype(np.int32)
-        out = [[group.column("shard")[0].as_py()], *([x.tobytes()] for x in (at, learner.z[at], learner.n[at]))]
-        return pa.table(out, ["shard", "at", "z", "n"])
+        parts = np.split(at, np.searchsorted(at, np.arange(1, 1 << RANGE_BITS) << BITS - RANGE_BITS))
+        shard = group.column("shard")[0].as_py()
+        out = [np.arange(len(parts), dtype=np.int32), [shard] * len(parts)]
+        out += [[x.tobytes() for x in own] for own in (parts, [learner.z[a] for a in parts], [learner.n[a] for a in parts])]
+        return pa.table(out, ["range", "shard", "at", "z", "n"])
 
     return learn
 
 
+def range_mean(group: pa.Table) -> pa.Table:
+    """The mean of the shards' states in a range of places, summed in the shards' order."""
+    size = len(group)
+    z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    for r in group.sort_by("shard").to_pylist():
+        at = np.frombuffer(r["at"], np.int32)
+        z[at] += np.frombuffer(r["z"]) / size
+        n[at] += np.frombuffer(r["n"]) / size
+    at = np.flatnonzero(n).astype(np.int32)
+    return pa.table([[x.tobytes()] for x in (at, z[at], n[at])], ["at", "z", "n"])
+
+
 def logistic(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -500, 500))))
 
@@ -185,13 +202,13 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def mixed(sample: DataFrame, state: tuple | None) -> tuple | None:
     """One round: the mean of the shards' states after their texts; None without a sample."""
     sent = sample.sparkSession.sparkContext.broadcast(state)
-    found = sample.groupBy("shard").applyInArrow(one_round(sent), "shard long, at binary, z binary, n binary").collect()
-    sent.unpersist()
+    states = sample.groupBy("shard").applyInArrow(one_round(sent), "range int, shard long, at binary, z binary, n binary")
+    found = states.groupBy("range").applyInArrow(range_mean, "at binary, z binary, n binary").collect()
+    sent.destroy()
     mean = Learner()
-    for r in sorted(found, key=lambda r: r["shard"]):
+    for r in found:
         at = np.frombuffer(r["at"], np.int32)
-        mean.z[at] += np.frombuffer(r["z"]) / len(found)
-        mean.n[at] += np.frombuffer(r["n"]) / len(found)
+        mean.z[at], mean.n[at] = np.frombuffer(r["z"]), np.frombuffer(r["n"])
     return (mean.z, mean.n) if found else None
 
 

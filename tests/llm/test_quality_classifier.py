@@ -111,3 +111,41 @@ def test_the_sample_is_bounded_and_one_row_an_id(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, quality int")
     rows = Q.training_rows(docs, labels, "text", "doc_id", "quality", 20).collect()
     assert len(rows) == len({r["key"] for r in rows}) == 20 and {r["shard"] for r in rows} == {0}
+
+
+def shards(spark, n):
+    """Features of ``n`` shards of 12 random texts."""
+    rng, rows = np.random.default_rng(n), []
+    for i in range(12 * n):
+        at = np.unique(rng.integers(0, 1 << Q.BITS, 400)).astype(np.int32)
+        rows.append((i // 12, i, i, i % 2, Q.packed(at, rng.integers(1, 5, len(at)).astype(np.int32))))
+    return rows, spark.createDataFrame(rows, "shard long, h long, key long, label int, features binary")
+
+
+def test_the_mean_of_shards_equals_a_plain_one(spark):
+    rows, sample = shards(spark, 5)
+    state = None
+    for _ in range(2):
+        own = [Q.Learner(*(state or ())) for _ in range(5)]
+        for shard, _, _, label, data in rows:
+            at, n = Q.unpacked(data)
+            own[shard].learn(at, Q.values(n), label)
+        mean = Q.Learner()
+        for one in own:
+            mean.z += np.where(one.n != 0, one.z, 0) / 5
+            mean.n += one.n / 5
+        state = Q.mixed(sample, state)
+        assert np.array_equal(state[0], mean.z) and np.array_equal(state[1], mean.n)
+    assert Q.mixed(sample.limit(0), None) is None
+
+
+def test_a_round_brings_one_state_to_the_driver(spark, monkeypatch):
+    """Not one a shard: what the driver gets is bounded by the places."""
+    _, sample = shards(spark, 40)
+    kind, got = type(sample), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: (lambda r: (got.append(r), r)[1])(collect(df)))
+    state = Q.mixed(sample, None)
+    used = np.count_nonzero(state[1])
+    (rows,) = got
+    assert used > 100_000 and sum(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray))) == 20 * used
