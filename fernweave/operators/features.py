@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from itertools import accumulate, groupby, pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fernweave.operators.aggregate import distinct_counts
-from fernweave.operators.selection import order_statistics
+from fernweave.operators.selection import doubles, order_statistics, place
 
 #: Distinct values of a category column.
 CATEGORY = (2, 10)
@@ -106,18 +107,37 @@ class Scaler:
             return ratio(c, float(v[0]))
         if self.kind == "robust":
             return ratio(c - v[1], float(v[2] - v[0]))
-        if self.kind == "quantile":
-            marks = F.array(*[F.lit(float(x)) for x in v[0]])
-            below, upto = F.size(F.filter(marks, lambda m: m < c)), F.size(F.filter(marks, lambda m: m <= c))
-            middle = (below + F.greatest(upto, below + 1) - 1) / 2 / self.QUANTILES
-            return F.when(c.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), middle)))
         if v[2] is None:
             return F.when(c.isNotNull(), F.lit(0.0))
         return (self.yeo_johnson(c, v[0]) - v[1]) / v[2]
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
+        if self.kind == "quantile":
+            return self._shares(df, suffix)
         return df.withColumns({f"{c}{suffix}": self.expression(c) for c in self.columns})
 
+    def _shares(self, df: DataFrame, suffix: str) -> DataFrame:
+        """The share of quantiles below each value, by its place among the distinct ones; the middle of those that equal it."""
+        order = lambda x: (math.isnan(x), 0.0 if math.isnan(x) else x)
+        share = lambda below, upto: min(1.0, max(0.0, (below + max(upto, below + 1) - 1) / 2 / self.QUANTILES))
+        places, values = {}, {}
+        for i, c in enumerate(self.columns):
+            own = self.fitted[c][0]
+            if own is None:
+                values[f"{c}{suffix}"] = F.when(F.col(c).isNotNull(), F.lit(0.0))
+                continue
+            runs = [[float(x) for x in g] for _, g in groupby(sorted(own, key=order), order)]
+            ends = [0, *accumulate(len(g) for g in runs)]
+            x, at = F.col(f"__x{i}"), F.col(f"__at{i}")
+            places[f"__at{i}"] = place(x, [g[0] for g in runs])
+            equal = F.get(doubles([g[0] for g in runs]), at - 1) == x
+            values[f"{c}{suffix}"] = F.when(
+                x.isNotNull(),
+                F.when(equal, F.get(doubles([share(a, b) for a, b in pairwise(ends)]), at - 1)).otherwise(F.get(doubles([share(n, n) for n in ends]), at)),
+            )
+        sides = {f"__x{i}": F.col(c).cast("double") for i, c in enumerate(self.columns)}
+        return df.withColumns(sides).withColumns(places).withColumns(values).drop(*sides, *places)
+
     def state(self) -> dict:
         return {"kind": self.kind, "columns": self.columns, "fitted": self.fitted}
 

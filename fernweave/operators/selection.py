@@ -18,16 +18,18 @@ from pyspark.sql import functions as F
 
 #: Bins of a histogram for each bin of the one before, and rows of a bin that are looked at value by value.
 BINS, FEW = 1024, 1024
+#: Bins of the first histogram for each power of two: columns of few values are mostly told apart by it.
+PARTS = 64
 #: Digits of a text histogram's step, as hexadecimal digits of a hash.
 DIGITS = 3
 
 
 def magnitude(x: Column) -> Column:
-    """The sign and binary exponent of a double, ascending with it; infinities and, last, NaN have their own."""
-    exponent = F.floor(F.log2(F.abs(x))).cast("double") + 1100.0
-    finite = F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * F.least(F.greatest(exponent, F.lit(1.0)), F.lit(2200.0)))
+    """The sign and binary logarithm of a double in steps of one in ``PARTS``, ascending with it; infinities and, last, NaN have their own."""
+    size = F.floor(F.log2(F.abs(x)) * PARTS).cast("double") + 1100.0 * PARTS
+    finite = F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * F.least(F.greatest(size, F.lit(1.0)), F.lit(2200.0 * PARTS)))
     infinite = F.abs(x) == F.lit(math.inf)
-    return F.when(F.isnan(x), F.lit(2400.0)).when(infinite, F.signum(x) * 2300.0).otherwise(finite)
+    return F.when(F.isnan(x), F.lit(2400.0 * PARTS)).when(infinite, F.signum(x) * 2300.0 * PARTS).otherwise(finite)
 
 
 def fine(x: Column) -> Column:
@@ -36,53 +38,59 @@ def fine(x: Column) -> Column:
     return F.when(F.col("few") | (width == 0), x).otherwise(F.floor((x - F.col("lo")) / width).cast("double"))
 
 
+def doubles(values: list) -> Column:
+    """A constant array of doubles, in one small expression."""
+    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>") if len(values) else F.array().cast("array<double>")
+
+
+def place(x: Column, marks: list[float]) -> Column:
+    """How many of the ascending marks are at most ``x``, by binary search; null counts none."""
+    steps, own = [1 << b for b in reversed(range(len(marks).bit_length()))], doubles(marks)
+    if not steps:
+        return F.lit(0)
+    return F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when(F.get(own, at + step - 1) <= x, at + step).otherwise(at))
+
+
 def order_statistics(df: DataFrame, columns: list[str], shares: list[float]) -> dict[str, list[float]]:
     """For each column the values at the given shares of its sorted numbers, exact, interpolated between neighbours.
 
     Nulls are left out; a column without a number gives None. All columns are
     counted in the same steps: first by magnitude, then by equal parts of a
-    bin's range from its least to its largest value. With ``p`` wanted places a
-    step brings at most ``p`` times the larger of ``BINS`` and ``FEW`` counters
-    to the driver. NaN is larger than all numbers.
+    bin's range from its least to its largest value. A step reads the table
+    anew, but counts only the values in bins that hold a wanted place. The
+    first step brings at most ``PARTS`` counters a sign and power of two to the
+    driver, another step, with ``p`` wanted places, at most ``p`` times the
+    larger of ``BINS`` and ``FEW``. NaN is larger than all numbers.
     """
-    spark = df.sparkSession
-    every = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("double").alias("x")) for i, c in enumerate(columns)])
     # -0.0 equals 0.0 and is counted with it.
-    rows = df.select(F.inline(every)).where("x IS NOT NULL").withColumn("x", F.when(F.col("x") == 0, 0.0).otherwise(F.col("x")))
-    keys = ["c", "b0"]
-    rows = rows.withColumn("b0", magnitude(F.col("x")))
-    told = _counted(rows, keys)
+    number = [F.col(f"`{c}`").cast("double") for c in columns]
+    rows = df.select(*[F.when(x == 0, 0.0).otherwise(x).alias(f"x{i}") for i, x in enumerate(number)])
+    first = F.array(*[F.struct(F.lit(i).alias("c"), F.lit(0).alias("bin"), F.col(f"x{i}").alias("x")) for i in range(len(columns))])
+    found = rows.select(F.inline(first)).where("x IS NOT NULL").withColumn("digit", magnitude(F.col("x")))
+    told = _by_bin(_counted(found, ["c", "bin", "digit"]))
     out: dict[str, list[float]] = {c: [None] * len(shares) for c in columns}
-    sizes = {c: sum(n for *_, n, _, _ in own) for c, own in _by_prefix(told, 1).items()}
-    places = {c[0]: [s * (n - 1) for s in shares] for c, n in sizes.items()}
-    #: Wanted places by the bins that hold them: prefix -> places inside.
-    wanted = {(c,): sorted({q for x in own for q in (math.floor(x), math.ceil(x))}) for c, own in places.items()}
-    first = {(c, q): (c, q) for (c,), own in wanted.items() for q in own}  # place inside a bin -> place in the column
+    places = {c: [s * (sum(n for _, n, _, _ in own) - 1) for s in shares] for (c, _), own in told.items()}
+    #: Wanted places by the bins that hold them: (column, bin) -> place inside the bin and in the column.
+    wanted = {(c, 0): sorted({(q, q) for x in own for q in (math.floor(x), math.ceil(x))}) for c, own in places.items()}
     value: dict[tuple[int, int], float] = {}
     while wanted:
-        bins, inside, active, of = _by_prefix(told, len(keys) - 1), {}, [], {}
-        for prefix, own in wanted.items():
-            ends = list(accumulate(n for _, n, _, _ in bins[prefix]))
-            for q in own:
+        inside: dict[int, dict[tuple, list]] = {}
+        for (c, prefix), own in wanted.items():
+            bins = told[c, prefix]
+            ends = list(accumulate(n for _, n, _, _ in bins))
+            for q, place in own:
                 at = bisect_right(ends, q)
-                digit, n, lo, hi = bins[prefix][at]
-                column_place = first[(*prefix, q)]
+                _, n, lo, hi = bins[at]
                 if lo == hi or n == 1 or (math.isnan(lo) and math.isnan(hi)):
-                    value[column_place] = lo
-                    continue
-                within = q - (ends[at] - n)
-                if (*prefix, digit) not in inside:
-                    active.append((*prefix, digit, lo, hi, n <= FEW))
-                inside.setdefault((*prefix, digit), []).append(within)
-                of[(*prefix, digit, within)] = column_place
-        if not active:
+                    value[c, place] = lo
+                else:
+                    inside.setdefault(c, {}).setdefault((lo, hi, n <= FEW), []).append((q - (ends[at] - n), place))
+        if not inside:
             break
-        wanted, first = {p: sorted(set(own)) for p, own in inside.items()}, of
-        schema = ", ".join(f"{k} {'int' if k == 'c' else 'double'}" for k in keys) + ", lo double, hi double, few boolean"
-        held = spark.createDataFrame(active, schema)
-        rows = rows.join(F.broadcast(held), keys).withColumn(f"b{len(keys) - 1}", fine(F.col("x"))).drop("lo", "hi", "few")
-        keys = [*keys, f"b{len(keys) - 1}"]
-        told = _counted(rows, keys)
+        # A bin is all values from its least to its largest: its rows are found by them.
+        active = {c: sorted(own) for c, own in inside.items()}
+        wanted = {(c, i): inside[c][b] for c, own in active.items() for i, b in enumerate(own)}
+        told = _by_bin(_counted(_inside(rows, active), ["c", "bin", "digit"]))
     for c, own in places.items():
         for k, x in enumerate(own):
             low, high = value[c, math.floor(x)], value[c, math.ceil(x)]
@@ -90,16 +98,27 @@ def order_statistics(df: DataFrame, columns: list[str], shares: list[float]) ->
     return out
 
 
+def _inside(rows: DataFrame, active: dict[int, list[tuple]]) -> DataFrame:
+    """The values (c, bin, x, digit) of the columns ``x0`` ... that lie in an active bin (lo, hi, few)."""
+    now, every = rows.withColumns({f"p{c}": place(F.col(f"x{c}"), [lo for lo, _, _ in own]) - 1 for c, own in active.items()}), []
+    for c, own in active.items():
+        at, x, (lo, hi, few) = F.col(f"p{c}"), F.col(f"x{c}"), map(doubles, zip(*own, strict=True))
+        fields = [F.lit(c).alias("c"), at.alias("bin"), x.alias("x"), F.get(lo, at).alias("lo"), F.get(hi, at).alias("hi"), (F.get(few, at) > 0).alias("few")]
+        every.append(F.when(x <= F.get(hi, at), F.struct(*fields)))
+    held = now.select(F.explode(F.array(*every)).alias("v")).where("v IS NOT NULL").select("v.*")
+    return held.select("c", "bin", "x", fine(F.col("x")).alias("digit"))
+
+
 def _counted(rows: DataFrame, keys: list[str]) -> list[tuple]:
     found = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
     return [tuple(r) for r in found]
 
 
-def _by_prefix(told: list[tuple], width: int) -> dict[tuple, list[tuple]]:
-    """Bins (digit, n, lo, hi) in ascending order by what stands before their digit."""
+def _by_bin(told: list[tuple]) -> dict[tuple, list[tuple]]:
+    """Bins (digit, n, lo, hi) in ascending order by column and the bin before."""
     out: dict[tuple, list[tuple]] = {}
     for r in told:
-        out.setdefault(r[:width], []).append(r[width:])
+        out.setdefault(r[:2], []).append(r[2:])
     for own in out.values():
         own.sort(key=lambda b: (math.isnan(b[0]), b[0]))
     return out

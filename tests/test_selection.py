@@ -87,3 +87,47 @@ def test_nothing_is_written(spark, name, monkeypatch):
     out = catalog.queries()[name](spark, "/root/testdata/sf0.001")
     text = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
     assert out.count() > 0 and "Exchange" not in text
+
+
+def test_steps_meet_their_bins_without_a_join_and_few_values_take_one_step(spark, monkeypatch):
+    plans, counted = [], selection._counted
+    monkeypatch.setattr(selection, "_counted", lambda rows, keys: (plans.append(rows._jdf.queryExecution().optimizedPlan().toString()), counted(rows, keys))[1])
+    df = spark.range(20_000).selectExpr("(id % 50 + 1) * 1D AS quantity", "(id % 11) / 100D AS discount", "rand(3) * 1e5 AS price")
+    shares = [i / 100 for i in range(101)]
+    selection.order_statistics(df, ["quantity", "discount"], shares)
+    assert len(plans) == 1
+    selection.order_statistics(df, ["quantity", "discount", "price"], shares)
+    assert len(plans) > 2 and not any("Join" in p for p in plans)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 7, 8, 100, 202])
+def test_place_equals_a_count(spark, n):
+    marks = sorted({float(x) for x in np.random.Generator(np.random.PCG64(n)).integers(-60, 60, n)} | set(np.arange(max(n, 1) - 1) + 0.5))[:n]
+    marks = [-math.inf, *marks[1:-1], math.nan] if n > 2 else marks
+    values = [None, -0.0, 0.0, math.inf, -math.inf, math.nan, *marks, *(m + 1e-9 for m in marks if math.isfinite(m))]
+    df = frame(spark, x=values)
+    found = df.select("x", selection.place(selection.F.col("x"), marks)).collect()
+    at_most = lambda m, x: math.isnan(x) or m <= x
+    assert len(found) == len(values) and all(k == (0 if x is None else sum(at_most(m, x) for m in marks)) for x, k in found)
+
+
+def test_quantile_scaler_equals_a_count_of_its_quantiles(spark):
+    """By a binary search, not by a look at every quantile for each row."""
+    draw = np.random.Generator(np.random.PCG64(6))
+    columns = dict(ties=draw.integers(0, 7, 500), normal=draw.normal(size=500), one=[4.0] * 500, nulls=[None] * 500, odd=[math.nan] * 100 + [-0.0] * 100 + [math.inf, -math.inf] * 100 + [None] * 100)
+    df = frame(spark, **columns)
+    model = features.Scaler("quantile", list(columns)).fit(df)
+    model.fitted["odd"] = [[-math.inf, math.nan, 0.0, 1.0, math.nan, 2.0] + [math.inf] * 95]
+    again = features.Scaler.of(model.state())
+    out = again.transform(df, "_s")
+    assert out.columns == [*columns, *(f"{c}_s" for c in columns)] and "filter(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    before = lambda m, x: not math.isnan(m) and (math.isnan(x) or m < x)
+    for r in out.collect():
+        for c in columns:
+            x, marks = r[c], model.fitted[c][0]
+            if x is None or marks is None:
+                assert r[f"{c}_s"] is None
+                continue
+            below = sum(before(m, x) for m in marks)
+            equal = sum(m == x or (math.isnan(m) and math.isnan(x)) for m in marks)
+            assert r[f"{c}_s"] == min(1.0, max(0.0, (below + max(below + equal, below + 1) - 1) / 2 / 100)), (c, x)
