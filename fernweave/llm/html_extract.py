@@ -76,6 +76,8 @@ MARKS = set(
     "toc toolbar widget widgets".split()
 )
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose marks say nothing.
+UNMARKED = {"html", "body"} | HEADINGS
 #: Elements of running text, and words that stand beside a mark in the name of an aside.
 PROSE = set("p li dt dd td th blockquote pre figcaption caption".split())
 LAYOUT = set(
@@ -127,27 +129,32 @@ class Page:
     cut: list[bool] = field(default_factory=lambda: [False])
 
 
+#: What marks are of a tag without attributes.
+UNNAMED = "", frozenset(), frozenset(), False, frozenset()
+
+
 def marks(rest: str) -> tuple[str, set[str], set[str], bool, frozenset]:
     """Class names with digits stripped, the names of class, id, role and itemprop, their words, whether it is hidden, and its kind.
 
     The kind of an element is its classes and id with digits stripped.
     """
+    if not rest or rest.isspace():
+        return UNNAMED
     classes, names, hidden, kind = "", set(), False, set()
-    if rest and not rest.isspace():
-        for name, value in ATTRIBUTE.findall(rest):
-            value = unescape(value.strip("\"'")).lower()
-            if name.lower() == "hidden":
-                hidden = hidden or value != "until-found"
-                continue
-            if name.lower() == "style":
-                hidden = hidden or bool(UNSEEN.search(value))
-                continue
-            names.update(value.split())
-            if name.lower() in ("class", "id"):
-                own = {re.sub(r"\d+", "#", c) for c in value.split()}
-                kind |= own
-                if name.lower() == "class":
-                    classes = ".".join(sorted(own))
+    for name, value in ATTRIBUTE.findall(rest):
+        value = unescape(value.strip("\"'")).lower()
+        if name.lower() == "hidden":
+            hidden = hidden or value != "until-found"
+            continue
+        if name.lower() == "style":
+            hidden = hidden or bool(UNSEEN.search(value))
+            continue
+        names.update(value.split())
+        if name.lower() in ("class", "id"):
+            own = {re.sub(r"\d+", "#", c) for c in value.split()}
+            kind |= own
+            if name.lower() == "class":
+                classes = ".".join(sorted(own))
     return classes, names, {w for n in names for w in PART.findall(n)}, hidden, frozenset(kind)
 
 
@@ -311,7 +318,12 @@ class Stack:
 
     def last(self, tags: set[str]) -> int:
         """The last place of any of the tags; 0 if none is open."""
-        return max((own[-1] for t in tags if (own := self.where.get(t))), default=0)
+        at = 0
+        for t in tags:
+            own = self.where.get(t)
+            if own and own[-1] > at:
+                at = own[-1]
+        return at
 
     def close_last(self, tags: set[str], bounds: set[str]) -> None:
         """Close the last of the tags, unless one of the bounds was opened behind it."""
@@ -379,10 +391,10 @@ def parse(html: str) -> Page:
         classes, names, words, hidden, kind = marks(rest)
         up = stack.ids[-1]
         in_article = page.article[up]
-        like = tag in ARTICLE or bool(words & ARTICLE_WORDS)
+        like = tag in ARTICLE or not words.isdisjoint(ARTICLE_WORDS)
         aside = page.aside[up] or hidden or (tag in ASIDE and not (tag == "header" and in_article))
         mark, inline = NONE, tag not in BLOCK
-        if not aside and tag not in ("html", "body", *HEADINGS) and words & MARKS and not (inline and stack.last(CODE)):
+        if words and not aside and tag not in UNMARKED and words & MARKS and not (inline and stack.last(CODE)):
             found, whole = marked(names, inline or tag in PROSE)
             if found and not (in_article and found <= {"header", "byline"}):
                 mark = WHOLLY if whole else NAMED if names & ARTICLE_WORDS else PARTLY
