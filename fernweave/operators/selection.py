@@ -78,13 +78,13 @@ def order_statistics(df: DataFrame, columns: list[str], shares: list[float]) ->
         for (c, prefix), own in wanted.items():
             bins = told[c, prefix]
             ends = list(accumulate(n for _, n, _, _ in bins))
-            for q, place in own:
+            for q, whole in own:
                 at = bisect_right(ends, q)
                 _, n, lo, hi = bins[at]
                 if lo == hi or n == 1 or (math.isnan(lo) and math.isnan(hi)):
-                    value[c, place] = lo
+                    value[c, whole] = lo
                 else:
-                    inside.setdefault(c, {}).setdefault((lo, hi, n <= FEW), []).append((q - (ends[at] - n), place))
+                    inside.setdefault(c, {}).setdefault((lo, hi, n <= FEW), []).append((q - (ends[at] - n), whole))
         if not inside:
             break
         # A bin is all values from its least to its largest: its rows are found by them.
